@@ -113,8 +113,8 @@ DEFINITIONS: dict[str, str] = {
     "cart_info": f"""
         SELECT CASE WHEN event_type = 'purchase' THEN '1' ELSE '0' END AS is_ordered,
           cast({_MONEY.format('value')} as varchar) AS cart_price, cast(k as bigint) AS sku_num,
-          epoch_ms(ts) AS create_time, cast(user_id as varchar) AS user_id, cast(k as varchar) AS sku_id,
-          'sku ' || k AS sku_name, cast(event_id as varchar) AS id, epoch_ms(ts) AS operate_time
+          epoch_us(ts) // 1000 AS create_time, cast(user_id as varchar) AS user_id, cast(k as varchar) AS sku_id,
+          'sku ' || k AS sku_name, cast(event_id as varchar) AS id, epoch_us(ts) // 1000 AS operate_time
         FROM ev""",
     "cart_now": "SELECT * FROM cart_info WHERE NOT (is_ordered = '0' AND sku_num < 20)",
     "comment_info": """
@@ -144,7 +144,7 @@ DEFINITIONS: dict[str, str] = {
           LEFT JOIN order_activity act ON od.id = act.order_detail_id
           LEFT JOIN order_coupon cou ON od.id = cou.order_detail_id""",
     "log_parts": """
-        SELECT event_id AS log_id, event_type AS kind, k, ts, epoch_ms(ts) AS ms, 'd_' || user_id AS mid,
+        SELECT event_id AS log_id, event_type AS kind, k, ts, epoch_us(ts) // 1000 AS ms, 'd_' || user_id AS mid,
           cast(user_id as varchar) AS uid, CASE WHEN event_type = 'signup' OR k < 30 THEN '1' ELSE '0' END AS raw_new,
           CASE event_type WHEN 'view' THEN 'home' WHEN 'click' THEN 'good_detail' WHEN 'signup' THEN NULL
             ELSE 'cart' END AS page_id,

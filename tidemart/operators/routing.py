@@ -50,20 +50,19 @@ def log_keys(df: DataFrame) -> DataFrame:
 
 def put_is_new(df: DataFrame, is_new: str = "is_new") -> DataFrame:
     """Write a repaired new-visitor mark back into ``fields['common']``."""
-    text = F.col(is_new)
-    changed = text.isNotNull() & ~text.eqNullSafe(
+    mark = F.col(is_new)
+    changed = mark.isNotNull() & ~mark.eqNullSafe(
         F.expr("try_variant_get(fields['common'], '$.is_new', 'string')")
     )
-    # The mark is text, so it is quoted as JSON before it rejoins the variant map.
-    common = F.expr(
-        f"""parse_json(to_json(map_concat(
-              map_filter(try_variant_get(fields['common'], '$', 'map<string,variant>'), (k, v) -> k <> 'is_new'),
-              map('is_new', variant_get(parse_json(to_json(map('v', {is_new}))), '$.v', 'variant')))))"""
-    )
-    rest = F.expr("map_filter(fields, (k, v) -> k <> 'common')")
-    return df.withColumn(
-        "fields", F.when(changed, F.map_concat(rest, F.create_map(F.lit("common"), common))).otherwise(F.col("fields"))
-    )
+    # The mark is text, so it is quoted as JSON before it rejoins the object; the
+    # last parse puts the fields back in their usual order.
+    text = f"""to_json(map_concat(
+        map_filter(fields, (k, v) -> k <> 'common'),
+        map('common', parse_json(to_json(map_concat(
+          map_filter(try_variant_get(fields['common'], '$', 'map<string,variant>'), (k, v) -> k <> 'is_new'),
+          map('is_new', variant_get(parse_json(to_json(map('v', {is_new}))), '$.v', 'variant'))))))))"""
+    rebuilt = F.expr(f"variant_get(parse_json({text}), '$', 'map<string,variant>')")
+    return df.withColumn("fields", F.when(changed, rebuilt).otherwise(F.col("fields")))
 
 
 def _present(field: str) -> Column:
@@ -74,6 +73,30 @@ def _elements(field: str) -> Column:
     return F.expr(f"try_variant_get(fields['{field}'], '$', 'array<variant>')")
 
 
+def _err_text(keep_context: bool) -> Column:
+    if not keep_context:
+        return F.to_json(F.expr("fields['err']"))
+    return F.to_json(F.struct(*[F.expr(f"fields['{f}']").alias(f) for f in ("common", "page", "err", "ts")]))
+
+
+def _element_text(name: str, element: Column, with_ts: bool) -> Column:
+    parts = [F.expr("fields['common']").alias("common"), F.expr("fields['page']").alias("page"), element.alias(name)]
+    return F.to_json(F.struct(*parts, *([F.expr("fields['ts']").alias("ts")] if with_ts else [])))
+
+
+def _start_text() -> Column:
+    return F.to_json(F.expr("map_filter(fields, (k, v) -> k <> 'err' OR is_variant_null(v))"))
+
+
+def _page_text() -> Column:
+    # An empty array stays in the page record, a filled one has been sent on.
+    return F.to_json(F.expr(
+        """map_filter(fields, (k, v) -> NOT (
+             (k = 'err' AND NOT is_variant_null(v))
+             OR (k IN ('displays', 'actions') AND size(try_variant_get(v, '$', 'array<variant>')) > 0)))"""
+    ))
+
+
 def split_log(df: DataFrame, keep: tuple[str, ...] = (), keep_context: bool = False) -> dict[str, DataFrame]:
     """Five outputs of parsed log records, each a JSON ``value`` column.
 
@@ -83,44 +106,49 @@ def split_log(df: DataFrame, keep: tuple[str, ...] = (), keep_context: bool = Fa
     * page: what is left of a record without start.
 
     Action rows carry no time and err rows no context unless ``keep_context``.
+    Each output reads its input anew; ``split_rows`` gives all of them in one pass.
     """
-    has_start = _present("start")
-    err_source = df.filter(_present("err"))
-    err = err_source.select(*keep, (
-        F.to_json(F.struct(F.expr("fields['common']").alias("common"), F.expr("fields['page']").alias("page"),
-                           F.expr("fields['err']").alias("err"), F.expr("fields['ts']").alias("ts")))
-        if keep_context else F.to_json(F.expr("fields['err']"))
-    ).alias("value"))
-
-    start = df.filter(has_start).select(
-        *keep, F.to_json(F.expr("map_filter(fields, (k, v) -> k <> 'err' OR is_variant_null(v))")).alias("value")
-    )
-
-    pages = df.filter(~has_start)
+    pages = df.filter(~_present("start"))
 
     def exploded(field: str, name: str, with_ts: bool) -> DataFrame:
-        parts = [F.expr("fields['common']").alias("common"), F.expr("fields['page']").alias("page"),
-                 F.col("item").alias(name)]
-        if with_ts:
-            parts.append(F.expr("fields['ts']").alias("ts"))
         rows = pages.select(*keep, "fields", F.explode(_elements(field)).alias("item"))
-        return rows.select(*keep, F.to_json(F.struct(*parts)).alias("value"))
+        return rows.select(*keep, _element_text(name, F.col("item"), with_ts).alias("value"))
 
-    # An empty array stays in the page record, a filled one has been sent on.
-    rest = F.expr(
-        """map_filter(fields, (k, v) -> NOT (
-             (k = 'err' AND NOT is_variant_null(v))
-             OR (k IN ('displays', 'actions') AND size(try_variant_get(v, '$', 'array<variant>')) > 0)))"""
-    )
     return {
-        "err": err,
-        "start": start,
+        "err": df.filter(_present("err")).select(*keep, _err_text(keep_context).alias("value")),
+        "start": df.filter(_present("start")).select(*keep, _start_text().alias("value")),
         "display": exploded("displays", "display", True),
         "action": exploded("actions", "action", keep_context),
-        "page": pages.select(*keep, F.to_json(rest).alias("value")),
+        "page": pages.select(*keep, _page_text().alias("value")),
     }
 
 
+def split_rows(
+    df: DataFrame, keep: tuple[str, ...] = (), keep_context: bool = False, value: str = "value"
+) -> DataFrame:
+    """P14 in one pass: rows of (``output``, ``value``), dirty input included.
+
+    The input has a ``fields`` map, null for dirty records, and the raw text.
+    """
+
+    def row(output: str, text: Column) -> Column:
+        return F.struct(F.lit(output).alias("output"), text.alias("value"))
+
+    def rows(output: str, field: str, with_ts: bool) -> Column:
+        each = F.transform(_elements(field), lambda e: row(output, _element_text(output, e, with_ts)))
+        return F.coalesce(each, nothing)
+
+    nothing = F.array().cast("array<struct<output:string,value:string>>")
+    err = F.when(_present("err"), F.array(row("err", _err_text(keep_context)))).otherwise(nothing)
+    rest = F.when(_present("start"), F.array(row("start", _start_text()))).otherwise(F.concat(
+        rows("display", "displays", True), rows("action", "actions", keep_context),
+        F.array(row("page", _page_text())),
+    ))
+    dirty = F.array(row("dirty", F.col(value)))
+    outputs = F.when(F.col("fields").isNull(), dirty).otherwise(F.concat(err, rest))
+    return df.select(*keep, F.inline(outputs))
+
+
 def current_config(changes: DataFrame, order_by: tuple[str, ...] = ("ts_ms",)) -> DataFrame:
     """Routing config in force: per source table the latest, unless deleted."""
     from tidemart.operators.projections import cdc_image
@@ -137,12 +165,10 @@ def route_dims(cdc: DataFrame, config: DataFrame, project: bool = False) -> Data
     configured columns. Deletes are skipped. The config has one row per source
     table; Spark broadcasts it while its size is below the broadcast limit.
     """
-    rows = cdc.filter("op <> 'd'").select(
-        F.col("source")["table"].alias("source_table"),
-        F.from_json("after", "map<string,string>").alias("info"),
-        "ts_ms",
-    )
+    rows = cdc.filter("op <> 'd'").select(F.col("source")["table"].alias("source_table"), "after", "ts_ms")
     joined = rows.join(config.select("source_table", "sink_table", "sink_row_key", "sink_columns"), "source_table")
+    # Parsed after the join: records of tables without config are never parsed.
+    joined = joined.withColumn("info", F.from_json("after", "map<string,string>"))
     info: Column = F.transform_values("info", lambda _, v: F.coalesce(v, F.lit("null")))
     if project:
         wanted = F.split("sink_columns", ",")
