@@ -1 +1,198 @@
+"""Streaming forms over the given tables; each result equals its batch form.
+
+The tables are read as streams of files, all there is is handled, and the final
+state is returned. Working folders lie below the session's checkpoint folder.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+import tidemart.checks.capture  # noqa: F401  (registers the SQL reused here)
+import tidemart.checks.quality  # noqa: F401
+import tidemart.checks.relational  # noqa: F401
+from tidemart.checks.registry import SQL, check, sql_time
+from tidemart.inputs import derive
+from tidemart.inputs.sql import query
+from tidemart.operators import joins
+from tidemart.operators.aggregates import page_uv
+from tidemart.operators.projections import cdc_image, with_event_time
+from tidemart.operators.routing import cdc_route, log_keys, with_fields
+from tidemart.schemas import CDC_TABLES
+from tidemart.session import shared_dir, stream_session
+from tidemart.sinks.days import write_day_partitioned
+from tidemart.sinks.dims import DimStore
+from tidemart.sinks.topics import write_batch_json
+from tidemart.sinks.upsert import UpsertTable
+from tidemart.sources.cdc import read_cdc
+from tidemart.sources.tables import load, load_stream
+from tidemart.sources.topics import TopicSpec
+from tidemart.streaming import jobs, stateful
+from tidemart.streaming.watermarks import watermark
+
+
+def _appended(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """The rows a stream appends, as files."""
+    folder = shared_dir(spark, name)
+    jobs.finish(
+        df.writeStream.outputMode("append").option("checkpointLocation", f"{folder}/checkpoint")
+        .format("parquet").option("path", f"{folder}/rows")
+    )
+    return spark.read.parquet(f"{folder}/rows")
+
+
+@check("t8_stream_user_visit", SQL["dws_user_visit_agg"])
+def t8_stream_user_visit(spark, sf):
+    child = stream_session(spark)
+    folder = shared_dir(spark, "user-visit")
+    table = UpsertTable(f"{folder}/table", ["user_id", "dt"])
+    log = derive.behavior_log(load_stream(child, sf, "events"))
+    jobs.finish(jobs.user_visit_stream(log, table, f"{folder}/checkpoint"))
+    return table.read(child)
+
+
+@check("s7_stream_cart", SQL["dwd_cart_info"])
+def s7_stream_cart(spark, sf):
+    """Change records through a topic (S6, S3) into a keyed table with deletes."""
+    child = stream_session(spark)
+    folder = shared_dir(spark, "cart")
+    topic = TopicSpec("cart_changes", folder=f"{folder}/topic")
+    write_batch_json(cdc_route(derive.cdc_feed(child, sf), "cart_info"), topic)
+    changes = cdc_image(cdc_route(read_cdc(child, topic), "cart_info"), CDC_TABLES["cart_info"])
+    table = UpsertTable(f"{folder}/table", ["id"], ["ts_ms"])
+    jobs.finish(jobs.upsert_stream(changes, table, f"{folder}/checkpoint"))
+    return table.read(child).drop("ts_ms")
+
+
+@check("j5_stream_payment_success", query(f"""
+    SELECT p.order_id, od.id AS order_detail_id, {sql_time('epoch_ms(p.create_time)')} AS pay_ts
+    FROM payment_info p JOIN order_detail od ON p.order_id = od.order_id
+      AND epoch_ms(od.create_time) >= epoch_ms(p.create_time) - INTERVAL 30 DAY
+      AND epoch_ms(od.create_time) <= epoch_ms(p.create_time) + INTERVAL 30 SECOND"""))
+def j5_stream_payment_success(spark, sf):
+    """Two watermarked streams joined on key and time range."""
+    child = stream_session(spark)
+    pay = with_event_time(derive.payment_info(load_stream(child, sf, "orders")), "create_time", "pay_ts")
+    detail = with_event_time(derive.order_detail(load_stream(child, sf, "lineitem")), "create_time", "event_time")
+    left = watermark(pay.select(F.col("order_id").alias("_order"), "pay_ts"), "pay_ts")
+    right = watermark(detail.select(F.col("id").alias("order_detail_id"), "order_id", "event_time"), "event_time")
+    matched = left.join(
+        right,
+        (F.col("_order") == F.col("order_id")) & joins.within("pay_ts", "event_time", "-30 days", "30 seconds"),
+    )
+    return _appended(child, matched.select("order_id", "order_detail_id", "pay_ts"), "payment-success")
+
+
+@check("j6_stream_lookup", SQL["dwd_comment_info"])
+def j6_stream_lookup(spark, sf):
+    child = stream_session(spark)
+    comments = derive.comment_info(load_stream(child, sf, "conversations"))
+    return _appended(child, joins.comment_named(comments, derive.base_dic(child)), "comment-lookup")
+
+
+@check("t1_stream_fix_is_new", query("SELECT log_id, mid, ms AS ts, is_new FROM fixed_log"))
+def t1_stream_fix_is_new(spark, sf):
+    child = stream_session(spark)
+    keyed = log_keys(with_fields(derive.app_log(load_stream(child, sf, "events"))))
+    rows = keyed.select("log_id", "mid", "is_new", "ts").filter("mid IS NOT NULL")
+    return _appended(child, stateful.fix_is_new_stream(rows, "log_id"), "fix-is-new")
+
+
+@check("t2_stream_dedup_latest", SQL["t2_dedup_latest"])
+def t2_stream_dedup_latest(spark, sf):
+    child = stream_session(spark, ends=True)
+    rows = load_stream(child, sf, "events").select(
+        "event_id", "user_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    return _appended(child, stateful.dedup_latest_stream(rows, "user_id", "k", "event_id"), "dedup-latest")
+
+
+@check("t3_stream_dedup_exact", SQL["t3_dedup_exact"])
+def t3_stream_dedup_exact(spark, sf):
+    child = stream_session(spark)
+    rows = load_stream(child, sf, "events").select(
+        "ts", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    kept = stateful.dedup_exact_stream(rows, ["user_id", "event_type", "day"], "ts", "31 days")
+    return _appended(child, kept.drop("ts"), "dedup-exact")
+
+
+@check("t4_stream_dedup_bloom")
+def t4_stream_dedup_bloom(spark, sf):
+    """Approximate, so no SQL."""
+    child = stream_session(spark)
+    rows = load_stream(child, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.unix_millis("l_shipdate").alias("ts_ms"))
+    shards = child.sparkContext.defaultParallelism
+    kept = stateful.dedup_bloom_stream(rows, expected=200_000, rate=0.001, shards=shards)
+    return _appended(child, kept, "dedup-bloom")
+
+
+@check("t7_stream_log_split", SQL["log_split"])
+def t7_stream_log_split(spark, sf):
+    child = stream_session(spark)
+    folder = shared_dir(spark, "log-split")
+    raw = derive.app_log(load_stream(child, sf, "events"))
+    jobs.finish(jobs.log_split_stream(raw, "log_id", f"{folder}/rows", f"{folder}/checkpoint"))
+    return child.read.parquet(f"{folder}/rows").select("output", "log_id", "value")
+
+
+@check("t9_stream_page_uv", query("""
+    SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS stt, strftime(w + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS edt,
+      strftime(w, '%Y-%m-%d') AS cur_date,
+      count(DISTINCT CASE WHEN page_id = 'home' THEN mid END) AS home_uv_ct,
+      count(DISTINCT CASE WHEN page_id = 'good_detail' THEN mid END) AS good_detail_uv_ct,
+      cast(epoch(w) as bigint) * 1000 AS ts
+    FROM (SELECT *, date_trunc('hour', ts) AS w, max(epoch_us(ts) // 1000) OVER () AS last_ms FROM log_parts
+          WHERE NOT dirty AND page_id IS NOT NULL)
+    WHERE page_id IN ('home', 'good_detail')
+      AND w + INTERVAL 1 HOUR <= epoch_ms(last_ms - 5000)
+    GROUP BY w"""))
+def t9_stream_page_uv(spark, sf):
+    """Windows the watermark has closed; the newest stay open."""
+    child = stream_session(spark)
+    keyed = log_keys(with_fields(derive.app_log(load_stream(child, sf, "events"))))
+    log = keyed.select(
+        "mid", F.expr("try_variant_get(fields['page'], '$.page_id', 'string')").alias("page_id"),
+        F.timestamp_millis("ts").alias("ts"),
+    ).filter("page_id IS NOT NULL")
+    return _appended(child, page_uv(watermark(log, "ts"), "1 hour"), "page-uv")
+
+
+@check("s11_day_partitions", """
+    SELECT CASE WHEN event_type = 'error' THEN 'error_bucket' ELSE strftime(ts, '%Y%m%d') END AS day,
+      count(*) AS n FROM events GROUP BY 1""")
+def s11_day_partitions(spark, sf):
+    """Seconds, milliseconds and unreadable times into day folders."""
+    events = load(spark, sf, "events")
+    ms = F.unix_millis("ts")
+    kind = F.col("event_type")
+    at = F.when(kind == "view", F.call_function("div", ms, F.lit(1000))).otherwise(ms).cast("string")
+    value = F.to_json(F.struct(F.col("event_id"), F.when(kind == "error", "none").otherwise(at).alias("at")))
+    path = shared_dir(spark, "days")
+    write_day_partitioned(events.select(value.alias("value")), "at", path)
+    return spark.read.text(path).groupBy(F.col("day").cast("string").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@check("s9_stream_dims", query("""
+    SELECT 'dim_sku_info' AS sink_table, md5(cast(id as varchar)) AS rowkey, cast(id as varchar) AS id, sku_name
+    FROM sku_info
+    UNION ALL SELECT 'dim_cart', md5(id), id, sku_name FROM cart_info"""))
+def s9_stream_dims(spark, sf):
+    """Configured tables of a change stream into dimension tables."""
+    child = stream_session(spark)
+    folder = shared_dir(spark, "dims")
+    topic = TopicSpec("changes", folder=f"{folder}/topic")
+    feed = derive.cdc_feed(child, sf)
+    write_batch_json(feed.filter(F.col("source")["table"].isin("sku_info", "cart_info", "comment_info")), topic)
+    store = DimStore(child, f"{folder}/store", f"dims_{folder[-12:]}")
+    jobs.finish(jobs.dims_stream(
+        read_cdc(child, topic), lambda: derive.config_changes(child), store, f"{folder}/checkpoint"))
+    rows = None
+    for name in ("dim_sku_info", "dim_cart"):
+        one = store.read(name).select(
+            F.lit(name).alias("sink_table"), "rowkey", F.try_element_at("info", F.lit("id")).alias("id"),
+            F.try_element_at("info", F.lit("sku_name")).alias("sku_name"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
 

@@ -16,13 +16,14 @@ def cdc_route(df: DataFrame, table: str) -> DataFrame:
     return df.filter(F.col("source")["table"] == table)
 
 
-def clean_cdc(df: DataFrame) -> DataFrame:
+def clean_cdc(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Config changes without transport fields; deletes keep only before."""
     deleted = F.col("op") == "d"
     return df.select(
         "op",
         F.when(deleted, F.col("before")).alias("before"),
         F.when(~deleted, F.col("after")).alias("after"),
+        *keep,
     )
 
 

@@ -65,11 +65,13 @@ def local_session(cpus: str | int = "*", memory: str = "12g", app: str = "tidema
     return configure(spark)
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, ends: bool = False) -> SparkSession:
     """A sibling session for streaming queries.
 
     The number of state store partitions is fixed when a stream first starts,
     so it follows the cores of the cluster rather than the batch default.
+    ``ends`` is for state with a time to live read with ``availableNow``: Spark
+    would otherwise run empty batches for ever to look for expired state.
     """
     child = configure(spark.newSession())
     child.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
@@ -77,6 +79,8 @@ def stream_session(spark: SparkSession) -> SparkSession:
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
+    if ends:
+        child.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     return child
 
 
@@ -94,3 +98,14 @@ def shared_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one run below the shared root."""
     return f"{shared_root(spark)}/tidemart/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path whose write was committed, in name order."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
+    return sorted(p.getName() for p in found if fs.exists(hadoop.Path(p, "_SUCCESS")))
