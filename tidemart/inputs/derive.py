@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.keys import md5_key
+from tidemart.operators.projections import once
 from tidemart.schemas import CDC_TABLES
 from tidemart.sources.tables import load
 
@@ -46,9 +47,13 @@ def _money(name: str, precision: int = 16) -> Column:
     return F.col(name).cast(f"decimal({precision},2)")
 
 
+def _with_k(events: DataFrame) -> DataFrame:
+    """Events with the number inside their properties as ``k``."""
+    return once(events, k=F.get_json_object("props", "$.k").cast("int"))
+
+
 def _k() -> Column:
-    """The number inside the event properties."""
-    return F.get_json_object("props", "$.k").cast("int")
+    return F.col("k")
 
 
 def _values(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
@@ -65,7 +70,7 @@ def behavior_log(events: DataFrame) -> DataFrame:
         F.when(kind == "signup", "new").when(kind == "view", "return")
         .when(kind == "click", "return_no_buy").when(kind == "purchase", "purchase").otherwise("other")
     )
-    return events.select(
+    return _with_k(events).select(
         user.alias("user_id"), F.concat(F.lit("d_"), user).alias("device_id"), visit.alias("visit_type"),
         F.col("ts").alias("event_time"), F.concat(F.lit("/page/"), _k()).alias("page_url"),
         kind.alias("page_type"), (_k() >= 50).alias("is_follow_shop"), F.col("ts").alias("proc_time"),
@@ -74,7 +79,7 @@ def behavior_log(events: DataFrame) -> DataFrame:
 
 def trade_order(events: DataFrame) -> DataFrame:
     """Orders of most purchases; the rest have a payment without an order."""
-    rows = events.filter((F.col("event_type") == "purchase") & (_k() < 80))
+    rows = _with_k(events).filter((F.col("event_type") == "purchase") & (_k() < 80))
     return rows.select(
         _text("event_id").alias("order_id"), _text("user_id").alias("user_id"), F.col("ts").alias("order_time"),
         _money("value", 10).alias("pay_amount"), F.lit(True).alias("is_paid"), F.lit("done").alias("order_status"),
@@ -85,7 +90,7 @@ def trade_order(events: DataFrame) -> DataFrame:
 
 
 def trade_payment(events: DataFrame) -> DataFrame:
-    rows = events.filter(F.col("event_type").isin("purchase", "click"))
+    rows = _with_k(events.filter(F.col("event_type").isin("purchase", "click")))
     return rows.select(
         F.concat(F.lit("p_"), F.col("event_id")).alias("pay_id"), _text("event_id").alias("order_id"),
         F.col("ts").alias("pay_time"), _money("value", 10).alias("pay_amount"),
@@ -141,9 +146,12 @@ def activity_log(lineitem: DataFrame) -> DataFrame:
 
 def line_id() -> Column:
     """60-bit id of an order line from its md5, computed row by row without a shuffle."""
+    def cents(name: str) -> Column:
+        return F.round(F.col(name) * 100).cast("bigint")
+
     fields = [
-        F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"), _money("l_quantity"),
-        _money("l_extendedprice"), _money("l_discount"), _money("l_tax"), F.col("l_returnflag"),
+        F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"), cents("l_quantity"),
+        cents("l_extendedprice"), cents("l_discount"), cents("l_tax"), F.col("l_returnflag"),
         F.col("l_linestatus"), F.unix_millis("l_shipdate"),
     ]
     digest = F.md5(F.concat_ws("|", *[f.cast("string") for f in fields]))
@@ -151,7 +159,7 @@ def line_id() -> Column:
 
 
 def lines(lineitem: DataFrame) -> DataFrame:
-    return lineitem.withColumns({"id": line_id(), "ms": F.unix_millis("l_shipdate")})
+    return once(lineitem, id=line_id(), ms=F.unix_millis("l_shipdate"))
 
 
 def _share(rate: str) -> Column:
@@ -247,7 +255,7 @@ def refund_payment(lineitem: DataFrame) -> DataFrame:
 
 def cart_info(events: DataFrame) -> DataFrame:
     ms = F.unix_millis("ts")
-    return events.select(
+    return _with_k(events).select(
         F.when(F.col("event_type") == "purchase", "1").otherwise("0").alias("is_ordered"),
         _money("value").cast("string").alias("cart_price"), _k().cast("bigint").alias("sku_num"),
         ms.alias("create_time"), _text("user_id").alias("user_id"), _k().cast("string").alias("sku_id"),
@@ -402,7 +410,7 @@ def app_log(events: DataFrame) -> DataFrame:
         F.unix_millis("ts").alias("ts"),
     )
     bad = (kind == "error") & (k >= 90)
-    return events.select(
+    return _with_k(events).select(
         F.col("event_id").alias("log_id"),
         F.when(bad, F.concat(F.lit("{bad "), F.col("event_id"))).otherwise(F.to_json(record)).alias("value"),
     )

@@ -16,6 +16,7 @@ def _values(rows: list[tuple], names: str) -> str:
 
 
 _MONEY = "cast({} as decimal(16,2))"
+_CENTS = "cast(round({} * 100) as bigint)"
 
 
 def _share(rate: str) -> str:
@@ -67,8 +68,8 @@ DEFINITIONS: dict[str, str] = {
         FROM payment_fact GROUP BY user_id, dt""",
     "lines": f"""
         SELECT *, epoch_ms(l_shipdate) AS ms, cast('0x' || left(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey,
-          l_suppkey, {_MONEY.format('l_quantity')}, {_MONEY.format('l_extendedprice')}, {_MONEY.format('l_discount')},
-          {_MONEY.format('l_tax')}, l_returnflag, l_linestatus, epoch_ms(l_shipdate))), 15) as bigint) AS id
+          l_suppkey, {_CENTS.format('l_quantity')}, {_CENTS.format('l_extendedprice')}, {_CENTS.format('l_discount')},
+          {_CENTS.format('l_tax')}, l_returnflag, l_linestatus, epoch_ms(l_shipdate))), 15) as bigint) AS id
         FROM lineitem""",
     "order_detail": f"""
         SELECT cast(l_quantity as bigint) AS sku_num, ms AS create_time, {_share('l_tax')} AS split_coupon_amount,

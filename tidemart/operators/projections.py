@@ -13,6 +13,16 @@ from tidemart.functions import times
 from tidemart.functions.jsonio import row_json
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed exactly once per row.
+
+    Spark may copy a projected expression into every place that uses it, such as
+    a pushed-down filter. Costly ones (JSON parsing, hashing) go through a
+    one-row generator, which it never copies.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def cdc_after(df: DataFrame, schema: str, keep: Sequence[str] = ()) -> DataFrame:
     """Row image of change records as columns; deletes carry no new image."""
     parsed = df.filter("op <> 'd'").select(F.from_json("after", schema).alias("after"), *keep)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.keys import md5_key
 from tidemart.operators.latest import current_rows
+from tidemart.operators.projections import cdc_image, once
+from tidemart.schemas import CDC_TABLES
 
 LOG_OUTPUTS = ("err", "start", "display", "action", "page")
 
@@ -29,9 +31,7 @@ def clean_cdc(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def with_fields(df: DataFrame, value: str = "value") -> DataFrame:
     """JSON object text as a map of top-level fields; null when it is no object."""
-    return df.withColumn(
-        "fields", F.expr(f"try_variant_get(try_parse_json({value}), '$', 'map<string,variant>')")
-    )
+    return once(df, fields=F.expr(f"try_variant_get(try_parse_json({value}), '$', 'map<string,variant>')"))
 
 
 def parse_json(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -42,11 +42,12 @@ def parse_json(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFram
 
 def log_keys(df: DataFrame) -> DataFrame:
     """Device id, new-visitor mark and time of parsed log records."""
-    return df.withColumns({
-        "mid": F.expr("try_variant_get(fields['common'], '$.mid', 'string')"),
-        "is_new": F.expr("try_variant_get(fields['common'], '$.is_new', 'string')"),
-        "ts": F.expr("try_variant_get(fields['ts'], '$', 'bigint')"),
-    })
+    return once(
+        df,
+        mid=F.expr("try_variant_get(fields['common'], '$.mid', 'string')"),
+        is_new=F.expr("try_variant_get(fields['common'], '$.is_new', 'string')"),
+        ts=F.expr("try_variant_get(fields['ts'], '$', 'bigint')"),
+    )
 
 
 def put_is_new(df: DataFrame, is_new: str = "is_new") -> DataFrame:
@@ -152,9 +153,6 @@ def split_rows(
 
 def current_config(changes: DataFrame, order_by: tuple[str, ...] = ("ts_ms",)) -> DataFrame:
     """Routing config in force: per source table the latest, unless deleted."""
-    from tidemart.operators.projections import cdc_image
-    from tidemart.schemas import CDC_TABLES
-
     rows = cdc_image(changes, CDC_TABLES["table_process_dim"])
     return current_rows(rows, ["source_table"], list(order_by)).drop("ts_ms")
 

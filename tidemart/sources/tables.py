@@ -7,11 +7,30 @@ from pyspark.sql import functions as F
 
 from tidemart.session import configure
 
+SPREAD_BYTES = 256 << 10
+SPREAD_BELOW = 64 << 20
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table, with zone-less timestamps read as instants of the session zone."""
-    df = configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
-    return _instants(df)
+    path = f"{sf_dir}/{name}.parquet"
+    return _instants(_spread(configure(spark).read.parquet(path), path))
+
+
+def _spread(df: DataFrame, path: str) -> DataFrame:
+    """Spread a small table kept as one file over the cores.
+
+    A file of one row group is read by one task, and so would be everything up to
+    the next shuffle. Tables of real size have files enough and are left alone.
+    """
+    spark = df.sparkSession
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    summary = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop_path)
+    cores = spark.sparkContext.defaultParallelism
+    parts = min(cores, summary.getLength() // SPREAD_BYTES)
+    if parts < 2 or summary.getFileCount() >= parts or summary.getLength() > SPREAD_BELOW:
+        return df
+    return df.repartition(parts)
 
 
 def load_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
