@@ -17,8 +17,11 @@ from tidemart.schemas import CDC_TABLES
 from tidemart.sources.tables import load
 
 
-def _feed(spark: SparkSession, sf: str) -> DataFrame:
-    return derive.cdc_feed(spark, sf)
+WIDE_TABLES = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
+
+
+def _feed(spark: SparkSession, sf: str, *tables: str) -> DataFrame:
+    return derive.cdc_feed(spark, sf, *tables)
 
 
 def _wide(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,7 +69,7 @@ def p1_cdc_route(spark, sf):
     SELECT id, order_id, sku_id, sku_name, order_price, sku_num, create_time, split_activity_amount,
       split_coupon_amount, split_total_amount FROM order_detail"""))
 def p2_cdc_after(spark, sf):
-    return cdc_after(cdc_route(_feed(spark, sf), "order_detail"), CDC_TABLES["order_detail"])
+    return cdc_after(cdc_route(_feed(spark, sf, "order_detail"), "order_detail"), CDC_TABLES["order_detail"])
 
 
 @check("p3_event_time", f"""
@@ -81,7 +84,7 @@ def p3_event_time(spark, sf):
     UNION ALL SELECT 'u', false, true, count(*) FROM cart_info WHERE is_ordered = '1'
     UNION ALL SELECT 'd', true, false, count(*) FROM cart_info WHERE is_ordered = '0' AND sku_num < 20"""))
 def p11_clean_cdc(spark, sf):
-    cleaned = clean_cdc(cdc_route(_feed(spark, sf), "cart_info"))
+    cleaned = clean_cdc(cdc_route(_feed(spark, sf, "cart_info"), "cart_info"))
     return cleaned.groupBy(
         "op", F.col("before").isNotNull().alias("has_before"), F.col("after").isNotNull().alias("has_after")
     ).agg(F.count(F.lit(1)).alias("n"))
@@ -93,14 +96,14 @@ def p11_clean_cdc(spark, sf):
     SELECT is_ordered, cart_price, sku_num, create_time, user_id, sku_id, sku_name, id, operate_time
     FROM cart_now"""))
 def cart_info(spark, sf):
-    return dwd.cart_info(_feed(spark, sf))
+    return dwd.cart_info(_feed(spark, sf, "cart_info"))
 
 
 @check("dwd_comment_info", query("""
     SELECT c.id, c.user_id, c.sku_id, c.appraise, d.dic_name AS appraise_name, c.comment_txt
     FROM comment_info c JOIN dic d ON c.appraise = d.dic_code"""))
 def comment_info(spark, sf):
-    return dwd.comment_info(_feed(spark, sf), derive.base_dic(spark))
+    return dwd.comment_info(_feed(spark, sf, "comment_info"), derive.base_dic(spark))
 
 
 WIDE = query("SELECT * FROM wide")
@@ -113,7 +116,7 @@ def j3_order_detail_wide(spark, sf):
 
 @check("dwd_order_detail", WIDE)
 def order_detail(spark, sf):
-    return dwd.order_detail(_feed(spark, sf))
+    return dwd.order_detail(_feed(spark, sf, *WIDE_TABLES))
 
 
 CANCEL = query("""
@@ -130,7 +133,7 @@ def j1_order_cancel(spark, sf):
 
 @check("dwd_order_cancel", CANCEL)
 def order_cancel(spark, sf):
-    return dwd.order_cancel(_feed(spark, sf))
+    return dwd.order_cancel(_feed(spark, sf, *WIDE_TABLES))
 
 
 _DATE_ID = "cast(epoch(date_trunc('day', epoch_ms({}))) as bigint)"
@@ -152,7 +155,7 @@ def j6_order_refund(spark, sf):
 
 @check("dwd_order_refund", REFUND)
 def order_refund(spark, sf):
-    return dwd.order_refund(_feed(spark, sf), derive.base_dic(spark))
+    return dwd.order_refund(_feed(spark, sf, "order_refund_info", "order_info"), derive.base_dic(spark))
 
 
 PAID = query(f"""
@@ -176,7 +179,7 @@ def j5_payment_success(spark, sf):
 
 @check("dwd_payment_success", PAID)
 def payment_success(spark, sf):
-    return dwd.payment_success(_feed(spark, sf), derive.base_dic(spark))
+    return dwd.payment_success(_feed(spark, sf, "payment_info", *WIDE_TABLES), derive.base_dic(spark))
 
 
 _REFUND_PAY = f"""
@@ -200,7 +203,7 @@ def j4_refund_pay(spark, sf):
 
 @check("dwd_refund_pay", query(_REFUND_PAY.format(num="max(ri.refund_num)") + " GROUP BY ALL"))
 def refund_pay(spark, sf):
-    return dwd.refund_pay(_feed(spark, sf), derive.base_dic(spark))
+    return dwd.refund_pay(_feed(spark, sf, "refund_payment", "order_refund_info", "order_info"), derive.base_dic(spark))
 
 
 # -- enrichment ----------------------------------------------------------------------
@@ -231,7 +234,7 @@ TRADEMARK = f"""
 
 def _trademark(spark, sf):
     return dws.order_sku_trademark(
-        _feed(spark, sf), _wide(spark, sf), derive.base_province(load(spark, sf, "nation")),
+        _feed(spark, sf, "sku_info"), _wide(spark, sf), derive.base_province(load(spark, sf, "nation")),
         derive.base_trademark(load(spark, sf, "part")),
     )
 

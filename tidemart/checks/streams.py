@@ -58,7 +58,7 @@ def s7_stream_cart(spark, sf):
     child = stream_session(spark)
     folder = shared_dir(spark, "cart")
     topic = TopicSpec("cart_changes", folder=f"{folder}/topic")
-    write_batch_json(cdc_route(derive.cdc_feed(child, sf), "cart_info"), topic)
+    write_batch_json(cdc_route(derive.cdc_feed(child, sf, "cart_info"), "cart_info"), topic)
     changes = cdc_image(cdc_route(read_cdc(child, topic), "cart_info"), CDC_TABLES["cart_info"])
     table = UpsertTable(f"{folder}/table", ["id"], ["ts_ms"])
     jobs.finish(jobs.upsert_stream(changes, table, f"{folder}/checkpoint"))
@@ -183,8 +183,7 @@ def s9_stream_dims(spark, sf):
     child = stream_session(spark)
     folder = shared_dir(spark, "dims")
     topic = TopicSpec("changes", folder=f"{folder}/topic")
-    feed = derive.cdc_feed(child, sf)
-    write_batch_json(feed.filter(F.col("source")["table"].isin("sku_info", "cart_info", "comment_info")), topic)
+    write_batch_json(derive.cdc_feed(child, sf, "sku_info", "cart_info", "comment_info"), topic)
     store = DimStore(child, f"{folder}/store", f"dims_{folder[-12:]}")
     jobs.finish(jobs.dims_stream(
         read_cdc(child, topic), lambda: derive.config_changes(child), store, f"{folder}/checkpoint"))

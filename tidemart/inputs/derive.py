@@ -159,16 +159,16 @@ def line_id() -> Column:
 
 
 def lines(lineitem: DataFrame) -> DataFrame:
-    return once(lineitem, id=line_id(), ms=F.unix_millis("l_shipdate"))
+    return once(lineitem, id=line_id(), ms=F.unix_millis("l_shipdate"), price=_money("l_extendedprice"))
 
 
 def _share(rate: str) -> Column:
     """Part of the line's price, exact to the cent."""
-    return (_money("l_extendedprice") * F.col(rate).cast("decimal(4,2)")).cast("decimal(16,2)").cast("string")
+    return (F.col("price") * F.col(rate).cast("decimal(4,2)")).cast("decimal(16,2)").cast("string")
 
 
 def order_detail(lineitem: DataFrame) -> DataFrame:
-    price = _money("l_extendedprice").cast("string")
+    price = F.col("price").cast("string")
     return lines(lineitem).select(
         F.col("l_quantity").cast("bigint").alias("sku_num"), F.col("ms").alias("create_time"),
         _share("l_tax").alias("split_coupon_amount"), F.col("l_partkey").alias("sku_id"),
@@ -235,7 +235,7 @@ def refund_info(lineitem: DataFrame) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", "0705").otherwise("0701").alias("refund_status"),
         F.col("ms").alias("create_time"), F.col("l_suppkey").alias("user_id"),
         F.col("l_quantity").cast("bigint").alias("refund_num"), F.lit("1301").alias("refund_reason_type"),
-        _money("l_extendedprice").cast("string").alias("refund_amount"), F.col("l_partkey").alias("sku_id"), "id",
+        F.col("price").cast("string").alias("refund_amount"), F.col("l_partkey").alias("sku_id"), "id",
         F.col("l_orderkey").alias("order_id"),
         F.concat(F.lit("line "), F.col("l_linenumber")).alias("refund_reason_txt"),
     )
@@ -246,7 +246,7 @@ def refund_payment(lineitem: DataFrame) -> DataFrame:
         (F.col("ms") + DAY_MS).alias("callback_time"),
         F.when(F.col("l_tax") >= 0.04, "1101").otherwise("1102").alias("payment_type"),
         F.when(F.col("l_discount") >= 0.08, "1601").otherwise("1602").alias("refund_status"),
-        F.col("ms").alias("create_time"), _money("l_extendedprice").cast("string").alias("total_amount"),
+        F.col("ms").alias("create_time"), F.col("price").cast("string").alias("total_amount"),
         F.lit("refund").alias("subject"), _text("l_orderkey").alias("trade_no"), F.col("l_partkey").alias("sku_id"),
         F.lit(None).cast("string").alias("callback_content"), "id", F.col("l_orderkey").alias("order_id"),
         F.col("ms").alias("operate_time"),
@@ -329,43 +329,50 @@ def envelope(rows: DataFrame, table: str, op: str, ts_ms: Column) -> DataFrame:
     )
 
 
-def cdc_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Change records of every captured table, one frame per table and kind."""
-    t = {n: load(spark, sf_dir, n) for n in
-         ("lineitem", "orders", "customer", "events", "part", "conversations")}
+CAPTURED = tuple(t for t in CDC_TABLES if t != "table_process_dim")
+
+
+def changes_of(spark: SparkSession, sf_dir: str, table: str) -> list[DataFrame]:
+    """Change records of one captured table, one frame per kind of change."""
     created, operated = F.col("create_time"), F.col("operate_time")
-    info = order_info(t["orders"], t["customer"])
-    carts = cart_info(t["events"])
-    sku = sku_info(t["part"])
-    parts = [
+    if table == "order_info":
         # An order is placed, then changes its status.
-        envelope(info.withColumn("order_status", F.lit(1001).cast("bigint")), "order_info", "c", created),
-        envelope(info, "order_info", "u", operated),
-        envelope(order_detail(t["lineitem"]), "order_detail", "c", created),
-        envelope(order_activity(t["lineitem"]), "order_detail_activity", "c", created),
-        envelope(order_coupon(t["lineitem"]), "order_detail_coupon", "c", created),
-        envelope(payment_info(t["orders"]), "payment_info", "c", created),
-        envelope(refund_info(t["lineitem"]), "order_refund_info", "c", created),
-        envelope(refund_payment(t["lineitem"]), "refund_payment", "c", created),
+        rows = order_info(load(spark, sf_dir, "orders"), load(spark, sf_dir, "customer"))
+        placed = rows.withColumn("order_status", F.lit(1001).cast("bigint"))
+        return [envelope(placed, table, "c", created), envelope(rows, table, "u", operated)]
+    if table == "cart_info":
         # A cart line is added; an ordered one is updated, a small one removed.
-        envelope(carts.withColumn("is_ordered", F.lit("0")), "cart_info", "c", created),
-        envelope(carts.filter("is_ordered = '1'"), "cart_info", "u", created + 1000),
-        envelope(carts.filter("is_ordered = '0' AND sku_num < 20"), "cart_info", "d", created + 2000),
-        envelope(comment_info(t["conversations"]), "comment_info", "c", created),
+        rows = cart_info(load(spark, sf_dir, "events"))
+        return [
+            envelope(rows.withColumn("is_ordered", F.lit("0")), table, "c", created),
+            envelope(rows.filter("is_ordered = '1'"), table, "u", created + 1000),
+            envelope(rows.filter("is_ordered = '0' AND sku_num < 20"), table, "d", created + 2000),
+        ]
+    if table == "sku_info":
         # A sku is known under a draft name first.
-        envelope(sku.withColumn("sku_name", F.lit("draft")), "sku_info", "r", created),
-        envelope(sku, "sku_info", "u", created + 1000),
-    ]
-    return parts
-
-
-def cdc_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All change records in one frame, as one topic would carry them.
-
-    The table name is a constant of each part, so selecting one table prunes the
-    scans of the others from the plan.
+        rows = sku_info(load(spark, sf_dir, "part"))
+        draft = rows.withColumn("sku_name", F.lit("draft"))
+        return [envelope(draft, table, "r", created), envelope(rows, table, "u", created + 1000)]
+    source, build = {
+        "order_detail": ("lineitem", order_detail),
+        "order_detail_activity": ("lineitem", order_activity),
+        "order_detail_coupon": ("lineitem", order_coupon),
+        "order_refund_info": ("lineitem", refund_info),
+        "refund_payment": ("lineitem", refund_payment),
+        "payment_info": ("orders", payment_info),
+        "comment_info": ("conversations", comment_info),
+    }[table]
+    return [envelope(build(load(spark, sf_dir, source)), table, "c", created)]
+
+
+def cdc_feed(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
+    """Change records of the named tables (all if none) in one frame, as one topic carries them.
+
+    The table name is a constant of each part, so routing to one table prunes the
+    scans of the others; naming the tables only saves planning them first.
     """
-    return reduce(DataFrame.unionByName, cdc_parts(spark, sf_dir))
+    parts = [part for t in (tables or CAPTURED) for part in changes_of(spark, sf_dir, t)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def config_changes(spark: SparkSession) -> DataFrame:
