@@ -143,18 +143,17 @@ def t7_stream_log_split(spark, sf):
       count(DISTINCT CASE WHEN page_id = 'good_detail' THEN mid END) AS good_detail_uv_ct,
       cast(epoch(w) as bigint) * 1000 AS ts
     FROM (SELECT *, date_trunc('hour', ts) AS w, max(epoch_us(ts) // 1000) OVER () AS last_ms FROM log_parts
-          WHERE NOT dirty AND page_id IS NOT NULL)
-    WHERE page_id IN ('home', 'good_detail')
-      AND w + INTERVAL 1 HOUR <= epoch_ms(last_ms - 5000)
+          WHERE NOT dirty AND page_id IN ('home', 'good_detail'))
+    WHERE w + INTERVAL 1 HOUR <= epoch_ms(last_ms - 5000)
     GROUP BY w"""))
 def t9_stream_page_uv(spark, sf):
-    """Windows the watermark has closed; the newest stay open."""
+    """Windows the watermark of the two pages has closed; the newest stay open."""
     child = stream_session(spark)
     keyed = log_keys(with_fields(derive.app_log(load_stream(child, sf, "events"))))
     log = keyed.select(
         "mid", F.expr("try_variant_get(fields['page'], '$.page_id', 'string')").alias("page_id"),
         F.timestamp_millis("ts").alias("ts"),
-    ).filter("page_id IS NOT NULL")
+    ).filter(F.col("page_id").isin("home", "good_detail"))
     return _appended(child, page_uv(watermark(log, "ts"), "1 hour"), "page-uv")
 
 

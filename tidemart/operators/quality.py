@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.text import last_token
+from tidemart.operators.joins import keyed_join
 
 GRADE = "P0"  # fixed value: grade of every violation
 
@@ -18,11 +19,12 @@ def word_set(words: DataFrame) -> DataFrame:
 def words_exist(df: DataFrame, words: DataFrame, column: str = "word") -> DataFrame:
     """Membership of each value in the word set as ``exists``.
 
-    The set is broadcast while Spark measures it below the broadcast limit.
+    The set is broadcast while Spark measures it below the broadcast limit; beyond
+    it both sides are shuffled and a frequent value is split.
     """
     known = word_set(words).select(F.col("word").alias("_known"))
     return (
-        df.join(known, F.col(column) == F.col("_known"), "left")
+        keyed_join(df, known, [column], ["_known"], "left")
         .withColumn("exists", F.col("_known").isNotNull())
         .drop("_known")
     )
