@@ -87,6 +87,7 @@ def test_dim_store(spark, tmp_path, rows):
         "dim_a", spark.createDataFrame(data, "rowkey string, info map<string,string>"), n)
     put([("k1", {"v": "1"}), ("k2", {"v": "2"})], 0)
     put([("k2", {"v": "3"}), ("k3", {"v": "4"})], 1)
+    put([("k2", {"v": "3"}), ("k3", {"v": "4"})], 1)  # the same batch again
     assert {r.rowkey: r.info["v"] for r in store.read("dim_a").collect()} == {"k1": "1", "k2": "3", "k3": "4"}
     assert store.count("dim_a") == 3 and store.scan("dim_a", 2).count() == 2
     assert store.get("dim_a", "k2").first().info == {"v": "3"}

@@ -10,6 +10,7 @@ from tidemart.operators.projections import cdc_image
 from tidemart.session import stream_session
 from tidemart.sinks.dims import DimStore
 from tidemart.sinks.upsert import UpsertTable
+from tidemart.sources.topics import TopicSpec
 from tidemart.streaming import jobs, stateful
 from tidemart.streaming.watermarks import fallback_watermark, json_watermark, list_watermark, watermark
 
@@ -132,3 +133,10 @@ def test_watermark_columns(spark):
     assert ms(list_watermark(df, "items", "5 seconds")) == [3000, None]
     timed = df.withColumn("event_time", F.timestamp_millis(F.lit(1)))
     assert watermark(timed, "event_time").count() == 2
+
+
+def test_comment_stream_prints(spark, tmp_path):
+    child = stream_session(spark)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text('{"ts_ms": 5}\n{bad\n')
+    jobs.finish(jobs.comment_stream(child, TopicSpec("c", folder=f"{tmp_path}/in")))

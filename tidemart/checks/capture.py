@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,11 +12,14 @@ from tidemart.inputs import derive
 from tidemart.inputs.sql import query
 from tidemart.operators import joins
 from tidemart.operators.latest import latest_n
-from tidemart.operators.projections import cdc_after, with_event_time
+from tidemart.operators.projections import cdc_after, filter_status, with_event_time
 from tidemart.operators.routing import cdc_route, clean_cdc, current_config, route_dims
-from tidemart.plans import dwd, dws
-from tidemart.schemas import CDC_TABLES
+from tidemart.plans import dim, dwd, dws
+from tidemart.schemas import CDC_TABLES, ORDER_CANCELLED
+from tidemart.session import shared_dir
+from tidemart.sinks.dims import DimStore
 from tidemart.sources.tables import load
+from tidemart.streaming.watermarks import json_watermark
 
 
 WIDE_TABLES = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
@@ -305,3 +310,45 @@ def p17_route_dims_projected(spark, sf):
     rows = route_dims(_feed(spark, sf), current_config(derive.config_changes(spark)), project=True)
     names = F.array_join(F.array_sort(F.map_keys("info")), ",")
     return rows.select("sink_table", "rowkey", names.alias("columns"))
+
+
+@check("s16_dim_reads", """
+    SELECT 'scan' AS what, least(count(*), 10) AS n FROM part
+    UNION ALL SELECT 'count', count(*) FROM part
+    UNION ALL SELECT 'get', count(*) FROM part WHERE p_partkey = 7
+    UNION ALL SELECT 'deleted', count(*) FROM part WHERE p_type <> 'ECONOMY'""")
+def s16_dim_reads(spark, sf):
+    """A dimension written, scanned, counted, read by key and thinned by keys."""
+    folder = shared_dir(spark, "dim-reads")
+    store = DimStore(spark, folder, f"dims_{folder[-12:]}")
+    rows = dim.dim_goods(derive.goods_log(load(spark, sf, "part"))).select(
+        "rowkey", F.from_json(F.to_json("info"), "map<string,string>").alias("info"))
+    store.create("dim_goods")
+    store.write("dim_goods", rows, 0)
+
+    def counted(what: str, df: DataFrame) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(what).alias("what"), "n")
+
+    store.create("dim_left")
+    store.write("dim_left", store.read("dim_goods"), 0)
+    store.delete("dim_left", rows.filter("info['operate_type'] = 'ECONOMY'"), 1)
+    parts = [
+        counted("scan", store.scan("dim_goods", 10)), counted("count", store.read("dim_goods")),
+        counted("get", store.get("dim_goods", "7")), counted("deleted", store.read("dim_left")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@check("p4_filter_status", query("SELECT id, order_status FROM order_info WHERE order_status = 1003"))
+def p4_filter_status(spark, sf):
+    return filter_status(_orders(spark, sf), "order_status", ORDER_CANCELLED).select("id", "order_status")
+
+
+@check("w2_comment_time", query(f"""
+    SELECT id, {sql_time('epoch_ms(create_time)')} AS event_time FROM comment_info"""))
+def w2_comment_time(spark, sf):
+    """Event time out of the JSON text of whole change records."""
+    feed = _feed(spark, sf, "comment_info")
+    records = feed.select(
+        F.get_json_object("after", "$.id").alias("id"), F.to_json(F.struct("op", "after", "ts_ms")).alias("value"))
+    return json_watermark(records, "ts_ms").select("id", "event_time")

@@ -15,8 +15,10 @@ class DimStore:
     """Dimension tables of one database.
 
     Each write makes a new version folder and then points the table at it, so
-    readers always see a whole version and a repeated write is harmless. Every
-    name is qualified here, once, for create, drop, read and write.
+    readers always see a whole version. A version already in place is not written
+    again, so a repeated batch is harmless. The catalog must outlive the session
+    (a metastore) for a store that does. Every name is qualified here, once, for
+    create, drop, read and write.
     """
 
     def __init__(self, spark: SparkSession, root: str, database: str = "dims") -> None:
@@ -63,13 +65,22 @@ class DimStore:
 
     def write(self, name: str, rows: DataFrame, version: str | int) -> None:
         """Put rows by row key; ``rows`` holds one row per key."""
+        if self._published(name, version):
+            return
         kept = self.read(name).join(rows.select("rowkey"), "rowkey", "left_anti")
         self._publish(name, kept.unionByName(rows.select(*kept.columns)), version)
 
     def delete(self, name: str, keys: DataFrame, version: str | int) -> None:
+        if self._published(name, version):
+            return
         kept = self.read(name).join(keys.select("rowkey"), "rowkey", "left_anti")
         self._publish(name, kept, version)
 
+    def _published(self, name: str, version: str | int) -> bool:
+        details = self.spark.sql(f"DESCRIBE FORMATTED {self.qualified(name)}")
+        location = details.filter("col_name = 'Location'").first()
+        return location.data_type.rstrip("/").endswith(f"/{name}/version={version}")
+
     def _publish(self, name: str, rows: DataFrame, version: str | int) -> None:
         folder = f"{self.root}/{name}/version={version}"
         rows.write.mode("overwrite").parquet(folder)

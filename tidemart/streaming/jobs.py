@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -18,8 +18,11 @@ from tidemart.operators.routing import (
 )
 from tidemart.plans import dwd
 from tidemart.sinks.dims import DimStore, sync_dim_tables, write_routed
+from tidemart.sinks.topics import show_stream
 from tidemart.sinks.upsert import UpsertTable
+from tidemart.sources.topics import TopicSpec, read_stream
 from tidemart.streaming.stateful import fix_is_new_stream
+from tidemart.streaming.watermarks import json_watermark
 
 CHECKPOINT_INTERVAL = "30 seconds"
 
@@ -92,6 +95,11 @@ def config_stream(changes: DataFrame, store: DimStore, checkpoint: str) -> DataS
     return batch_job(changes, checkpoint, step)
 
 
+def comment_stream(spark: SparkSession, topic: TopicSpec, field: str = "ts_ms") -> DataStreamWriter:
+    """Comment records with their event time, printed."""
+    return show_stream(json_watermark(read_stream(spark, topic), field))
+
+
 def log_split_stream(
     raw: DataFrame, order_by: str, path: str, checkpoint: str, ttl_ms: int | None = None
 ) -> DataStreamWriter:
