@@ -37,7 +37,7 @@ def dedup_latest(df: DataFrame, key: str, ts: str, order_by: str, chunk: int = 1
     greatest time before a chunk comes from per-chunk maxima, the rest from a
     window within the chunk, so a hot key is spread over its chunks.
     """
-    rows = df.withColumn("_chunk", F.floor(F.col(order_by) / chunk))
+    rows = df.withColumn("_chunk", F.call_function("div", F.col(order_by), F.lit(chunk)))
     maxima = rows.groupBy(F.col(key).alias("_key"), F.col("_chunk").alias("_c")).agg(F.max(ts).alias("_max"))
     before = Window.partitionBy("_key").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
     earlier = maxima.select("_key", "_c", F.max("_max").over(before).alias("_earlier"))

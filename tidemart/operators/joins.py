@@ -54,7 +54,7 @@ def interval_join(
     width = max(upper - lower, 1) * 1_000_000
 
     def bucket(t: Column, seconds: int) -> Column:
-        return F.floor((F.unix_micros(t) + F.lit(seconds * 1_000_000)) / width).cast("bigint")
+        return F.call_function("div", F.unix_micros(t) + F.lit(seconds * 1_000_000), F.lit(width))
 
     lt, rt = F.col(left_time), F.col(right_time)
     left = left.withColumn("_lb", F.explode(F.sequence(bucket(lt, lower), bucket(lt, upper))))

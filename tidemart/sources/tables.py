@@ -30,7 +30,8 @@ def _spread(df: DataFrame, path: str) -> DataFrame:
     parts = min(cores, summary.getLength() // SPREAD_BYTES)
     if parts < 2 or summary.getFileCount() >= parts or summary.getLength() > SPREAD_BELOW:
         return df
-    return df.repartition(parts)
+    # By the first column, the table's key: repeatable without sorting the rows first.
+    return df.repartition(parts, df.columns[0])
 
 
 def load_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
