@@ -315,3 +315,10 @@ def test_log_keys_of_odd_records(spark, rows):
     raw = spark.createDataFrame([('{"ts":"77"}',), ('{"common":5,"ts":1}',), ("{bad",)], "value string")
     assert rows(log_keys(with_fields(raw)).select("mid", "is_new", "ts")) == sorted(
         [(None, None, 77), (None, None, 1), (None, None, None)], key=repr)
+
+
+def test_records_are_parsed_once(spark):
+    raw = spark.createDataFrame([(r,) for r in RECORDS], "value string")
+    used = log_keys(with_fields(raw)).filter("mid IS NOT NULL AND ts > 0").select(
+        "mid", F.col("ts") + 1, F.concat("mid", "is_new"))
+    assert used._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1

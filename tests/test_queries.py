@@ -16,6 +16,8 @@ def duck():
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_same_as_sql(spark, duck, name):
     df = queries()[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     sql = oracle_sql().get(name)
     if sql is None:
         assert df.count() > 0

@@ -66,9 +66,6 @@ def _n(expr: str) -> str:
     return f"coalesce(cast({expr} as varchar), 'null')"
 
 
-_TIME = "regexp_replace(strftime({}, '%Y-%m-%d %H:%M:%S.%f'), '\\.?0+$', '')"
-
-
 def _time(expr: str) -> str:
     # A timestamp cast to text drops a zero fraction.
     return _q(f"CASE WHEN {expr} = date_trunc('second', {expr}) THEN strftime({expr}, '%Y-%m-%d %H:%M:%S') "

@@ -21,14 +21,13 @@ def _spread(df: DataFrame, path: str) -> DataFrame:
     """Spread a small table kept as one file over the cores.
 
     A file of one row group is read by one task, and so would be everything up to
-    the next shuffle. Tables of real size have files enough and are left alone.
+    the next shuffle. Tables of real size are folders of files and are left alone.
     """
     spark = df.sparkSession
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    summary = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop_path)
-    cores = spark.sparkContext.defaultParallelism
-    parts = min(cores, summary.getLength() // SPREAD_BYTES)
-    if parts < 2 or summary.getFileCount() >= parts or summary.getLength() > SPREAD_BELOW:
+    status = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop_path)
+    parts = min(spark.sparkContext.defaultParallelism, status.getLen() // SPREAD_BYTES)
+    if not status.isFile() or parts < 2 or status.getLen() > SPREAD_BELOW:
         return df
     # By the first column, the table's key: repeatable without sorting the rows first.
     return df.repartition(parts, df.columns[0])
