@@ -2,9 +2,11 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tidemart.checks import load_all
 from tests.compare import connect, difference
 
+QUERIES, SQL = load_all()
 SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -13,12 +15,12 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_as_sql(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    sql = oracle_sql().get(name)
+    sql = SQL.get(name)
     if sql is None:
         assert df.count() > 0
     else:
@@ -30,4 +32,4 @@ def test_entry(spark):
 
 
 def test_rows_only_queries_are_the_approximate_ones():
-    assert set(queries()) - set(oracle_sql()) == {"t4_dedup_bloom", "t4_stream_dedup_bloom"}
+    assert set(QUERIES) - set(SQL) == {"t4_dedup_bloom", "t4_stream_dedup_bloom"}
