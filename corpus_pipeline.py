@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import decontaminate, secrets, simhash
+from tidemart.llm import decontaminate, packing, quality, secrets, simhash
 from tidemart.llm.common import prepared, table, written
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and are mostly content lines."""
+    return quality.kept(docs, table(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
     prepared(spark)
@@ -25,10 +30,18 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return secrets.redacted(docs)
 
 
+def lexical_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in windows of lexically close neighbours."""
+    prepared(spark)
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
     ("benchmark_decontamination", benchmark_decontamination),
     ("secret_scans", secret_scans),
+    ("lexical_packing", lexical_packing),
 ]
 
 #: The stages use a trained model, XXH64 and a tokenizer, which SQL cannot express.

@@ -7,17 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import decontaminate, secrets, simhash, sql
+from tidemart.llm import decontaminate, packing, quality, secrets, simhash, sql
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.quality(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 def op2_simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -40,7 +49,9 @@ def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_field": op1_line_field,
     "op2_simhash_vantage": op2_simhash_vantage,
+    "op4_retrieval_packing": op4_retrieval_packing,
     "op5_decontaminate": op5_decontaminate,
     "op7_linked_secrets": op7_linked_secrets,
 }
