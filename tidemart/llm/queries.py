@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import decontaminate, packing, quality, secrets, simhash, sql
+from tidemart.llm import decontaminate, packing, quality, secrets, simhash, simple8b, sql, transducer
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simple8b_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simple8b.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -48,12 +52,18 @@ def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_field": op1_line_field,
     "op2_simhash_vantage": op2_simhash_vantage,
     "op4_retrieval_packing": op4_retrieval_packing,
     "op5_decontaminate": op5_decontaminate,
+    "op6_simple8b_files": op6_simple8b_files,
     "op7_linked_secrets": op7_linked_secrets,
+    "op8_transducer_counts": op8_transducer_counts,
 }
 SQL: dict[str, str] = {
     "op5_decontaminate": sql.decontaminated(),
