@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import decontaminate, packing, quality, secrets, simhash, simple8b, sql, transducer
+from tidemart.llm import backoff, decontaminate, packing, quality, secrets, simhash, simple8b, sql, toxicity, transducer
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,15 @@ def op8_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op9_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.scores(table(spark, sf_dir, "documents"))
+
+
+def op10_convolutional_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_field": op1_line_field,
     "op2_simhash_vantage": op2_simhash_vantage,
@@ -64,6 +73,8 @@ QUERIES: dict[str, Query] = {
     "op6_simple8b_files": op6_simple8b_files,
     "op7_linked_secrets": op7_linked_secrets,
     "op8_transducer_counts": op8_transducer_counts,
+    "op9_stupid_backoff": op9_stupid_backoff,
+    "op10_convolutional_toxicity": op10_convolutional_toxicity,
 }
 SQL: dict[str, str] = {
     "op5_decontaminate": sql.decontaminated(),
