@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import backoff, decontaminate, packing, quality, secrets, simhash, simple8b, sql, toxicity, transducer
+from tidemart.llm import backoff, decontaminate, packing, quality, secrets, simhash, simple8b, sql, toxicity, transducer, warc
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op2_simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
 def op4_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ def op10_convolutional_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_field": op1_line_field,
     "op2_simhash_vantage": op2_simhash_vantage,
+    "op3_warc_derivatives": op3_warc_derivatives,
     "op4_retrieval_packing": op4_retrieval_packing,
     "op5_decontaminate": op5_decontaminate,
     "op6_simple8b_files": op6_simple8b_files,
@@ -77,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op10_convolutional_toxicity": op10_convolutional_toxicity,
 }
 SQL: dict[str, str] = {
+    "op3_warc_derivatives": sql.warc_derivatives(),
     "op5_decontaminate": sql.decontaminated(),
     "op7_linked_secrets": sql.secrets_found(),
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tidemart.llm import decontaminate, secrets
+from functools import reduce
+
+from tidemart.llm import decontaminate, secrets, warc
 
 
 def _quoted(text: str) -> str:
@@ -73,3 +75,41 @@ listed AS (SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (ki
 SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
   coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN listed USING (r)"""
+
+
+def _urn(seed: str) -> str:
+    h = f"sha256({seed})"
+    parts = [f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    return "'<urn:uuid:' || " + " || '-' || ".join(parts) + " || '>'"
+
+
+def warc_derivatives() -> str:
+    line = _quoted(warc.LINE)
+    text = reduce(lambda t, s: f"regexp_replace({t}, {_quoted(s[0])}, {_quoted(s[1])}, 'g')", warc.STEPS, "payload")
+    title = f"regexp_replace(regexp_extract(payload, {_quoted(warc.TITLE)}, 1), '[\\x20\\x09\\x0A\\x0D]+', ' ', 'g')"
+    columns = "page_id, {kind} AS warc_type, {own} AS record_id, response_id AS refers_to, uri AS target_uri, source AS " \
+              "payload_digest, {media} AS media, {block} AS block"
+    conversion = columns.format(kind="'conversion'", own="conversion", media="'text/plain; charset=utf-8'", block="body")
+    fields = f" || {line} || ".join([
+        f"'title: ' || {title}",
+        f"'links: ' || len(regexp_extract_all(payload, {_quoted(warc.LINK)}))",
+        "'text-characters: ' || length(body)", "'conversion-record: ' || conversion", "'source-payload-digest: ' || source",
+        "'source-header: HTTP/1.1 200 OK'", "'source-header: Content-Type: text/html; charset=utf-8'",
+        "'source-header: Content-Length: ' || octet_length(encode(payload))", "''",
+    ])
+    metadata = columns.format(kind="'metadata'", own="metadata", media="'application/warc-fields'", block=fields)
+    header = f" || {line} || ".join([
+        _quoted(warc.VERSION), "'WARC-Type: ' || warc_type", "'WARC-Record-ID: ' || record_id", "'WARC-Refers-To: ' || refers_to",
+        "'WARC-Target-URI: ' || target_uri", _quoted(f"WARC-Date: {warc.DATE}"),
+        "'WARC-Refers-To-Payload-Digest: ' || payload_digest", "'WARC-Block-Digest: ' || block_digest",
+        "'Content-Type: ' || media", "'Content-Length: ' || content_length", "''", "''",
+    ])
+    return f"""
+WITH r AS (SELECT page_id, coalesce(url, '') AS uri, coalesce(html, '') AS payload FROM pages),
+i AS (SELECT *, {_urn("coalesce(CAST(page_id AS VARCHAR), '') || ' ' || uri")} AS response_id FROM r),
+t AS (SELECT *, {_urn("response_id || ' conversion'")} AS conversion, {_urn("response_id || ' metadata'")} AS metadata,
+  'sha256:' || sha256(payload) AS source, {text} AS body FROM i),
+b AS (SELECT {conversion} FROM t UNION ALL SELECT {metadata} FROM t),
+d AS (SELECT *, 'sha256:' || sha256(block) AS block_digest, octet_length(encode(block))::BIGINT AS content_length FROM b)
+SELECT page_id, warc_type, record_id, refers_to, target_uri, payload_digest, block_digest, content_length,
+  {header} AS header, block FROM d"""
