@@ -1,11 +1,17 @@
 """SimHash near-duplicates: vantage-point trees shard the fingerprints, exact pairs come from the shards.
 
-A vantage-point tree over a bounded sample splits the Hamming space: at each node the
-distance to a vantage fingerprint decides the side. Every fingerprint has one home leaf.
-By the triangle inequality a partner within ``radius`` of x lies on the inner side only
-if d(x, v) - radius <= m and on the outer side only if d(x, v) + radius > m; x also visits
-every later leaf its ball reaches, and a leaf compares its residents with each other
-and with its visitors. So each linked pair meets in exactly one leaf, and none is lost.
+Two fingerprints within ``radius`` bits differ in at most ``radius // blocks`` bits of at
+least one of ``blocks`` disjoint bit ranges. Over each range a vantage-point tree, grown on a bounded
+sample, splits the Hamming space: at each node the distance to a vantage point decides the
+side. Every fingerprint has one home leaf in each tree. By the triangle inequality a partner
+of x within r bits lies on the inner side only if d(x, v) - r <= m and on the outer side
+only if d(x, v) + r > m; x also visits every later leaf that its ball reaches, and a leaf compares its
+residents, in all 64 bits, with each other and with its visitors. So each linked pair meets in
+one leaf of some tree, and none is lost.
+
+With one tree over all 64 bits (``blocks=1``) almost every bound lies within the radius of
+most points, and the visits grow as the input to the power 1.6. Four trees with a radius of one bit
+bound them: a ball holds 17 points of a 16-bit range, so 68 rows per fingerprint at most.
 
 Equal fingerprints are one class before the tree, so copies cost one row. A leaf gives
 a spanning forest of its links, not all pairs. Classes are joined by alternating
@@ -37,6 +43,7 @@ SHINGLE = 4
 RADIUS = 4
 SEED = 42
 LEAF_SIZE = 4096
+BLOCKS = 4
 SAMPLE_PER_LEAF, MAX_SAMPLE = 64, 200_000
 #: Cells of one block of the distance matrix in a leaf.
 BLOCK_CELLS = 1 << 21
@@ -84,69 +91,75 @@ def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 class VantageTree:
-    """A vantage-point tree over 64-bit fingerprints under Hamming distance."""
+    """A vantage-point tree over fixed-width bit strings under Hamming distance."""
 
-    def __init__(self, sample: np.ndarray, leaves: int, seed: int = SEED):
+    def __init__(self, sample: np.ndarray, leaves: int, radius: int, seed: int = SEED):
+        self.radius = radius
         self.vantage: list[int] = []
         self.bound: list[int] = []
         self.inner: list[int] = []
         self.outer: list[int] = []
         self.leaves = 0
         self._random = np.random.default_rng(seed)
-        self._grow(np.unique(sample), leaves)
+        self._grow(sample, leaves)
 
     def _grow(self, sample: np.ndarray, leaves: int) -> int:
         node = len(self.vantage)
-        self.vantage.append(0)
-        self.bound.append(-1)
-        self.inner.append(-1)
-        self.outer.append(-1)
+        for column, value in ((self.vantage, 0), (self.bound, -1), (self.inner, -1), (self.outer, -1)):
+            column.append(value)
         split = self._split(sample) if leaves > 1 and len(sample) > 1 else None
         if split is None:
             self.inner[node] = -1 - self.leaves  # a leaf holds its number, negated
             self.leaves += 1
             return node
-        vantage, bound, inside = split
-        self.vantage[node], self.bound[node] = int(vantage), int(bound)
-        self.inner[node] = self._grow(sample[inside], (leaves + 1) // 2)
-        self.outer[node] = self._grow(sample[~inside], leaves // 2)
+        self.vantage[node], self.bound[node] = split
+        inside = np.bitwise_count(sample ^ np.uint64(split[0])) <= split[1]
+        within = min(leaves - 1, max(1, round(leaves * inside.mean())))
+        self.inner[node] = self._grow(sample[inside], within)
+        self.outer[node] = self._grow(sample[~inside], leaves - within)
         return node
 
-    def _split(self, sample: np.ndarray) -> tuple[int, int, np.ndarray] | None:
-        """Of a few candidates the vantage whose median shell of width 2*RADIUS holds least."""
+    def _split(self, sample: np.ndarray) -> tuple[int, int] | None:
+        """Of a few vantage points and bounds those with the fewest crossings for what they part."""
         best = None
-        for vantage in self._random.choice(sample, min(12, len(sample)), replace=False):
-            d = np.bitwise_count(sample ^ vantage).astype(np.int64)
-            bound = int(np.median(d))
-            if bound >= d.max():
-                bound = int(d.max()) - 1
-            inside = d <= bound
-            if inside.all() or not inside.any():
-                continue
-            both = float(((d - RADIUS <= bound) & (d + RADIUS > bound)).mean()) + abs(inside.mean() - 0.5)
-            if best is None or both < best[0]:
-                best = (both, int(vantage), bound, inside)
+        for vantage in self._random.choice(sample, min(24, len(sample)), replace=False):
+            share = np.bincount(np.bitwise_count(sample ^ vantage), minlength=80) / len(sample)
+            upto = np.cumsum(share)
+            for bound in range(64):
+                p = upto[bound]
+                if 0.2 <= p <= 0.8:
+                    crossing = upto[bound + self.radius]
+                    crossing -= upto[bound - self.radius] if bound >= self.radius else 0.0
+                    cost = (np.log2(1 + crossing) + 0.01) / -(p * np.log2(p) + (1 - p) * np.log2(1 - p))
+                    if best is None or cost < best[0]:
+                        best = (cost, int(vantage), bound)
         return best and best[1:]
 
-    def places(self, values: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(leaf, residents, visitors) with visitors from earlier leaves whose ball reaches the leaf."""
-        yield from self._place(0, values, np.zeros(0, np.uint64), radius)
+    def places(self, values: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(leaf, residents, visitors) as positions; a visitor's home is an earlier leaf and its ball reaches this one."""
+        yield from self._place(0, values, np.arange(len(values)), np.zeros(0, np.int64))
 
-    def _place(self, node: int, home: np.ndarray, visit: np.ndarray, radius: int):
+    def _place(self, node: int, values: np.ndarray, home: np.ndarray, visit: np.ndarray):
         if self.bound[node] < 0:
             yield -1 - self.inner[node], home, visit
             return
-        vantage, bound = np.uint64(self.vantage[node]), self.bound[node]
-        dh = np.bitwise_count(home ^ vantage).astype(np.int16)
-        dv = np.bitwise_count(visit ^ vantage).astype(np.int16)
-        yield from self._place(self.inner[node], home[dh <= bound], visit[dv - radius <= bound], radius)
-        # Residents of the inner side visit the outer one; it comes later, so no pair meets twice.
+        vantage, bound, radius = np.uint64(self.vantage[node]), self.bound[node], self.radius
+        dh = np.bitwise_count(values[home] ^ vantage).astype(np.int16)
+        dv = np.bitwise_count(values[visit] ^ vantage).astype(np.int16)
+        yield from self._place(self.inner[node], values, home[dh <= bound], visit[dv - radius <= bound])
+        # Residents of the inner side visit the outer one; it comes later, so no pair meets twice in a tree.
         crossing = home[(dh <= bound) & (dh + radius > bound)]
         yield from self._place(
-            self.outer[node], home[dh > bound], np.concatenate([visit[dv + radius > bound], crossing]), radius
+            self.outer[node], values, home[dh > bound], np.concatenate([visit[dv + radius > bound], crossing])
         )
 
 
+def block(values: np.ndarray, number: int, blocks: int) -> np.ndarray:
+    """One of ``blocks`` disjoint bit ranges of fingerprints."""
+    first, end = 64 * number // blocks, 64 * (number + 1) // blocks
+    return (values >> np.uint64(first)) & np.uint64((1 << (end - first)) - 1)
+
+
 def forest(home: np.ndarray, visit: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
     """Edges (index, root index) of a spanning forest over the pairs within ``radius`` that have a resident."""
     every = np.concatenate([home, visit])
@@ -172,7 +185,7 @@ def forest(home: np.ndarray, visit: np.ndarray, radius: int = RADIUS) -> list[tu
     return [(i, root(i)) for i in np.flatnonzero(parent != np.arange(len(every)))]
 
 
-def links(classes: DataFrame, radius: int = RADIUS, leaf_size: int = LEAF_SIZE) -> DataFrame:
+def links(classes: DataFrame, radius: int = RADIUS, leaf_size: int = LEAF_SIZE, blocks: int = BLOCKS) -> DataFrame:
     """(a, b) long: a forest per leaf over distinct fingerprints ``fp`` within ``radius`` bits."""
     spark = classes.sparkSession
     n = classes.count()
@@ -183,17 +196,20 @@ def links(classes: DataFrame, radius: int = RADIUS, leaf_size: int = LEAF_SIZE)
         F.pmod(by_hash, F.lit(1 << 30)) < F.lit(int(1.5 * wanted / n * (1 << 30)) + 1)
     )
     sample = np.array([r.fp for r in share.select("fp").limit(2 * wanted).collect()], np.int64).view(np.uint64)
-    tree = spark.sparkContext.broadcast(VantageTree(sample, leaves))
+    grown = [VantageTree(block(sample, k, blocks), leaves, radius // blocks) for k in range(blocks)]
+    trees = spark.sparkContext.broadcast(grown)
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(0).to_numpy().view(np.uint64)
-            for leaf, home, visit in tree.value.places(values, radius):
-                for part, resident in ((home, True), (visit, False)):
-                    if len(part):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(part), leaf, np.int32)), pa.array(part.view(np.int64)),
-                             pa.array(np.full(len(part), resident))], names=["leaf", "fp", "resident"])
+            for k, tree in enumerate(trees.value):
+                for leaf, home, visit in tree.places(block(values, k, blocks)):
+                    for part, resident in ((home, True), (visit, False)):
+                        if len(part):
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(np.full(len(part), k << 24 | leaf, np.int32)),
+                                 pa.array(values[part].view(np.int64)),
+                                 pa.array(np.full(len(part), resident))], names=["leaf", "fp", "resident"])
 
     def pairs(group: pa.Table) -> pa.Table:
         values, resident = group["fp"].to_numpy().view(np.uint64), group["resident"].to_numpy()
@@ -234,13 +250,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, leaf_size: int = LEAF_SIZE
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS,
+    leaf_size: int = LEAF_SIZE, blocks: int = BLOCKS,
 ) -> DataFrame:
     """One row (id, fp, component_id) per document; the component is the least id reachable over links."""
     marked = fingerprints(docs.select(id_col, text_col), text_col).select(F.col(id_col).alias("doc_id"), "fp")
     marked = written(marked, "fingerprints")
     classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = components(links(classes, radius, leaf_size))
+    roots = components(links(classes, radius, leaf_size, blocks))
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
