@@ -205,13 +205,18 @@ def train(x: np.ndarray, y: np.ndarray, lengths: np.ndarray) -> Field:
     return field_
 
 
+def all_content() -> Field:
+    """The field that calls every line content."""
+    return Field(np.eye(1, len(FEATURES))[0], np.zeros((2, 2)))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Field:
     """Train on the lines of a bounded sample of labelled documents."""
     good = labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("__label"))
     chosen = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     rows = chosen.collect()
     if len({r["__label"] for r in rows}) < 2:
-        return Field(np.eye(1, len(FEATURES))[0], np.zeros((2, 2)))
+        return all_content()
     spark = docs.sparkSession
     named = spark.createDataFrame([(r["doc_id"], r["__label"]) for r in rows], "doc_id long, __label int")
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(named), "doc_id")
@@ -232,6 +237,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
         xs.append(x[:, :-1])
         ys.append(np.where(x[:, -1] > 0, 0, row["__label"]))
         ns.append(len(x))
+    if len({label for y in ys for label in y.tolist()}) < 2:
+        return all_content()
     return train(np.concatenate(xs), np.concatenate(ys).astype(np.int64), np.array(ns))
 
 

@@ -195,6 +195,13 @@ def fold(doc_id: str | Column) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS, F.lit(-1))
 
 
+def no_signal() -> TextNet:
+    """The classifier that takes every text for clean."""
+    net = TextNet()
+    net.out[:] = 0
+    return net
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> TextNet:
     known = labels.filter("doc_id is not null and toxic in (0, 1)").filter(fold("doc_id") != 0)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("__label"))
@@ -203,9 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> TextNet:
         for row in known.filter(F.col("__label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS).collect()
     ]
     if len({r["__label"] for r in rows}) < 2:
-        net = TextNet()
-        net.out[:] = 0
-        return net
+        return no_signal()
     named = docs.sparkSession.createDataFrame([(r["doc_id"], r["__label"]) for r in rows], "doc_id long, __label int")
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(named), "doc_id")
 
@@ -224,6 +229,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> TextNet:
         texts.append(ids)
         ys.append(row["__label"])
         spoken.append(row["__spoken"])
+    if len(set(ys)) < 2:
+        return no_signal()
     y, spoken = np.array(ys), np.array(spoken)
     order = np.random.default_rng(3).permutation(len(texts))
     held, used = order[:len(order) // 5], order[len(order) // 5:]
