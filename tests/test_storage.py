@@ -159,4 +159,4 @@ def test_shared_folder(spark):
     child = spark.newSession()
     assert shared_root(child) == shared_root(spark)
     assert shuffle_partitions(spark, 100 << 40) == 204_800
-    assert shuffle_partitions(spark, 1) == spark.sparkContext.defaultParallelism
+    assert shuffle_partitions(spark, 1) == 4 * spark.sparkContext.defaultParallelism

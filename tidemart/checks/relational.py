@@ -257,7 +257,7 @@ def j8_segment_full_join(spark, sf):
     UNION ALL SELECT 'today_customer_count', cast(count(DISTINCT user_id) as varchar)
     FROM payment_fact WHERE dt = '{DASHBOARD_DAY}'"""))
 def realtime_dashboard(spark, sf):
-    return ads.realtime_dashboard(joins.payment_fact(*_payments(spark, sf)), DASHBOARD_DAY)
+    return ads.realtime_dashboard(dwd.paid(_payments(spark, sf)[0]), DASHBOARD_DAY)
 
 
 @check("p5_behavior_flags", query("""
@@ -273,8 +273,8 @@ def p5_behavior_flags(spark, sf):
 
 @check("p8_filter_day", query(f"SELECT pay_id, user_id, dt FROM payment_fact WHERE dt = '{DASHBOARD_DAY}'"))
 def p8_filter_day(spark, sf):
-    fact = joins.payment_fact(*_payments(spark, sf))
-    return projections.filter_day(fact, DASHBOARD_DAY).select("pay_id", "user_id", "dt")
+    fact = dwd.trade_payment_fact(*_payments(spark, sf))
+    return projections.filter_day(fact, DASHBOARD_DAY, time="pay_time").select("pay_id", "user_id", "dt")
 
 
 @check("s4b_camel_case", """

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 import tidemart.checks.capture  # noqa: F401  (registers the SQL reused here)
 import tidemart.checks.quality  # noqa: F401
 import tidemart.checks.relational  # noqa: F401
+from tidemart.checks.quality import BLOOM_RATE, bloom_quality
 from tidemart.checks.registry import SQL, check, sql_time
 from tidemart.inputs import derive
 from tidemart.inputs.sql import query
 from tidemart.operators import joins
-from tidemart.operators.aggregates import page_uv
+from tidemart.operators.aggregates import page_visitors, visitor_counts
 from tidemart.operators.projections import cdc_image, with_event_time
 from tidemart.operators.routing import cdc_route, log_keys, with_fields
 from tidemart.schemas import CDC_TABLES
@@ -110,21 +111,25 @@ def t2_stream_dedup_latest(spark, sf):
 @check("t3_stream_dedup_exact", SQL["t3_dedup_exact"])
 def t3_stream_dedup_exact(spark, sf):
     child = stream_session(spark)
+    folder = shared_dir(spark, "dedup-exact")
     rows = load_stream(child, sf, "events").select(
-        "ts", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
-    kept = stateful.dedup_exact_stream(rows, ["user_id", "event_type", "day"], "ts", "31 days")
-    return _appended(child, kept.drop("ts"), "dedup-exact")
+        "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    step = stateful.dedup_exact_batches(folder, rows.columns)
+    jobs.finish(jobs.batch_job(rows, f"{folder}/checkpoint", step))
+    return stateful.dedup_exact_rows(child, folder)
 
 
-@check("t4_stream_dedup_bloom")
+@check("t4_stream_dedup_bloom", SQL["t4_dedup_bloom"])
 def t4_stream_dedup_bloom(spark, sf):
-    """Approximate, so no SQL."""
+    """As in the batch form: filters designed for far fewer keys than come."""
     child = stream_session(spark)
     rows = load_stream(child, sf, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.unix_millis("l_shipdate").alias("ts_ms"))
     shards = child.sparkContext.defaultParallelism
-    kept = stateful.dedup_bloom_stream(rows, expected=200_000, rate=0.001, shards=shards)
-    return _appended(child, kept, "dedup-bloom")
+    kept = _appended(child, stateful.dedup_bloom_stream(rows, expected=1000, rate=BLOOM_RATE, shards=shards), "dedup-bloom")
+    batch = load(child, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.unix_millis("l_shipdate").alias("ts_ms"))
+    return bloom_quality(kept, batch)
 
 
 @check("t7_stream_log_split", SQL["log_split"])
@@ -136,25 +141,19 @@ def t7_stream_log_split(spark, sf):
     return child.read.parquet(f"{folder}/rows").select("output", "log_id", "value")
 
 
-@check("t9_stream_page_uv", query("""
-    SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS stt, strftime(w + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS edt,
-      strftime(w, '%Y-%m-%d') AS cur_date,
-      count(DISTINCT CASE WHEN page_id = 'home' THEN mid END) AS home_uv_ct,
-      count(DISTINCT CASE WHEN page_id = 'good_detail' THEN mid END) AS good_detail_uv_ct,
-      cast(epoch(w) as bigint) * 1000 AS ts
-    FROM (SELECT *, date_trunc('hour', ts) AS w, max(epoch_us(ts) // 1000) OVER () AS last_ms FROM log_parts
-          WHERE NOT dirty AND page_id IN ('home', 'good_detail'))
-    WHERE w + INTERVAL 1 HOUR <= epoch_ms(last_ms - 5000)
-    GROUP BY w"""))
+@check("t9_stream_page_uv", SQL["t9_page_uv"])
 def t9_stream_page_uv(spark, sf):
-    """Windows the watermark of the two pages has closed; the newest stay open."""
+    """All windows: visitors are kept in a keyed table as they come, and counted from it."""
     child = stream_session(spark)
+    folder = shared_dir(spark, "page-uv")
     keyed = log_keys(with_fields(derive.app_log(load_stream(child, sf, "events"))))
     log = keyed.select(
         "mid", F.expr("try_variant_get(fields['page'], '$.page_id', 'string')").alias("page_id"),
         F.timestamp_millis("ts").alias("ts"),
-    ).filter(F.col("page_id").isin("home", "good_detail"))
-    return _appended(child, page_uv(watermark(log, "ts"), "1 hour"), "page-uv")
+    )
+    table = UpsertTable(f"{folder}/visitors", ["window", "mid"])
+    jobs.finish(jobs.upsert_stream(page_visitors(watermark(log, "ts"), "1 hour"), table, f"{folder}/checkpoint", "update"))
+    return visitor_counts(table.read(child))
 
 
 @check("s11_day_partitions", """

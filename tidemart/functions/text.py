@@ -7,9 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Punctuation accepted beside CJK ideographs, letters and digits.
-ALLOWED_PUNCTUATION = "[]-_+{}:：“<>`?!—·~@#$%^&*(、，。；‘【】！￥…（）\""
-ALLOWED_RANGES = "一-龥a-zA-Z0-9"
+# Fixed value: the class of accepted characters.
+ALLOWED = r"""[\u4e00-\u9fa5a-zA-Z0-9\[\]\-_+{}:：“<>`?!——+·~@#$%^&*(、，。；‘【】！@#￥%……&*（）)"]"""
 
 
 def join_list(items: Column, delimiter: str) -> Column:
@@ -50,8 +49,7 @@ def is_blank(text: Column) -> Column:
 
 def only_allowed_characters(text: Column) -> Column:
     """every character is in the allowed set, and there is at least one."""
-    punctuation = "".join(re.escape(c) if c.isascii() else c for c in ALLOWED_PUNCTUATION)
-    return text.rlike(f"^[{ALLOWED_RANGES}{punctuation}]+\\z")
+    return text.rlike(f"^{ALLOWED}+\\z")
 
 
 def last_token(text: Column, separator: str = ",") -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.jsonio import safe_ratio
@@ -176,13 +176,25 @@ def page_uv(log: DataFrame, length: str = "10 seconds", home: str = "home", deta
     Visitors are reduced to one row per window first. Works on a batch and, with
     a watermark on ``ts``, on a stream in append mode.
     """
-    visitors = log.filter(F.col("page_id").isin(home, detail)).groupBy(F.window("ts", length), "mid").agg(
+    visitors = page_visitors(log, length, home, detail)
+    return _uv_rows(visitors.groupBy(F.window(F.window_time("window"), length)))
+
+
+def page_visitors(log: DataFrame, length: str = "10 seconds", home: str = "home", detail: str = "good_detail") -> DataFrame:
+    """T9, first step alone: one row per window and visitor, for update mode into a keyed table."""
+    return log.filter(F.col("page_id").isin(home, detail)).groupBy(F.window("ts", length), "mid").agg(
         F.max((F.col("page_id") == home).cast("int")).alias("_home"),
         F.max((F.col("page_id") == detail).cast("int")).alias("_detail"),
     )
-    counted = visitors.groupBy(F.window(F.window_time("window"), length)).agg(
-        F.sum("_home").alias("home_uv_ct"), F.sum("_detail").alias("good_detail_uv_ct")
-    )
+
+
+def visitor_counts(visitors: DataFrame) -> DataFrame:
+    """T9, second step: the counts of every window from its visitors, open windows too."""
+    return _uv_rows(visitors.groupBy("window"))
+
+
+def _uv_rows(grouped: GroupedData) -> DataFrame:
+    counted = grouped.agg(F.sum("_home").alias("home_uv_ct"), F.sum("_detail").alias("good_detail_uv_ct"))
     pattern = "yyyy-MM-dd HH:mm:ss"
     return counted.select(
         F.date_format("window.start", pattern).alias("stt"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -17,12 +18,13 @@ def fix_is_new(log: DataFrame, order_by: str, key: str = "mid", is_new: str = "i
     """A visitor marked new on another day than the first visit is not new.
 
     The first record of a device in ``order_by`` (a number) sets the first visit:
-    its own day if marked new, the day before otherwise. That record is found by
-    a map-side reducible aggregate; no task holds all records of one device.
+    its own day if marked new, the day before otherwise; records without a time are
+    neither first nor repaired. That record is found by a map-side reducible
+    aggregate; no task holds all records of one device.
     """
     new = F.col(is_new).eqNullSafe("1")
     day = F.to_date(F.timestamp_millis(ts))
-    first = log.groupBy(F.col(key).alias("_mid")).agg(
+    first = log.filter(F.col(ts).isNotNull()).groupBy(F.col(key).alias("_mid")).agg(
         F.min_by(F.when(new, day).otherwise(F.date_sub(day, 1)), order_by).alias("_first")
     )
     joined = keyed_join(log, first, [key], ["_mid"], "left")
@@ -64,19 +66,65 @@ def bloom_size(expected: int, rate: float) -> tuple[int, int]:
     return bits, max(1, round(bits / expected * math.log(2)))
 
 
-def bloom_keep(bits: np.ndarray, h1: np.ndarray, h2: np.ndarray, hashes: int) -> np.ndarray:
-    """Mark rows whose hash pair is not yet in ``bits`` (a bool array), and add them.
+class GrowingBloom:
+    """A bloom filter that keeps its error rate at any number of keys.
 
-    Equal pairs within one call count once, the first row of them being kept.
+    It is a list of filters: when the last one holds the keys it was made for, a
+    filter for twice as many at half the rate follows, so all errors together stay
+    below ``rate``.
     """
-    pairs = pd.DataFrame({"a": h1, "b": h2})
-    first = ~pairs.duplicated().to_numpy()
-    a, b = h1.astype(np.uint64), h2.astype(np.uint64) | np.uint64(1)
-    steps = np.arange(1, hashes + 1, dtype=np.uint64)
-    places = ((a[:, None] + steps[None, :] * b[:, None]) % np.uint64(bits.size)).astype(np.int64)
-    new = ~bits[places].all(axis=1) & first
-    bits[places[new].ravel()] = True
-    return new
+
+    def __init__(self, expected: int, rate: float) -> None:
+        self.expected, self.rate = max(1, expected), rate
+        self.layers: list[tuple[np.ndarray, int]] = []  # bits, hashes
+        self.room = 0
+
+    def _grow(self) -> None:
+        n = len(self.layers)
+        size, hashes = bloom_size(self.expected << n, self.rate / 2 ** (n + 1))
+        self.layers.append((np.zeros(size, dtype=bool), hashes))
+        self.room = self.expected << n
+
+    @staticmethod
+    def _places(a: np.ndarray, b: np.ndarray, bits: np.ndarray, hashes: int) -> np.ndarray:
+        steps = np.arange(1, hashes + 1, dtype=np.uint64)
+        return ((a[:, None] + steps[None, :] * b[:, None]) % np.uint64(bits.size)).astype(np.int64)
+
+    def keep(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        """Mark rows whose hash pair is not yet in the filter, and add them.
+
+        Equal pairs within one call count once, the first row of them being kept.
+        """
+        first = ~pd.DataFrame({"a": h1, "b": h2}).duplicated().to_numpy()
+        a, b = h1.astype(np.uint64), h2.astype(np.uint64) | np.uint64(1)
+        new = np.zeros(len(a), dtype=bool)
+        at = 0
+        while at < len(a):
+            if not self.room:
+                self._grow()
+            end = min(len(a), at + self.room)  # no more rows than the last filter has room for
+            fresh = first[at:end].copy()
+            for bits, hashes in self.layers:
+                fresh &= ~bits[self._places(a[at:end], b[at:end], bits, hashes)].all(axis=1)
+            bits, hashes = self.layers[-1]
+            bits[self._places(a[at:end][fresh], b[at:end][fresh], bits, hashes).ravel()] = True
+            self.room -= int(fresh.sum())
+            new[at:end] = fresh
+            at = end
+        return new
+
+    def packed(self) -> bytes:
+        return pickle.dumps((self.expected, self.rate, self.room, [
+            (np.packbits(bits).tobytes(), bits.size, hashes) for bits, hashes in self.layers]))
+
+    @classmethod
+    def unpacked(cls, raw: bytes) -> GrowingBloom:
+        expected, rate, room, layers = pickle.loads(raw)
+        out = cls(expected, rate)
+        out.room = room
+        out.layers = [
+            (np.unpackbits(np.frombuffer(bits, np.uint8), count=size).astype(bool), hashes) for bits, size, hashes in layers]
+        return out
 
 
 def dedup_bloom(
@@ -86,21 +134,20 @@ def dedup_bloom(
     """T4: one record per key. Exact unless ``approximate``.
 
     The approximate form hashes keys to ``shards`` tasks and lets each test a bloom
-    filter sized for ``expected`` keys; it may drop a few new records but never
-    keeps a repeat. Repeats of a key should be rare per task: the exact form
-    reduces them before the shuffle and is the better batch choice.
+    filter that begins with room for ``expected`` keys and grows; it may drop a share
+    ``rate`` of new records but never keeps a repeat. All repeats of a key reach one
+    task: the exact form reduces them before the shuffle and is the better batch choice.
     """
     if not approximate:
         return df.dropDuplicates(list(key))
-    size, hashes = bloom_size(expected, rate)
     hashed = df.withColumns({
         "_h1": F.xxhash64(*key), "_h2": F.xxhash64(F.lit("second"), *key),
     }).repartition(shards, "_h1")
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros(size, dtype=bool)
+        bloom = GrowingBloom(expected, rate)
         for pdf in batches:
-            mask = bloom_keep(bits, pdf.pop("_h1").to_numpy(), pdf.pop("_h2").to_numpy(), hashes)
+            mask = bloom.keep(pdf.pop("_h1").to_numpy(), pdf.pop("_h2").to_numpy())
             yield pdf[mask]
 
     return hashed.mapInPandas(keep, df.schema)

@@ -127,31 +127,49 @@ def merge_segments(frames: Sequence[DataFrame], key: str) -> DataFrame:
 # -- change-capture family -------------------------------------------------------
 
 def order_detail_wide(
-    detail: DataFrame, orders: DataFrame, activity: DataFrame, coupon: DataFrame
+    detail: DataFrame, orders: DataFrame, activity: DataFrame, coupon: DataFrame,
+    carry: Sequence[str] = (), keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Order lines with their order, and activity and coupon if any."""
+    """Order lines with their order, and activity and coupon if any.
+
+    ``carry`` names more order columns, ``keep`` more line columns to pass on.
+
+    The order comes first: an inner join with few orders leaves few lines for the rest.
+    """
     od = detail.select(
         "id", "order_id", "sku_id", "sku_name", "create_time", "sku_num",
-        "split_activity_amount", "split_coupon_amount", "split_total_amount",
+        "split_activity_amount", "split_coupon_amount", "split_total_amount", *keep,
     )
-    oi = orders.select(F.col("id").alias("_order"), "user_id", F.col("province_id").cast("string"))
+    oi = orders.select(F.col("id").alias("_order"), "user_id", F.col("province_id").cast("string"), *carry)
     act = activity.select(F.col("order_detail_id").alias("_act"), "activity_id", "activity_rule_id")
     cou = coupon.select(F.col("order_detail_id").alias("_cou"), "coupon_id")
     # The two left joins share the line id, so lines are shuffled once for both
     # and once for the order.
-    lines = od.join(act, F.col("id") == F.col("_act"), "left").join(cou, F.col("id") == F.col("_cou"), "left")
-    wide = keyed_join(lines, oi, ["order_id"], ["_order"])
+    lines = keyed_join(od, oi, ["order_id"], ["_order"])
+    wide = lines.join(act, F.col("id") == F.col("_act"), "left").join(cou, F.col("id") == F.col("_cou"), "left")
     return wide.withColumns({
         "date_id": times.date_id(F.col("create_time")), "ts": F.col("create_time"),
-    }).select(*schemas.WIDE_ORDER_DETAIL)
+    }).select(*schemas.WIDE_ORDER_DETAIL, *carry, *keep)
 
 
 def order_cancel(wide: DataFrame, orders: DataFrame) -> DataFrame:
-    """Lines of cancelled orders with the time of cancelling."""
+    """Lines of cancelled orders with the time of cancelling, from the wide lines of all orders."""
     cancelled = orders.filter(F.col("order_status") == schemas.ORDER_CANCELLED).select(
         F.col("id").alias("_order"), F.col("operate_time").alias("cancel_time")
     )
-    joined = keyed_join(wide, cancelled, ["order_id"], ["_order"])
+    return _cancelled_columns(keyed_join(wide, cancelled, ["order_id"], ["_order"]))
+
+
+def cancelled_lines(
+    detail: DataFrame, orders: DataFrame, activity: DataFrame, coupon: DataFrame
+) -> DataFrame:
+    """J1 from the captured tables: cancelled orders are picked first, so that only their lines are widened."""
+    cancelled = orders.filter(F.col("order_status") == schemas.ORDER_CANCELLED)
+    wide = order_detail_wide(detail, cancelled, activity, coupon, carry=("operate_time",))
+    return _cancelled_columns(wide.withColumnRenamed("operate_time", "cancel_time"))
+
+
+def _cancelled_columns(joined: DataFrame) -> DataFrame:
     columns = ["cancel_time" if c == "create_time" else c for c in schemas.WIDE_ORDER_DETAIL]
     return joined.withColumn("date_id", times.date_id(F.col("create_time"))).select(*columns)
 
@@ -172,19 +190,25 @@ def order_refund(
     )
 
 
-def payment_success(
-    payments: DataFrame, wide: DataFrame, dic: DataFrame, dic_key: str = "payment_type",
-    lower: int = -30 * 86_400, upper: int = 30,
+#: Payment columns of a paid line.
+PAID = ("payment_type", "callback_time", "pay_ts")
+
+
+def paid_lines(
+    payments: DataFrame, lines: DataFrame, time: str = "create_time", lower: int = -30 * 86_400, upper: int = 30
 ) -> DataFrame:
-    """Paid order lines, the line's time from 30 days before to 30 s after the payment."""
+    """J5, first step: lines with a payment of their order, the line's time from 30 days before to 30 s after it."""
     pi = payments.filter(F.col("payment_status") == schemas.PAYMENT_PAID).select(
-        F.col("order_id").alias("_order"), "payment_type", "payment_status", "callback_time",
+        F.col("order_id").alias("_order"), "payment_type", "callback_time",
         times.event_time(F.col("create_time")).alias("pay_ts"),
     )
-    od = wide.withColumn("event_time", times.event_time(F.col("ts"))).drop("ts", "date_id", "create_time")
-    joined = interval_join(pi, od, "_order", "order_id", "pay_ts", "event_time", lower, upper)
-    named = lookup_join(joined, dic, dic_key, "payment_type_name")
-    return named.select(
+    od = lines.withColumn("_line_ts", times.event_time(F.col(time)))
+    return interval_join(pi, od, "_order", "order_id", "pay_ts", "_line_ts", lower, upper).drop("_order", "_line_ts")
+
+
+def paid_columns(wide: DataFrame, dic: DataFrame, dic_key: str = "payment_type") -> DataFrame:
+    """J5, last step: wide lines with payment columns named and in the fact's form."""
+    return lookup_join(wide, dic, dic_key, "payment_type_name").select(
         F.col("id").alias("order_detail_id"), "order_id", "user_id", "sku_id", "sku_name", "province_id",
         "activity_id", "activity_rule_id", "coupon_id", F.col("payment_type").alias("payment_type_code"),
         "payment_type_name", "callback_time", "sku_num", "split_activity_amount", "split_coupon_amount",
@@ -192,6 +216,11 @@ def payment_success(
     )
 
 
+def payment_success(payments: DataFrame, wide: DataFrame, dic: DataFrame, dic_key: str = "payment_type") -> DataFrame:
+    """Paid order lines, from the wide lines of all orders."""
+    return paid_columns(paid_lines(payments, wide, "ts"), dic, dic_key)
+
+
 def refund_pay(
     refund_payments: DataFrame, refunds: DataFrame, orders: DataFrame, dic: DataFrame
 ) -> DataFrame:

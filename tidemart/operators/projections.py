@@ -61,10 +61,18 @@ def info_row(df: DataFrame, rowkey: str, fields: Sequence[str]) -> DataFrame:
     return df.select(F.col(rowkey).alias("rowkey"), F.struct(*fields).alias("info"))
 
 
-def filter_day(df: DataFrame, day: str | None = None, column: str = "dt") -> DataFrame:
-    """Rows of one day, today unless a day is given."""
+def filter_day(df: DataFrame, day: str | None = None, column: str = "dt", time: str | None = None) -> DataFrame:
+    """Rows of one day, today unless a day is given.
+
+    ``time`` names the timestamp the day comes from: the same condition on it, as a range,
+    reaches the scan, where one on the formatted day cannot.
+    """
     wanted: Column = F.lit(day) if day else F.date_format(F.current_timestamp(), "yyyy-MM-dd")
-    return df.filter(F.col(column) == wanted)
+    rows = df.filter(F.col(column) == wanted)
+    if time is None:
+        return rows
+    begin = F.to_timestamp(F.lit(day)) if day else F.date_trunc("day", F.current_timestamp())
+    return rows.filter((F.col(time) >= begin) & (F.col(time) < begin + F.expr("interval 1 day")))
 
 
 def row_to_json(df: DataFrame, name: str = "value") -> DataFrame:

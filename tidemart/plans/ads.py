@@ -15,5 +15,7 @@ def customer_analysis(visit: DataFrame, pay: DataFrame, stamped: bool = False) -
 
 
 def realtime_dashboard(fact: DataFrame, day: str | None = None, stamped: bool = False) -> DataFrame:
-    out = aggregates.dashboard(filter_day(fact, day))
+    """A4 from the payment fact: one row per payment."""
+    of_day = filter_day(fact.select("pay_time", "pay_amount", "user_id", "dt"), day, time="pay_time")
+    out = aggregates.dashboard(of_day)
     return out.withColumn("update_time", F.current_timestamp()) if stamped else out

@@ -10,6 +10,7 @@ from tidemart.operators import joins
 from tidemart.operators.latest import current_rows, latest_per_key
 from tidemart.operators.projections import behavior_flags, cdc_image
 from tidemart.operators.routing import cdc_route
+from tidemart import schemas
 from tidemart.schemas import CDC_TABLES
 
 
@@ -27,10 +28,17 @@ def user_behavior_fact(log: DataFrame) -> DataFrame:
     )
 
 
+def paid(pay: DataFrame) -> DataFrame:
+    """The fact's payment columns: the latest row of each successful payment, without the goods."""
+    done = pay.filter(F.col("pay_status") == schemas.PAY_SUCCESS)
+    return latest_per_key(done, ["pay_id"], ["pay_time"]).withColumn("dt", times.day_text(F.col("pay_time")))
+
+
 def trade_payment_fact(pay: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per payment with the current goods of its order."""
     order_state = latest_per_key(orders, ["order_id"], ["order_time"])
-    return latest_per_key(joins.payment_fact(pay, order_state), ["pay_id"], ["pay_time"])
+    # Orders are unique here, so the left join repeats no payment and the latest one may be taken first.
+    return joins.payment_fact(paid(pay).drop("dt"), order_state)
 
 
 def cart_info(cdc: DataFrame) -> DataFrame:
@@ -49,8 +57,13 @@ def order_detail(cdc: DataFrame) -> DataFrame:
 
 
 def order_cancel(cdc: DataFrame, wide: DataFrame | None = None) -> DataFrame:
-    wide = order_detail(cdc) if wide is None else wide
-    return joins.order_cancel(wide, table_state(cdc, "order_info"))
+    """From stored wide lines if given, else from the captured tables, each built once."""
+    if wide is not None:
+        return joins.order_cancel(wide, table_state(cdc, "order_info"))
+    return joins.cancelled_lines(
+        table_state(cdc, "order_detail"), table_state(cdc, "order_info"),
+        table_state(cdc, "order_detail_activity"), table_state(cdc, "order_detail_coupon"),
+    )
 
 
 def order_refund(cdc: DataFrame, dic: DataFrame) -> DataFrame:
@@ -58,8 +71,15 @@ def order_refund(cdc: DataFrame, dic: DataFrame) -> DataFrame:
 
 
 def payment_success(cdc: DataFrame, dic: DataFrame, wide: DataFrame | None = None) -> DataFrame:
-    wide = order_detail(cdc) if wide is None else wide
-    paid = joins.payment_success(table_state(cdc, "payment_info"), wide, dic)
+    """From stored wide lines if given, else from the captured tables: lines meet their payments before they are widened."""
+    payments = table_state(cdc, "payment_info")
+    if wide is None:
+        detail = joins.paid_lines(payments, table_state(cdc, "order_detail"))
+        wide = joins.order_detail_wide(
+            detail, table_state(cdc, "order_info"), table_state(cdc, "order_detail_activity"),
+            table_state(cdc, "order_detail_coupon"), keep=joins.PAID)
+        return latest_per_key(joins.paid_columns(wide, dic), ["order_detail_id"], ["ts", "callback_time"])
+    paid = joins.payment_success(payments, wide, dic)
     return latest_per_key(paid, ["order_detail_id"], ["ts", "callback_time"])
 
 

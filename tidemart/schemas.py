@@ -90,36 +90,6 @@ ODS_COLUMNS = {
     ),
 }
 
-# Rows of the relational topics as the fact and dimension jobs read them.
-TOPIC_TABLES = {
-    "ods_user_behavior_log": (
-        "user_id STRING, device_id STRING, visit_type STRING, event_time TIMESTAMP, page_url STRING, "
-        "page_type STRING, is_follow_shop BOOLEAN, proc_time TIMESTAMP"
-    ),
-    "ods_trade_order": (
-        "order_id STRING, user_id STRING, order_time TIMESTAMP, pay_amount DECIMAL(10,2), "
-        "is_paid BOOLEAN, order_status STRING, goods_type STRING, goods_id STRING, shop_id STRING"
-    ),
-    "ods_trade_payment": (
-        "pay_id STRING, order_id STRING, pay_time TIMESTAMP, pay_amount DECIMAL(10,2), "
-        "pay_method STRING, pay_status STRING, user_id STRING"
-    ),
-    "ods_goods_operation_log": (
-        "id STRING, goods_id STRING, operate_type STRING, operate_time STRING, price STRING, "
-        "stock_num STRING, operate_content STRING"
-    ),
-    "ods_shop_operation_log": (
-        "id STRING, shop_id STRING, operate_type STRING, operate_time STRING, operate_content STRING, "
-        "operator_id STRING"
-    ),
-    "ods_user_register_log": (
-        "user_id STRING, register_time STRING, register_channel STRING, device_id STRING, "
-        "register_ip STRING"
-    ),
-}
-
-# Dictionary-style dimension: one wide-column family called info.
-CODE_DIM = "dic_code STRING, info STRUCT<dic_code: STRING, dic_name: STRING>"
 # Config-routed dimension: every source field as text.
 ROUTED_DIM = "rowkey STRING, info MAP<STRING,STRING>"
 

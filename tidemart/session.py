@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -21,31 +23,57 @@ RUNTIME_SETTINGS = {
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
+    # Small files share a task only up to this size, so that few large row groups still spread.
+    "spark.sql.files.maxPartitionBytes": "64m",
+    "spark.sql.files.openCostInBytes": "1m",
 }
 
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+INITIAL_PER_CORE = 4
+
 _unset_root: str | None = None
+_shipped: set[str] = set()
 
 
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Apply the runtime settings to an existing session.
+    """Apply the runtime settings to an existing session and send the package to its workers.
 
-    ``input_bytes`` is the size a job is about to shuffle; it raises the number
-    of initial shuffle partitions, which adaptive execution then coalesces.
+    Shuffles begin with ``INITIAL_PER_CORE`` partitions per core of the cluster, which
+    adaptive execution coalesces; ``input_bytes``, the size a job is about to shuffle,
+    raises that number.
     """
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    if input_bytes is not None:
-        spark.conf.set(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-            str(shuffle_partitions(spark, input_bytes)),
-        )
+    initial = shuffle_partitions(spark, input_bytes or 0)
+    if input_bytes is not None or spark.conf.get(INITIAL, None) is None:
+        spark.conf.set(INITIAL, str(initial))
+    ship(spark)
     return spark
 
 
 def shuffle_partitions(spark: SparkSession, input_bytes: int, target_bytes: int = 512 << 20) -> int:
-    """Partitions of about ``target_bytes`` each, at least one per core."""
-    return max(spark.sparkContext.defaultParallelism, -(-input_bytes // target_bytes))
+    """Partitions of about ``target_bytes`` each, at least some per core."""
+    return max(INITIAL_PER_CORE * spark.sparkContext.defaultParallelism, -(-input_bytes // target_bytes))
+
+
+def ship(spark: SparkSession) -> None:
+    """Make the package importable in the Python workers of a cluster, once per application.
+
+    Workers of a local master import from the driver's own path. Others get the
+    package as a zip file through Spark's file server, unless it is installed there
+    (``TIDEMART_INSTALLED=1``).
+    """
+    context = spark.sparkContext
+    if context.master.startswith("local") or os.environ.get("TIDEMART_INSTALLED") or context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="tidemart-zip-")) / "tidemart.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(target))
 
 
 def local_session(cpus: str | int = "*", memory: str = "12g", app: str = "tidemart") -> SparkSession:
@@ -91,6 +119,8 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if _unset_root is None:
         _unset_root = tempfile.mkdtemp(prefix="tidemart-")
     return _unset_root

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from tidemart.operators.latest import latest_per_key
 from tidemart.schemas import CDC_TABLES, ROUTED_DIM
 
-CONFIG_LIMIT = 10_000
-
 
 class DimStore:
     """Dimension tables of one database.
@@ -44,6 +42,10 @@ class DimStore:
     def drop(self, name: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(name)}")
 
+    def drop_all(self) -> None:
+        """Drop the database and its tables; their files stay."""
+        self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
+
     def list_dims(self) -> list[str]:
         return sorted(t.name for t in self.spark.catalog.listTables(self.database) if t.tableType != "TEMPORARY")
 
@@ -92,17 +94,15 @@ def sync_dim_tables(store: DimStore, config_batch: DataFrame) -> None:
     """Follow config changes (``op``, ``before``, ``after`` as JSON, ``ts_ms``).
 
     d drops the table; r and c create it if missing; any other change drops the
-    old table and creates the new one. One row exists per configured table, and
-    the definitions must be issued by the driver, so the batch is size-checked.
+    old table and creates the new one. The driver issues the definitions one by
+    one and reads the changes as it goes, a partition at a time.
     """
     schema = CDC_TABLES["table_process_dim"]
     rows = config_batch.select(
         "op", F.from_json("before", schema)["sink_table"].alias("old"),
         F.from_json("after", schema)["sink_table"].alias("new"), "ts_ms",
-    ).orderBy("ts_ms").limit(CONFIG_LIMIT + 1).collect()
-    if len(rows) > CONFIG_LIMIT:
-        raise ValueError(f"more than {CONFIG_LIMIT} config changes in one batch")
-    for row in rows:
+    ).orderBy("ts_ms")
+    for row in rows.toLocalIterator():
         if row.op == "d":
             store.drop(row.old)
         elif row.op in ("r", "c"):
@@ -113,11 +113,16 @@ def sync_dim_tables(store: DimStore, config_batch: DataFrame) -> None:
             store.create(row.new)
 
 
-def write_routed(store: DimStore, routed: DataFrame, sinks: list[str], version: str | int) -> None:
-    """Write the rows of ``route_dims`` to their tables, the latest per row key."""
+def write_routed(store: DimStore, routed: DataFrame, version: str | int) -> None:
+    """Write the rows of ``route_dims`` to their tables, the latest per row key.
+
+    Only tables with a row in the batch are written; missing ones are created.
+    """
     rows = latest_per_key(routed, ["sink_table", "rowkey"], ["ts_ms"]).persist()
     try:
-        for sink in sinks:
+        for (sink,) in rows.select("sink_table").distinct().toLocalIterator():
+            if not store.exists(sink):
+                store.create(sink)
             store.write(sink, rows.filter(F.col("sink_table") == sink).select("rowkey", "info"), version)
     finally:
         rows.unpersist()

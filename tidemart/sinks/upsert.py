@@ -74,9 +74,12 @@ class UpsertTable:
 
 
 def write_upsert(
-    df: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str], batch_id: int = 0
+    df: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str], batch_id: int | None = None
 ) -> UpsertTable:
-    """S7 for a single batch."""
+    """S7 for a single batch, by default under the number after the last one."""
     table = UpsertTable(path, keys, order_by)
+    if batch_id is None:
+        earlier = complete_folders(df.sparkSession, f"{table.path}/changes")
+        batch_id = int(earlier[-1]) + 1 if earlier else 0
     table.append(df, batch_id)
     return table

@@ -7,30 +7,10 @@ from pyspark.sql import functions as F
 
 from tidemart.session import configure
 
-SPREAD_BYTES = 256 << 10
-SPREAD_BELOW = 64 << 20
-
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table, with zone-less timestamps read as instants of the session zone."""
-    path = f"{sf_dir}/{name}.parquet"
-    return _instants(_spread(configure(spark).read.parquet(path), path))
-
-
-def _spread(df: DataFrame, path: str) -> DataFrame:
-    """Spread a small table kept as one file over the cores.
-
-    A file of one row group is read by one task, and so would be everything up to
-    the next shuffle. Tables of real size are folders of files and are left alone.
-    """
-    spark = df.sparkSession
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    status = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop_path)
-    parts = min(spark.sparkContext.defaultParallelism, status.getLen() // SPREAD_BYTES)
-    if not status.isFile() or parts < 2 or status.getLen() > SPREAD_BELOW:
-        return df
-    # By the first column, the table's key: repeatable without sorting the rows first.
-    return df.repartition(parts, df.columns[0])
+    return _instants(configure(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def load_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

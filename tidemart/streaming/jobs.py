@@ -74,13 +74,7 @@ def dims_stream(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         config = current_config(config_changes())
-        sinks = [r.sink_table for r in config.select("sink_table").distinct().limit(10_001).collect()]
-        if len(sinks) > 10_000:
-            raise ValueError("more than 10000 dimension tables are configured")
-        missing = [s for s in sinks if not store.exists(s)]
-        for sink in missing:
-            store.create(sink)
-        write_routed(store, route_dims(batch, config), sinks, batch_id)
+        write_routed(store, route_dims(batch, config), batch_id)
 
     return batch_job(cdc, checkpoint, step)
 

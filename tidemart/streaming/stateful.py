@@ -8,33 +8,58 @@ micro-batch reach one task, so a trigger must bound the batch
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator, Sequence
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemart.operators.dedup import bloom_keep, bloom_size
+from tidemart.operators.dedup import GrowingBloom
+from tidemart.session import complete_folders
 
-Update = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
+Update = Callable[[tuple, Iterator[pd.DataFrame], "_Written"], Iterator[pd.DataFrame]]
 
 
 def _timeout(ttl_ms: int | None) -> str:
     return GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
 
 
+class _Written:
+    """T5: a state whose last field is the time of its last write, from which it expires."""
+
+    def __init__(self, state: GroupState, ttl_ms: int | None) -> None:
+        self.state, self.ttl_ms = state, ttl_ms
+
+    @property
+    def exists(self) -> bool:
+        return self.state.exists
+
+    @property
+    def value(self) -> int:
+        return self.state.get[0]
+
+    def write(self, value: int) -> None:
+        self.state.update((value, self.state.getCurrentProcessingTimeMs() if self.ttl_ms else 0))
+
+    def renew(self) -> None:
+        """Set what is left of the time since the last write; being read renews nothing."""
+        if self.ttl_ms and self.state.exists:
+            left = self.state.get[1] + self.ttl_ms - self.state.getCurrentProcessingTimeMs()
+            self.state.setTimeoutDuration(max(1, left))
+
+
 def _with_ttl(step: Update, ttl_ms: int | None) -> Update:
-    """T5: state expires ``ttl_ms`` after the last batch that touched it."""
+    """T5: state expires ``ttl_ms`` after it was last written."""
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        yield from step(key, batches, state)
-        if ttl_ms and state.exists:
-            state.setTimeoutDuration(ttl_ms)
+        written = _Written(state, ttl_ms)
+        yield from step(key, batches, written)
+        written.renew()
 
     return update
 
@@ -46,47 +71,77 @@ def fix_is_new_stream(
     """T1 on a stream; within a batch records count in ``order_by`` order."""
     rows = df.withColumn("_day", F.unix_date(F.to_date(F.timestamp_millis(ts))))
 
-    def step(_key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            first = state.get[0]
-        else:
-            batches = list(batches)
-            first_of_each = pd.concat([b.nsmallest(1, order_by) for b in batches])
-            row = first_of_each.nsmallest(1, order_by).iloc[0]
-            first = int(row["_day"]) if row[is_new] == "1" else int(row["_day"]) - 1
-            state.update((first,))
-        for pdf in batches:
-            wrong = (pdf[is_new] == "1") & (pdf["_day"] != first)
-            pdf.loc[wrong, is_new] = "0"
+    def step(_key: tuple, batches: Iterator[pd.DataFrame], state: _Written) -> Iterator[pd.DataFrame]:
+        held = []
+        if not state.exists:
+            held = list(batches)
+            timed = [b[b["_day"].notna()] for b in held]
+            firsts = pd.concat([b.nsmallest(1, order_by) for b in timed])
+            if len(firsts):
+                row = firsts.nsmallest(1, order_by).iloc[0]
+                state.write(int(row["_day"]) if row[is_new] == "1" else int(row["_day"]) - 1)
+        for pdf in itertools.chain(held, batches):
+            if state.exists:
+                wrong = (pdf[is_new] == "1") & pdf["_day"].notna() & (pdf["_day"] != state.value)
+                pdf.loc[wrong, is_new] = "0"
             yield pdf.drop(columns="_day")
 
     return rows.groupBy(key).applyInPandasWithState(
-        _with_ttl(step, ttl_ms), df.schema, "first_day int", "append", _timeout(ttl_ms)
+        _with_ttl(step, ttl_ms), df.schema, "first_day long, written long", "append", _timeout(ttl_ms)
     )
 
 
 def dedup_latest_stream(
     df: DataFrame, key: str, ts: str, order_by: str, ttl_ms: int | None = 86_400_000
 ) -> DataFrame:
-    """T2 on a stream; the greatest time of a key expires a day after its last record."""
+    """T2 on a stream; the greatest time of a key expires a day after it was last raised."""
 
-    def step(_key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def step(_key: tuple, batches: Iterator[pd.DataFrame], state: _Written) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches)).sort_values(order_by)
-        seen = rows[ts].cummax().shift()
+        seen = rows[ts].cummax().ffill().shift()
         if state.exists:
-            seen = seen.fillna(state.get[0]).clip(lower=state.get[0])
+            seen = seen.fillna(state.value).clip(lower=state.value)
         keep = seen.isna() | (rows[ts] > seen)
-        latest = int(rows[ts].max())
-        state.update((max(latest, state.get[0]) if state.exists else latest,))
+        latest = rows[ts].max()
+        if pd.notna(latest) and (not state.exists or latest > state.value):
+            state.write(int(latest))
         yield rows[keep]
 
     return df.groupBy(key).applyInPandasWithState(
-        _with_ttl(step, ttl_ms), df.schema, "latest long", "append", _timeout(ttl_ms)
+        _with_ttl(step, ttl_ms), df.schema, "latest long, written long", "append", _timeout(ttl_ms)
     )
 
 
+def dedup_exact_batches(path: str, columns: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """T3 on a stream, for ``foreachBatch``: repeats of any earlier record are dropped, however old.
+
+    New rows go to ``path/rows``, their hashes to ``path/hashes``, a folder per batch. A
+    batch run again replaces its own folders and does not look at them.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        digest = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+        fresh = batch.withColumn("_digest", digest).dropDuplicates(["_digest"])
+        earlier = [f"{path}/hashes/{b}" for b in complete_folders(spark, f"{path}/hashes") if b < f"{batch_id:020d}"]
+        if earlier:
+            fresh = fresh.join(spark.read.parquet(*earlier), "_digest", "left_anti")
+        # The rows first: hashes mark them as written only when they are.
+        fresh.write.mode("overwrite").parquet(f"{path}/rows/{batch_id:020d}")
+        written = spark.read.parquet(f"{path}/rows/{batch_id:020d}").select("_digest")
+        written.write.mode("overwrite").parquet(f"{path}/hashes/{batch_id:020d}")
+
+    return step
+
+
+def dedup_exact_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that ``dedup_exact_batches`` kept."""
+    folders = [f"{path}/rows/{b}" for b in complete_folders(spark, f"{path}/rows")]
+    return spark.read.parquet(*folders).drop("_digest")
+
+
 def dedup_exact_stream(df: DataFrame, columns: Sequence[str], time: str, delay: str) -> DataFrame:
-    """T3 on a stream: repeats within the watermark delay are dropped, state stays bounded."""
+    """T3 with bounded state: repeats within the watermark delay only are dropped."""
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(columns))
 
 
@@ -94,20 +149,16 @@ def dedup_bloom_stream(
     df: DataFrame, key: Sequence[str] = ("order_id", "ts_ms"), expected: int = 1_000_000, rate: float = 0.01,
     shards: int = 200,
 ) -> DataFrame:
-    """T4 on a stream: one bloom filter per shard of keys, ``expected`` keys each, in state."""
-    size, hashes = bloom_size(expected, rate)
+    """T4 on a stream: a growing bloom filter per shard of keys, in state."""
     rows = df.withColumns({"_h1": F.xxhash64(*key), "_h2": F.xxhash64(F.lit("second"), *key)})
     rows = rows.withColumn("_shard", F.pmod("_h1", F.lit(shards)).cast("int"))
 
     def step(_key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            bits = np.unpackbits(np.frombuffer(state.get[0], dtype=np.uint8)).astype(bool)
-        else:
-            bits = np.zeros(size, dtype=bool)
+        bloom = GrowingBloom.unpacked(state.get[0]) if state.exists else GrowingBloom(expected, rate)
         for pdf in batches:
-            keep = bloom_keep(bits, pdf["_h1"].to_numpy(), pdf["_h2"].to_numpy(), hashes)
+            keep = bloom.keep(pdf["_h1"].to_numpy(), pdf["_h2"].to_numpy())
             yield pdf.loc[keep].drop(columns=["_h1", "_h2", "_shard"])
-        state.update((np.packbits(bits).tobytes(),))
+        state.update((bloom.packed(),))
 
     return rows.groupBy("_shard").applyInPandasWithState(
         step, df.schema, "bits binary", "append", GroupStateTimeout.NoTimeout
