@@ -118,7 +118,9 @@ def test_dashboard_reads_one_day_without_a_join(spark, tmp_path):
     rows = [(when, Decimal(5), "u", "2024-01-15"), (when - datetime.timedelta(days=1), Decimal(7), "v", "2024-01-14")]
     spark.createDataFrame(rows, "pay_time timestamp, pay_amount decimal(10,2), user_id string, dt string").write.parquet(f"{tmp_path}/fact")
     out = ads.realtime_dashboard(spark.read.parquet(f"{tmp_path}/fact"), "2024-01-15")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = out._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(pay_time" in plan and "LessThan(pay_time" in plan and "Join" not in plan
     assert dict(out.collect()) == {"today_gmv": "5.00", "today_order_count": "1", "today_customer_count": "1"}
     assert projections.filter_day(spark.read.parquet(f"{tmp_path}/fact"), time="pay_time").count() == 0
