@@ -140,3 +140,32 @@ def test_comment_stream_prints(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text('{"ts_ms": 5}\n{bad\n')
     jobs.finish(jobs.comment_stream(child, TopicSpec("c", folder=f"{tmp_path}/in")))
+
+
+def test_facts_follow_changes_deletes_and_a_repeated_batch(spark, tmp_path):
+    """Refund requests with their order: later versions, ties in time, a delete, an order that comes late."""
+    import json
+
+    from tidemart.schemas import CDC_ENVELOPE
+    from tidemart.streaming import facts
+
+    dic = spark.createDataFrame([("1005", ("1005", "refunding"))], "dic_code string, info struct<dic_code: string, dic_name: string>")
+    fact = facts.order_refund(str(tmp_path), lambda: dic)
+
+    def change(table, op, pos, **row):
+        text = json.dumps(row)
+        return (op, text if op == "d" else None, None if op == "d" else text, {"table": table, "pos": str(pos)}, 1)
+
+    def refund(op, pos, key, order, num):
+        return change("order_refund_info", op, pos, id=key, order_id=order, refund_num=num, create_time=1, user_id=1, sku_id=1)
+
+    batches = [
+        [refund("c", 1, 1, 10, 5), refund("u", 2, 1, 10, 6), refund("c", 1, 2, 20, 7), change("order_info", "c", 1, id=10, order_status=1005)],
+        [change("order_info", "c", 1, id=20, order_status=1005), refund("c", 1, 3, 10, 8)],
+        [refund("d", 3, 1, 10, 6), refund("u", 2, 3, 20, 9)],
+    ]
+    seen = []
+    for number, rows in [*enumerate(batches), (2, batches[2])]:
+        fact.step(spark.createDataFrame(rows, CDC_ENVELOPE), number)
+        seen.append(sorted((r.id, r.order_id, r.refund_num) for r in fact.fact.read(spark).collect()))
+    assert seen == [[(1, 10, 6)], [(1, 10, 6), (2, 20, 7), (3, 10, 8)], [(2, 20, 7), (3, 20, 9)], [(2, 20, 7), (3, 20, 9)]]

@@ -29,6 +29,11 @@ def _feed(spark: SparkSession, sf: str, *tables: str) -> DataFrame:
     return derive.cdc_feed(spark, sf, *tables)
 
 
+def _versioned(spark: SparkSession, sf: str, *tables: str) -> DataFrame:
+    """The feed with several versions of rows, deletes and changes of one millisecond."""
+    return derive.cdc_feed(spark, sf, *tables, versions=True)
+
+
 def _wide(spark: SparkSession, sf: str) -> DataFrame:
     """The wide fact straight from typed rows, without the JSON envelope."""
     lineitem, orders = load(spark, sf, "lineitem"), load(spark, sf, "orders")
@@ -108,7 +113,7 @@ def cart_info(spark, sf):
     SELECT c.id, c.user_id, c.sku_id, c.appraise, d.dic_name AS appraise_name, c.comment_txt
     FROM comment_info c JOIN dic d ON c.appraise = d.dic_code"""))
 def comment_info(spark, sf):
-    return dwd.comment_info(_feed(spark, sf, "comment_info"), derive.base_dic(spark))
+    return dwd.comment_info(_versioned(spark, sf, "comment_info"), derive.base_dic(spark))
 
 
 WIDE = query("SELECT * FROM wide")
@@ -121,7 +126,7 @@ def j3_order_detail_wide(spark, sf):
 
 @check("dwd_order_detail", WIDE)
 def order_detail(spark, sf):
-    return dwd.order_detail(_feed(spark, sf, *WIDE_TABLES))
+    return dwd.order_detail(_versioned(spark, sf, *WIDE_TABLES))
 
 
 CANCEL = query("""
@@ -138,7 +143,7 @@ def j1_order_cancel(spark, sf):
 
 @check("dwd_order_cancel", CANCEL)
 def order_cancel(spark, sf):
-    return dwd.order_cancel(_feed(spark, sf, *WIDE_TABLES))
+    return dwd.order_cancel(_versioned(spark, sf, *WIDE_TABLES))
 
 
 _DATE_ID = "cast(epoch(date_trunc('day', epoch_ms({}))) as bigint)"
@@ -160,7 +165,7 @@ def j6_order_refund(spark, sf):
 
 @check("dwd_order_refund", REFUND)
 def order_refund(spark, sf):
-    return dwd.order_refund(_feed(spark, sf, "order_refund_info", "order_info"), derive.base_dic(spark))
+    return dwd.order_refund(_versioned(spark, sf, "order_refund_info", "order_info"), derive.base_dic(spark))
 
 
 PAID = query(f"""
@@ -184,7 +189,7 @@ def j5_payment_success(spark, sf):
 
 @check("dwd_payment_success", PAID)
 def payment_success(spark, sf):
-    return dwd.payment_success(_feed(spark, sf, "payment_info", *WIDE_TABLES), derive.base_dic(spark))
+    return dwd.payment_success(_versioned(spark, sf, "payment_info", *WIDE_TABLES), derive.base_dic(spark))
 
 
 _REFUND_PAY = f"""
@@ -208,7 +213,7 @@ def j4_refund_pay(spark, sf):
 
 @check("dwd_refund_pay", query(_REFUND_PAY.format(num="max(ri.refund_num)") + " GROUP BY ALL"))
 def refund_pay(spark, sf):
-    return dwd.refund_pay(_feed(spark, sf, "refund_payment", "order_refund_info", "order_info"), derive.base_dic(spark))
+    return dwd.refund_pay(_versioned(spark, sf, "refund_payment", "order_refund_info", "order_info"), derive.base_dic(spark))
 
 
 # -- enrichment ----------------------------------------------------------------------

@@ -29,7 +29,7 @@ from tidemart.sinks.upsert import UpsertTable
 from tidemart.sources.cdc import read_cdc
 from tidemart.sources.tables import load, load_stream
 from tidemart.sources.topics import TopicSpec
-from tidemart.streaming import jobs, stateful
+from tidemart.streaming import facts, jobs, stateful
 from tidemart.streaming.watermarks import watermark
 
 
@@ -85,11 +85,36 @@ def j5_stream_payment_success(spark, sf):
     return _appended(child, matched.select("order_id", "order_detail_id", "pay_ts"), "payment-success")
 
 
-@check("j6_stream_lookup", SQL["dwd_comment_info"])
+@check("j6_stream_lookup", query("""
+    SELECT c.id, c.user_id, c.sku_id, c.appraise, d.dic_name || CASE WHEN cast(c.user_id as bigint) % 2 = 1 THEN ' (new)' ELSE '' END
+      AS appraise_name, c.comment_txt
+    FROM comment_info c JOIN dic d ON c.appraise = d.dic_code"""))
 def j6_stream_lookup(spark, sf):
+    """Comments named from a stored dimension that is replaced between two micro-batches."""
     child = stream_session(spark)
-    comments = derive.comment_info(load_stream(child, sf, "conversations"))
-    return _appended(child, joins.comment_named(comments, derive.base_dic(child)), "comment-lookup")
+    folder = shared_dir(spark, "comment-lookup")
+    store, table = DimStore(child, f"{folder}/store", f"lookup_{folder[-12:]}"), "dim_base_dic"
+    store.create(table)
+    comments, names = derive.comment_info(load(child, sf, "conversations")), derive.base_dic(child)
+    topic = TopicSpec("comments", folder=f"{folder}/topic")
+
+    def lookup(batch: DataFrame) -> DataFrame:
+        info = F.col("info")
+        dim = store.read(table).select(
+            info["dic_code"].alias("dic_code"), F.struct(info["dic_name"].alias("dic_name")).alias("info"))
+        return joins.comment_named(batch, dim)
+
+    for version, suffix in enumerate(("", " (new)")):
+        row = F.create_map(
+            F.lit("dic_code"), F.col("dic_code"), F.lit("dic_name"), F.concat(F.col("info.dic_name"), F.lit(suffix)))
+        store.write(table, names.select(F.md5("dic_code").alias("rowkey"), row.alias("info")), version)
+        part = comments.filter(F.col("user_id").cast("bigint") % 2 == version)
+        part.write.mode("append").json(topic.folder)
+        stream = child.readStream.schema(comments.schema).json(topic.folder)
+        jobs.finish(jobs.lookup_stream(stream, lookup, f"{folder}/rows", f"{folder}/checkpoint"))
+    out = child.read.parquet(f"{folder}/rows").drop("batch")
+    store.drop_all()
+    return out
 
 
 @check("t1_stream_fix_is_new", query("SELECT log_id, mid, ms AS ts, is_new FROM fixed_log"))
@@ -191,5 +216,47 @@ def s9_stream_dims(spark, sf):
             F.lit(name).alias("sink_table"), "rowkey", F.try_element_at("info", F.lit("id")).alias("id"),
             F.try_element_at("info", F.lit("sku_name")).alias("sku_name"))
         rows = one if rows is None else rows.unionByName(one)
-    return rows
+    kept = f"{folder}/out"
+    rows.write.parquet(kept)
+    store.drop_all()
+    return child.read.parquet(kept)
+
+
+def _fact_stream(spark: SparkSession, sf: str, name: str, build, *tables: str) -> DataFrame:
+    """Changes with versions and deletes, in several files and micro-batches, into a fact."""
+    child = stream_session(spark)
+    folder = shared_dir(spark, name)
+    topic = TopicSpec("changes", folder=f"{folder}/topic", options={"maxFilesPerTrigger": "1"})
+    feed = derive.cdc_feed(child, sf, *tables, versions=True)
+    write_batch_json(feed.repartition(3, F.xxhash64("before", "after", "op")), topic)
+    fact = build(f"{folder}/tables")
+    jobs.finish(fact.stream(read_cdc(child, topic), f"{folder}/checkpoint"))
+    return fact.fact.read(child)
+
+
+@check("dwd_order_detail_stream", SQL["dwd_order_detail"])
+def dwd_order_detail_stream(spark, sf):
+    return _fact_stream(spark, sf, "order-detail", facts.order_detail, *facts.WIDE)
+
+
+@check("dwd_order_cancel_stream", SQL["dwd_order_cancel"])
+def dwd_order_cancel_stream(spark, sf):
+    return _fact_stream(spark, sf, "order-cancel", facts.order_cancel, *facts.WIDE)
+
+
+@check("dwd_order_refund_stream", SQL["dwd_order_refund"])
+def dwd_order_refund_stream(spark, sf):
+    build = lambda root: facts.order_refund(root, lambda: derive.base_dic(spark))
+    return _fact_stream(spark, sf, "order-refund", build, "order_refund_info", "order_info")
+
+
+@check("dwd_refund_pay_stream", SQL["dwd_refund_pay"])
+def dwd_refund_pay_stream(spark, sf):
+    build = lambda root: facts.refund_pay(root, lambda: derive.base_dic(spark))
+    return _fact_stream(spark, sf, "refund-pay", build, "refund_payment", "order_refund_info", "order_info")
+
 
+@check("dwd_payment_success_stream", SQL["dwd_payment_success"])
+def dwd_payment_success_stream(spark, sf):
+    build = lambda root: facts.payment_success(root, lambda: derive.base_dic(spark))
+    return _fact_stream(spark, sf, "payment-success", build, "payment_info", *facts.WIDE)

@@ -315,8 +315,8 @@ def base_trademark(part: DataFrame) -> DataFrame:
 
 # -- change records ------------------------------------------------------------------
 
-def envelope(rows: DataFrame, table: str, op: str, ts_ms: Column) -> DataFrame:
-    """Change records of one table and kind; deletes carry the old image."""
+def envelope(rows: DataFrame, table: str, op: str, ts_ms: Column, pos: int = 1) -> DataFrame:
+    """Change records of one table and kind; deletes carry the old image. ``pos`` is the place in the log."""
     fields = [name.split()[0] for name in CDC_TABLES[table].split(", ")]
     image = F.to_json(F.struct(*fields))
     nothing = F.lit(None).cast("string")
@@ -324,7 +324,7 @@ def envelope(rows: DataFrame, table: str, op: str, ts_ms: Column) -> DataFrame:
         F.lit(op).alias("op"),
         (image if op == "d" else nothing).alias("before"),
         (nothing if op == "d" else image).alias("after"),
-        F.create_map(F.lit("table"), F.lit(table), F.lit("db"), F.lit("shop")).alias("source"),
+        F.create_map(F.lit("table"), F.lit(table), F.lit("db"), F.lit("shop"), F.lit("pos"), F.lit(str(pos))).alias("source"),
         ts_ms.alias("ts_ms"),
     )
 
@@ -332,8 +332,11 @@ def envelope(rows: DataFrame, table: str, op: str, ts_ms: Column) -> DataFrame:
 CAPTURED = tuple(t for t in CDC_TABLES if t != "table_process_dim")
 
 
-def changes_of(spark: SparkSession, sf_dir: str, table: str) -> list[DataFrame]:
-    """Change records of one captured table, one frame per kind of change."""
+def changes_of(spark: SparkSession, sf_dir: str, table: str, versions: bool = False) -> list[DataFrame]:
+    """Change records of one captured table, one frame per kind of change.
+
+    ``versions`` gives tables without changes of their own some, and deleted rows; the final rows stay the same.
+    """
     created, operated = F.col("create_time"), F.col("operate_time")
     if table == "order_info":
         # An order is placed, then changes its status.
@@ -362,16 +365,41 @@ def changes_of(spark: SparkSession, sf_dir: str, table: str) -> list[DataFrame]:
         "payment_info": ("orders", payment_info),
         "comment_info": ("conversations", comment_info),
     }[table]
-    return [envelope(build(load(spark, sf_dir, source)), table, "c", created)]
+    rows = build(load(spark, sf_dir, source))
+    return _versions(rows, table) if versions else [envelope(rows, table, "c", created)]
+
+
+#: What a first version of a row says in place of the last one.
+DRAFTS = {
+    "order_detail": ("sku_num", -1), "payment_info": ("payment_status", "1601"), "order_refund_info": ("refund_num", -1),
+    "refund_payment": ("refund_status", "0701"), "comment_info": ("comment_txt", "draft"),
+}
+
+
+def _versions(rows: DataFrame, table: str) -> list[DataFrame]:
+    """A quarter of the rows with a first version, and rows that were deleted, all within one millisecond."""
+    created, kind = F.col("create_time"), dict(rows.dtypes)
+    share = F.pmod(F.xxhash64("id"), F.lit(16))
+    changed, ghost = rows.filter(share < 4), rows.filter(share == 5)
+    if table in DRAFTS:
+        column, value = DRAFTS[table]
+        drafts = changed.withColumn(column, F.lit(value).cast(kind[column]))
+    else:
+        drafts = changed.withColumn("create_time", created - 1).withColumn("order_id", F.lit(-1).cast("bigint"))
+    ghost = ghost.withColumn("id", F.concat(F.lit("-"), F.col("id").cast("string")).cast(kind["id"]))
+    return [
+        envelope(rows.filter(share >= 4), table, "c", created), envelope(drafts, table, "c", created),
+        envelope(changed, table, "u", created, 2), envelope(ghost, table, "c", created, 1), envelope(ghost, table, "d", created, 2),
+    ]
 
 
-def cdc_feed(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
+def cdc_feed(spark: SparkSession, sf_dir: str, *tables: str, versions: bool = False) -> DataFrame:
     """Change records of the named tables (all if none) in one frame, as one topic carries them.
 
     The table name is a constant of each part, so routing to one table prunes the
     scans of the others; naming the tables only saves planning them first.
     """
-    parts = [part for t in (tables or CAPTURED) for part in changes_of(spark, sf_dir, t)]
+    parts = [part for t in (tables or CAPTURED) for part in changes_of(spark, sf_dir, t, versions)]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -29,10 +29,22 @@ def cdc_after(df: DataFrame, schema: str, keep: Sequence[str] = ()) -> DataFrame
     return parsed.select("after.*", *keep)
 
 
-def cdc_image(df: DataFrame, schema: str) -> DataFrame:
-    """Row image of every change with ``op`` and ``ts_ms``: before for deletes, else after."""
+def cdc_image(df: DataFrame, schema: str, position: bool = False) -> DataFrame:
+    """Row image of every change with ``op`` and ``ts_ms``: before for deletes, else after.
+
+    ``position`` adds ``pos``, the change's place in its log, which orders changes of one
+    millisecond.
+    """
     text = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-    return df.select(F.from_json(text, schema).alias("image"), "op", "ts_ms").select("image.*", "op", "ts_ms")
+    more = [F.try_element_at("source", F.lit("pos")).try_cast("bigint").alias("pos")] if position else []
+    names = ["op", "ts_ms", "pos"][:2 + len(more)]
+    return df.select(F.from_json(text, schema).alias("image"), "op", "ts_ms", *more).select("image.*", *names)
+
+
+def unparsed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S3: (change records, records whose envelope or kind of change could not be read)."""
+    known = F.col("op").isin("r", "c", "u", "d") & F.col("source").isNotNull()
+    return df.filter(known), df.filter(~F.coalesce(known, F.lit(False)))
 
 
 def with_event_time(df: DataFrame, ms_col: str, name: str = "event_time", proc: str | None = None) -> DataFrame:

@@ -14,10 +14,14 @@ from tidemart import schemas
 from tidemart.schemas import CDC_TABLES
 
 
+#: What orders the changes of a row: time, then place in the log.
+CHANGE_ORDER = ("ts_ms", "pos")
+
+
 def table_state(cdc: DataFrame, table: str, key: str = "id") -> DataFrame:
     """Current rows of one captured table."""
-    image = cdc_image(cdc_route(cdc, table), CDC_TABLES[table])
-    return current_rows(image, [key], ["ts_ms"]).drop("ts_ms")
+    image = cdc_image(cdc_route(cdc, table), CDC_TABLES[table], position=True)
+    return current_rows(image, [key], CHANGE_ORDER).drop(*CHANGE_ORDER)
 
 
 def user_behavior_fact(log: DataFrame) -> DataFrame:

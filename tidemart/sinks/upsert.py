@@ -44,23 +44,27 @@ class UpsertTable:
         """For ``foreachBatch``."""
         return self.append
 
-    def _folders(self, spark: SparkSession) -> list[str]:
-        bases = complete_folders(spark, f"{self.path}/base")
+    def _folders(self, spark: SparkSession, before: int | None = None) -> list[str]:
+        end = f"{before:020d}" if before is not None else "~"
+        bases = [b for b in complete_folders(spark, f"{self.path}/base") if b < end]
         upto = bases[-1] if bases else ""
-        changes = [c for c in complete_folders(spark, f"{self.path}/changes") if c > upto]
+        changes = [c for c in complete_folders(spark, f"{self.path}/changes") if upto < c < end]
         found = [f"{self.path}/base/{upto}"] if upto else []
         return found + [f"{self.path}/changes/{c}" for c in changes]
 
-    def history(self, spark: SparkSession) -> DataFrame:
-        """Latest row per key with its delete mark and batch number."""
-        folders = self._folders(spark)
+    def written(self, spark: SparkSession, before: int | None = None) -> bool:
+        return bool(self._folders(spark, before))
+
+    def history(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """Latest row per key with its delete mark and batch number; of batches before one if given."""
+        folders = self._folders(spark, before)
         if not folders:
             raise ValueError(f"nothing has been written to {self.path}")
         return latest_per_key(spark.read.parquet(*folders), self.keys, [*self.order_by, BATCH])
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Current rows."""
-        rows = self.history(spark).drop(BATCH)
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """Current rows, or those before a batch, which may then be written again."""
+        rows = self.history(spark, before).drop(BATCH)
         if self.op in rows.columns:
             rows = rows.filter(F.col(self.op) != "d").drop(self.op)
         return rows

@@ -94,6 +94,18 @@ def comment_stream(spark: SparkSession, topic: TopicSpec, field: str = "ts_ms")
     return show_stream(json_watermark(read_stream(spark, topic), field))
 
 
+def lookup_stream(
+    df: DataFrame, lookup: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+) -> DataStreamWriter:
+    """J6, S5 on a stream: ``lookup`` runs anew for every micro-batch, so a dimension table that
+    was replaced meanwhile is read as it now is. Rows go to a folder per batch."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        lookup(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return batch_job(df, checkpoint, step)
+
+
 def log_split_stream(
     raw: DataFrame, order_by: str, path: str, checkpoint: str, ttl_ms: int | None = None
 ) -> DataStreamWriter:
