@@ -66,6 +66,21 @@ def test_first_visit_stream_skips_them_too(spark, tmp_path):
     assert found == {1: "1", 2: "1", 3: "0", 4: "0", 5: "1"}
 
 
+def test_first_visits_in_a_table(spark, tmp_path):
+    """Batches in order, a repeated batch, records without time or device, and an entry that expires."""
+    visits = stateful.FirstVisits(f"{tmp_path}/v", ttl_ms=3_600_000)
+    batches = [
+        [(1, "a", "1", None), (2, "a", "1", DAY), (3, None, "1", DAY)],
+        [(4, "a", "1", DAY), (5, "a", "1", 2 * DAY), (6, "b", "0", 5 * DAY), (7, "b", "1", 5 * DAY)],
+    ]
+    for number, rows in [*enumerate(batches), (1, batches[1])]:
+        out = {r.n: r.is_new for r in visits.repair(spark.createDataFrame(rows, LOG), number, "n").collect()}
+        assert out == [{1: "1", 2: "1", 3: "1"}, {4: "1", 5: "0", 6: "0", 7: "0"}][number]
+    expired = stateful.FirstVisits(f"{tmp_path}/v", ttl_ms=1)
+    again = expired.repair(spark.createDataFrame([(8, "a", "1", 9 * DAY)], LOG), 2, "n").collect()
+    assert [r.is_new for r in again] == ["1"]
+
+
 class FakeState:
     """The part of a group state that the expiry rule uses, with a clock."""
 

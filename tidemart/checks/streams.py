@@ -121,8 +121,15 @@ def j6_stream_lookup(spark, sf):
 def t1_stream_fix_is_new(spark, sf):
     child = stream_session(spark)
     keyed = log_keys(with_fields(derive.app_log(load_stream(child, sf, "events"))))
-    rows = keyed.select("log_id", "mid", "is_new", "ts").filter("mid IS NOT NULL")
-    return _appended(child, stateful.fix_is_new_stream(rows, "log_id"), "fix-is-new")
+    rows = keyed.select("log_id", "mid", "is_new", "ts")
+    folder = shared_dir(spark, "fix-is-new")
+    visits = stateful.FirstVisits(f"{folder}/visits")
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        visits.repair(batch, batch_id, "log_id").write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
+
+    jobs.finish(jobs.batch_job(rows, f"{folder}/checkpoint", step))
+    return child.read.parquet(f"{folder}/rows").drop("batch").filter("mid IS NOT NULL")
 
 
 @check("t2_stream_dedup_latest", SQL["t2_dedup_latest"])
@@ -162,7 +169,8 @@ def t7_stream_log_split(spark, sf):
     child = stream_session(spark)
     folder = shared_dir(spark, "log-split")
     raw = derive.app_log(load_stream(child, sf, "events"))
-    jobs.finish(jobs.log_split_stream(raw, "log_id", f"{folder}/rows", f"{folder}/checkpoint"))
+    jobs.finish(jobs.log_split_stream(
+        raw, "log_id", f"{folder}/rows", f"{folder}/checkpoint", stateful.FirstVisits(f"{folder}/visits")))
     return child.read.parquet(f"{folder}/rows").select("output", "log_id", "value")
 
 

@@ -22,14 +22,25 @@ def fix_is_new(log: DataFrame, order_by: str, key: str = "mid", is_new: str = "i
     neither first nor repaired. That record is found by a map-side reducible
     aggregate; no task holds all records of one device.
     """
-    new = F.col(is_new).eqNullSafe("1")
+    return repair_visits(log, first_visits(log, order_by, key, is_new, ts), key, is_new, ts)
+
+
+def first_visits(log: DataFrame, order_by: str, key: str = "mid", is_new: str = "is_new", ts: str = "ts") -> DataFrame:
+    """T1, first step: (``key``, first_day) of each device with a timed record."""
     day = F.to_date(F.timestamp_millis(ts))
-    first = log.filter(F.col(ts).isNotNull()).groupBy(F.col(key).alias("_mid")).agg(
-        F.min_by(F.when(new, day).otherwise(F.date_sub(day, 1)), order_by).alias("_first")
-    )
-    joined = keyed_join(log, first, [key], ["_mid"], "left")
-    fixed = F.when(new & (F.col("_first") != day), F.lit("0")).otherwise(F.col(is_new))
-    return joined.withColumn(is_new, fixed).drop("_mid", "_first")
+    first = F.when(F.col(is_new).eqNullSafe("1"), day).otherwise(F.date_sub(day, 1))
+    timed = log.filter(F.col(ts).isNotNull() & F.col(key).isNotNull())
+    return timed.groupBy(key).agg(F.min_by(first, order_by).alias("first_day"))
+
+
+def repair_visits(
+    log: DataFrame, first: DataFrame, key: str = "mid", is_new: str = "is_new", ts: str = "ts"
+) -> DataFrame:
+    """T1, second step: records marked new on another day than their device's first are not new."""
+    known = first.select(F.col(key).alias("_mid"), F.col("first_day").alias("_first"))
+    joined = keyed_join(log, known, [key], ["_mid"], "left")
+    late = F.col(is_new).eqNullSafe("1") & (F.col("_first") != F.to_date(F.timestamp_millis(ts)))
+    return joined.withColumn(is_new, F.when(late, F.lit("0")).otherwise(F.col(is_new))).drop("_mid", "_first")
 
 
 def dedup_latest(df: DataFrame, key: str, ts: str, order_by: str, chunk: int = 1_000_000) -> DataFrame:

@@ -21,7 +21,7 @@ from tidemart.sinks.dims import DimStore, sync_dim_tables, write_routed
 from tidemart.sinks.topics import show_stream
 from tidemart.sinks.upsert import UpsertTable
 from tidemart.sources.topics import TopicSpec, read_stream
-from tidemart.streaming.stateful import fix_is_new_stream
+from tidemart.streaming.stateful import FirstVisits
 from tidemart.streaming.watermarks import json_watermark
 
 CHECKPOINT_INTERVAL = "30 seconds"
@@ -107,19 +107,17 @@ def lookup_stream(
 
 
 def log_split_stream(
-    raw: DataFrame, order_by: str, path: str, checkpoint: str, ttl_ms: int | None = None
+    raw: DataFrame, order_by: str, path: str, checkpoint: str, visits: FirstVisits
 ) -> DataStreamWriter:
     """Repaired log records, all outputs of a micro-batch in one partitioned write.
 
-    Records without a device (malformed ones too) have no state to meet and pass by.
+    Records are parsed once and stay in the JVM; records without a device (malformed
+    ones too) have no first visit to meet and pass by.
     """
-    keyed = log_keys(with_fields(raw)).drop("fields")
-    known = F.col("mid").isNotNull() & F.col("ts").isNotNull()
-    repaired = fix_is_new_stream(keyed.filter(known), order_by, ttl_ms=ttl_ms)
-    records = repaired.unionByName(keyed.filter(~known))
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows = split_rows(put_is_new(with_fields(batch)), (order_by,))
+        keyed = log_keys(with_fields(batch))
+        rows = split_rows(put_is_new(visits.repair(keyed, batch_id, order_by)), (order_by,))
         rows.write.mode("overwrite").partitionBy("output").parquet(f"{path}/batch={batch_id}")
 
-    return records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
+    return batch_job(raw, checkpoint, step)

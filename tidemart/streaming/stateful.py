@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemart.operators.dedup import GrowingBloom
+from tidemart.operators.dedup import GrowingBloom, first_visits, repair_visits
 from tidemart.session import complete_folders
+from tidemart.sinks.upsert import UpsertTable
 
 Update = Callable[[tuple, Iterator[pd.DataFrame], "_Written"], Iterator[pd.DataFrame]]
 
@@ -64,6 +65,32 @@ def _with_ttl(step: Update, ttl_ms: int | None) -> Update:
     return update
 
 
+class FirstVisits:
+    """T1, T5 on a stream without state in a task: first visits in a keyed table.
+
+    A micro-batch adds the devices it is the first to bring, found by a map-side reducible
+    aggregate, and joins its records with the table; a device holding most of a batch is
+    split like any join key. An entry counts for ``ttl_ms`` from when it was written.
+    """
+
+    def __init__(self, path: str, key: str = "mid", ttl_ms: int | None = None) -> None:
+        self.key, self.ttl_ms = key, ttl_ms
+        self.table = UpsertTable(path, [key])
+
+    def repair(self, batch: DataFrame, batch_id: int, order_by: str, is_new: str = "is_new", ts: str = "ts") -> DataFrame:
+        spark, now = batch.sparkSession, F.unix_millis(F.current_timestamp())
+        fresh = first_visits(batch, order_by, self.key, is_new, ts).withColumns({"written": now, "op": F.lit("u")})
+        if self.table.written(spark, batch_id):
+            known = self.table.read(spark, batch_id)
+            if self.ttl_ms:
+                known = known.filter(F.col("written") + self.ttl_ms > now)
+            fresh = fresh.join(known.select(self.key), self.key, "left_anti")
+        self.table.append(fresh, batch_id)
+        current = self.table.read(spark)
+        here = current.join(batch.select(self.key).distinct(), self.key, "left_semi")
+        return repair_visits(batch, here, self.key, is_new, ts)
+
+
 def fix_is_new_stream(
     df: DataFrame, order_by: str, key: str = "mid", is_new: str = "is_new", ts: str = "ts",
     ttl_ms: int | None = None,
