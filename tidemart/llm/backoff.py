@@ -36,7 +36,7 @@ from tidemart.llm.common import raw_texts, written
 
 ORDER = 2
 ALPHA, UNSEEN = 0.4, 0.5
-CHUNK_ROWS = 1000
+CHUNK_ROWS = 2000
 BUCKET_BYTES = 8 << 20
 _KEPT_WORDS = 300_000
 
@@ -112,7 +112,7 @@ def _asked(docs: DataFrame, order: int, buckets: int) -> DataFrame:
                     several[number[own < count[number]]] = True
                     keys.append(found)
                     coded.append(count * 2 + several)
-                key, code = np.concatenate(keys), np.concatenate(coded).astype("<u4")
+                key, code = np.concatenate(keys), np.concatenate(coded)
                 order_ = np.argsort(key)
                 key, code = key[order_], code[order_]
                 bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
@@ -123,26 +123,34 @@ def _asked(docs: DataFrame, order: int, buckets: int) -> DataFrame:
                     pa.array([int(bucket[s]) for s, _ in some], pa.int64()),
                     pa.array([int(chunks[a])] * len(some), pa.int64()),
                     pa.array([_packed(key[s:e]) for s, e in some], pa.binary()),
-                    pa.array([code[s:e].tobytes() for s, e in some], pa.binary()),
+                    pa.array([_planes(code[s:e]) for s, e in some], pa.binary()),
                 ], names=["bucket", "chunk", "keys", "codes"])
 
     return docs.select("text", "chunk").mapInArrow(run, "bucket long, chunk long, keys binary, codes binary")
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Integers with their byte planes apart, so that the empty upper bytes compress."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _values(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
 def _packed(keys: np.ndarray) -> bytes:
-    """Sorted keys as differences, byte planes apart, so that the empty upper bytes compress."""
-    return np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Sorted keys as differences."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(raw, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+    return np.cumsum(_values(raw), dtype=np.uint64)
 
 
 def _answers(group: pa.Table) -> pa.Table:
     """The counts of a bucket's n-grams, for each chunk that asked for them."""
     keys = [_unpacked(raw) for raw in group["keys"].to_pylist()]
-    codes = [np.frombuffer(raw, "<u4").astype(np.int64) for raw in group["codes"].to_pylist()]
+    codes = [_values(raw).astype(np.int64) for raw in group["codes"].to_pylist()]
     every, number = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(number, weights=np.concatenate(codes) >> 1, minlength=len(every)).astype(np.int64)
     out_chunk, out_keys, out_counts, at = [], [], [], 0
@@ -153,7 +161,7 @@ def _answers(group: pa.Table) -> pa.Table:
         if known.any():
             out_chunk.append(chunk)
             out_keys.append(_packed(key[known]))
-            out_counts.append(mine[known].astype("<i8").tobytes())
+            out_counts.append(_planes(mine[known]))
     return pa.table({
         "chunk": pa.array(out_chunk, pa.int64()), "keys": pa.array(out_keys, pa.binary()),
         "counts": pa.array(out_counts, pa.binary())})
@@ -208,7 +216,7 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
         keys = np.concatenate([np.zeros(0, np.uint64), *(_unpacked(r) for r in right["keys"].to_pylist())])
-        counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r, "<i8") for r in right["counts"].to_pylist())])
+        counts = np.concatenate([np.zeros(0, np.int64), *(_values(r).astype(np.int64) for r in right["counts"].to_pylist())])
         keys, first = np.unique(keys, return_index=True)
         texts = left["text"].cast(pa.binary()).to_pylist()
         n_words, logs, backed = scored(texts, keys, counts[first], total, order)
