@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import raw_texts, written
+from tidemart.llm.common import written
 from tidemart.llm.tokens import encoder, vocabulary_path
 
 WINDOW, END_ID = 4096, 2
@@ -43,9 +43,9 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
         kind = "<u2" if encode.size <= 1 << 16 else "<u4"
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], kind).tobytes()
         for batch in batches:
-            ids = [np.frombuffer(c + end, "<u4").astype(kind).tobytes() for c in encode.encode(raw_texts(batch))]
+            ids = [c.astype(kind).tobytes() + end for c in encode.encode(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
@@ -57,11 +57,14 @@ def frequencies(ids: DataFrame, size: int) -> tuple[np.ndarray, int, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, docs, tokens = np.zeros(size, np.int64), 0, 0
+        last = np.zeros(size, np.int64)
         for batch in batches:
             for coded in batch.column(0).to_pylist():
                 found = np.frombuffer(coded, kind)
                 docs, tokens = docs + 1, tokens + len(found)
-                counts[np.unique(found)] += 1
+                place = np.arange(len(found))
+                last[found] = place
+                counts[found[last[found] == place]] += 1  # one place of each different token
         some = np.flatnonzero(counts)
         keys, values = np.concatenate([some, [-1, -2]]), np.concatenate([counts[some], [docs, tokens]])
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(values, pa.int64())], names=["key", "n"])
@@ -181,8 +184,8 @@ class InvertedIndex:
         """The score of every text for a query's distinct tokens."""
         wanted = np.unique(query)
         place = np.searchsorted(self.tokens, wanted)
-        place = place[place < len(self.tokens)]
-        place = place[np.isin(self.tokens[place], wanted)]
+        place, wanted = place[place < len(self.tokens)], wanted[place < len(self.tokens)]
+        place = place[self.tokens[place] == wanted]
         n = self.count[place]
         if not n.sum():
             return np.zeros(self.size)

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import raw_texts, written
+from tidemart.llm.common import written
 from tidemart.llm.tokens import encoder, vocabulary_path
 from tidemart.session import shared_dir
 
@@ -213,9 +213,9 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str | None = None, end
                 continue
             if writer is None:
                 writer = Writer(store.open_output_stream(f"{top}/{name}"))
-            coded = encode_texts.encode(raw_texts(batch))
-            for doc, raw in zip(batch.column(0).to_pylist(), coded, strict=True):
-                writer.add(doc, np.append(np.frombuffer(raw, "<u4"), np.uint32(end_id)))
+            coded = encode_texts.encode(batch.column(1))
+            for doc, ids in zip(batch.column(0).to_pylist(), coded, strict=True):
+                writer.add(doc, np.append(ids, np.uint32(end_id)))
         if writer is not None:
             writer.close()
             writer.stream.close()

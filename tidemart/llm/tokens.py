@@ -2,7 +2,7 @@
 
 The tokenizer drops white space and treats every stretch between ASCII white space by
 itself, so a text's ids are its words' ids in a row. Words seen before come from two
-generations of a bounded table; new ones go to the library in one call per batch.
+generations of a bounded table; new ones go to the library, many to a call.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -22,7 +24,8 @@ GENERATION = 600_000
 #: A word longer than this goes to the library but is not kept.
 LONGEST_KEPT = 64
 WORDS_A_CALL = 1000
-_LETTERS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]?)")
+#: ASCII letters and those of U+00C0 to U+00FF in UTF-8, and a closing mark.
+_LETTERS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]?)")
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -70,49 +73,65 @@ class Encoder:
         A word of Latin letters is looked up in lower case, and without a closing mark,
         which is a stretch of its own; the rest goes to the library as it is.
         """
-        young, old = self.young, self.old
-        plain: dict[bytes, tuple[bytes, bytes]] = {}
+        young, old, match = self.young, self.old, _LETTERS.fullmatch
+        plain: list[tuple[bytes, bytes, bytes]] = []
         ask: dict[bytes, None] = {}
         other = []
         for w in words:
-            text = w.decode("utf-8", "replace")
-            found = _LETTERS.fullmatch(text)
+            found = match(w)
             if not found:
-                other.append((w, text))
+                other.append(w)
                 continue
-            core, end = found[1].lower().encode(), found[2].encode()
-            plain[w] = core, end
+            core, end = found.groups()
+            core = core.lower() if core.isascii() else core.decode().lower().encode()
+            plain.append((w, core, end))
             if core not in young:
                 if core in old:
                     young[core] = old[core]
                 else:
                     ask[core] = None
             if end and end not in young:
-                other.append((end, found[2]))
+                other.append(end)
         self._ask(list(ask))
-        for (w, _), coded in zip(other, self.library.encode_batch_fast([t for _, t in other], add_special_tokens=False), strict=True):
+        texts = [w.decode("utf-8", "replace") for w in other]
+        for w, coded in zip(other, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             young[w] = np.array(coded.ids, "<u4").tobytes()
-        for w, (core, end) in plain.items():
+        for w, core, end in plain:
             young[w] = young[core] + young[end] if end else young[core]
 
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """Per text its ids as little-endian unsigned 32-bit integers."""
-        split = [t.split() if t else [] for t in texts]
+    def _coded(self, words: list[bytes]) -> list[bytes]:
+        """Ids of different words."""
         young, old = self.young, self.old
-        new = []
-        for w in set().union(*split):
-            if w not in young:
-                if w in old:
-                    young[w] = old[w]
-                else:
-                    new.append(w)
-        self._learn(new)
-        out = [b"".join([young[w] for w in words]) for words in split]
+        missing = set(words).difference(young)
+        kept = missing.intersection(old)
+        for w in kept:
+            young[w] = old[w]
+        self._learn(list(missing - kept))
+        out = [young[w] for w in words]
         if len(young) > GENERATION:
             self.old = {w: ids for w, ids in young.items() if len(w) <= LONGEST_KEPT}
             self.young = {}
         return out
 
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Per text its ids; a null counts as empty.
+
+        Arrow splits the texts and numbers the different words of the batch; only these
+        are looked up, and the ids are gathered by number.
+        """
+        parts = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        numbered = pc.dictionary_encode(parts.flatten())
+        coded = self._coded(numbered.dictionary.cast(pa.binary()).to_pylist())
+        ids = np.frombuffer(b"".join(coded), "<u4")
+        n = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        word = numbered.indices.to_numpy()
+        length = n[word]
+        end = np.cumsum(length)
+        first = (np.cumsum(n) - n)[word] - (end - length)
+        flat = ids[np.repeat(first, length) + np.arange(int(end[-1]) if len(end) else 0)]
+        borders = np.concatenate([[0], end])[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
+        return [flat[a:b] for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)]
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
