@@ -9,8 +9,8 @@ A word of no other document counts ``UNSEEN`` times.
    so a frequent n-gram is one entry per chunk, not per occurrence.
 2. The count tables are partitioned by hash: entries go to buckets of the hash range,
    packed in arrays; a bucket sums the chunks' counts.
-3. Each bucket answers the chunks that asked, with the n-grams that occur beyond a single
-   document; chunks and answers are joined, n-grams looked up and scores summed per document.
+3. Each bucket answers the chunks that asked, with the counts of what they asked in the same
+   order; chunks and answers are joined and scores summed per document.
 
 Nothing is sampled or cut off; a bucket holds about ``BUCKET_BYTES`` of text's n-grams and a
 chunk ``CHUNK_ROWS`` documents, however large the corpus. N-grams are 64-bit hashes.
@@ -37,7 +37,7 @@ from tidemart.llm.common import raw_texts, written
 ORDER = 2
 ALPHA, UNSEEN = 0.4, 0.5
 CHUNK_ROWS = 2000
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 _KEPT_WORDS = 300_000
 
 
@@ -83,23 +83,35 @@ class Grams:
         return keys, number, np.bincount(number, minlength=len(keys)), np.bincount(pair)[pair] if len(pair) else pair
 
 
+def _in_order(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(the different n-grams of all orders, ascending; where each stood)."""
+    every = np.concatenate(keys)
+    place = np.argsort(every, kind="stable")
+    return every[place], place
+
+
 def _chunked(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, chunk): rows of one file in runs of ``CHUNK_ROWS``, whatever the tasks; other frames are written first."""
-    plain = docs.select("doc_id", "text")
-    place = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / CHUNK_ROWS)).alias("chunk")
+    """(doc_id, text, chunk, row): rows of one file in runs of ``CHUNK_ROWS``, whatever the tasks; other frames are written first."""
+    place = [
+        F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / CHUNK_ROWS)).alias("chunk"),
+        F.col("_metadata.row_index").alias("row"),
+    ]
     try:
-        return docs.select("doc_id", "text", place)
+        return docs.select("doc_id", "text", *place)
     except AnalysisException:
-        return written(plain, "documents").select("doc_id", "text", place)
+        return written(docs.select("doc_id", "text"), "documents").select("doc_id", "text", *place)
 
 
 def _asked(docs: DataFrame, order: int, buckets: int) -> DataFrame:
-    """Different n-grams with counts, packed by (chunk, bucket); the count's low bit tells of several documents."""
+    """Different n-grams with counts, packed by part of a chunk and bucket; the count's low bit tells of several documents.
+
+    A part is the rows of a chunk that came in one batch; usually it is the whole chunk.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            chunks, texts = batch.column(1).to_numpy(), raw_texts(batch)
+            chunks, rows, texts = batch.column(1).to_numpy(), batch.column(2).to_numpy(), raw_texts(batch)
             borders = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)]
             for a, b in zip(borders, borders[1:]):
                 if a == b:
@@ -112,21 +124,21 @@ def _asked(docs: DataFrame, order: int, buckets: int) -> DataFrame:
                     several[number[own < count[number]]] = True
                     keys.append(found)
                     coded.append(count * 2 + several)
-                key, code = np.concatenate(keys), np.concatenate(coded)
-                order_ = np.argsort(key)
-                key, code = key[order_], code[order_]
+                key, place = _in_order(keys)
+                code = np.concatenate(coded)[place]
                 bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
                 cuts = np.flatnonzero(np.diff(bucket)) + 1
-                starts, ends = [0, *cuts.tolist()], [*cuts.tolist(), len(key)]
-                some = [(s, e) for s, e in zip(starts, ends, strict=True) if e > s]
+                some = [(s, e) for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)], strict=True) if e > s]
+                same = lambda value, some=some: pa.array([int(value)] * len(some), pa.int64())
                 yield pa.RecordBatch.from_arrays([
                     pa.array([int(bucket[s]) for s, _ in some], pa.int64()),
-                    pa.array([int(chunks[a])] * len(some), pa.int64()),
+                    same(chunks[a]), same(rows[a]), same(rows[b - 1]),
                     pa.array([_packed(key[s:e]) for s, e in some], pa.binary()),
                     pa.array([_planes(code[s:e]) for s, e in some], pa.binary()),
-                ], names=["bucket", "chunk", "keys", "codes"])
+                ], names=["bucket", "chunk", "first", "last", "keys", "codes"])
 
-    return docs.select("text", "chunk").mapInArrow(run, "bucket long, chunk long, keys binary, codes binary")
+    return docs.select("text", "chunk", "row").mapInArrow(
+        run, "bucket long, chunk long, first long, last long, keys binary, codes binary")
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -148,38 +160,38 @@ def _unpacked(raw: bytes) -> np.ndarray:
 
 
 def _answers(group: pa.Table) -> pa.Table:
-    """The counts of a bucket's n-grams, for each chunk that asked for them."""
+    """The counts of a bucket's n-grams for each part that asked, in the part's own order of them.
+
+    An n-gram that a single document holds gets zero.
+    """
     keys = [_unpacked(raw) for raw in group["keys"].to_pylist()]
     codes = [_values(raw).astype(np.int64) for raw in group["codes"].to_pylist()]
     every, number = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(number, weights=np.concatenate(codes) >> 1, minlength=len(every)).astype(np.int64)
-    out_chunk, out_keys, out_counts, at = [], [], [], 0
-    for chunk, key, code in zip(group["chunk"].to_pylist(), keys, codes, strict=True):
-        mine = total[number[at:at + len(key)]]
-        at += len(key)
-        known = (mine > code >> 1) | (code & 1 == 1)
-        if known.any():
-            out_chunk.append(chunk)
-            out_keys.append(_packed(key[known]))
-            out_counts.append(_planes(mine[known]))
-    return pa.table({
-        "chunk": pa.array(out_chunk, pa.int64()), "keys": pa.array(out_keys, pa.binary()),
-        "counts": pa.array(out_counts, pa.binary())})
-
-
-def scored(texts: list[bytes | None], keys: np.ndarray, counts: np.ndarray, total: int, order: int) -> list[np.ndarray]:
-    """(words, sum of base-10 logarithms, words that backed off) per document; ``keys`` are sorted."""
+    out, at = [], 0
+    for code in codes:
+        mine = total[number[at:at + len(code)]]
+        at += len(code)
+        out.append(_planes(np.where((mine > code >> 1) | (code & 1 == 1), mine, 0)))
+    return group.select(["bucket", "chunk", "first", "last"]).append_column("totals", pa.array(out, pa.binary()))
+
+
+def scored(texts: list[bytes | None], totals: np.ndarray, total: int, order: int) -> list[np.ndarray]:
+    """(words, sum of base-10 logarithms, words that backed off) per document of a part.
+
+    ``totals`` has the corpus counts of the part's different n-grams in ascending order of keys.
+    """
     grams = Grams(texts, order, WordHashes())
     n = len(grams.doc)
-    others = []  # per n: occurrences in other documents, at the n-gram's last word
-    for k in range(order):
-        found, number, _, own = grams.counted(k)
-        at = np.searchsorted(keys, found)
-        at[at == len(keys)] = 0
-        known = keys[at] == found if len(keys) else np.zeros(len(found), bool)
-        here = np.where(known, counts[at] if len(counts) else 0, 0)[number] - own
+    counted = [grams.counted(k) for k in range(order)]
+    _, place = _in_order([found for found, *_ in counted])
+    corpus = np.zeros(len(place), np.int64)
+    corpus[place] = totals
+    others, begun = [], 0  # per n: occurrences in other documents, at the n-gram's last word
+    for k, (found, number, _, own) in enumerate(counted):
         full = np.zeros(n, np.int64)
-        full[grams.at[k]] = np.maximum(here, 0)
+        full[grams.at[k]] = np.maximum(corpus[begun:begun + len(found)][number] - own, 0)
+        begun += len(found)
         others.append(full)
     rest = np.maximum(total - grams.lengths[grams.doc], 1)
     score = np.where(others[0] > 0, others[0], UNSEEN) / rest
@@ -212,19 +224,23 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     size, total = sums[0] or 0, sums[1] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
     answers = _asked(chunked, order, buckets).groupBy("bucket").applyInArrow(
-        _answers, "chunk long, keys binary, counts binary")
+        _answers, "bucket long, chunk long, first long, last long, totals binary")
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.zeros(0, np.uint64), *(_unpacked(r) for r in right["keys"].to_pylist())])
-        counts = np.concatenate([np.zeros(0, np.int64), *(_values(r).astype(np.int64) for r in right["counts"].to_pylist())])
-        keys, first = np.unique(keys, return_index=True)
-        texts = left["text"].cast(pa.binary()).to_pylist()
-        n_words, logs, backed = scored(texts, keys, counts[first], total, order)
+        left = left.sort_by("row")
+        rows, texts = left["row"].to_numpy(), left["text"].cast(pa.binary()).to_pylist()
+        parts: dict[tuple[int, int], list[tuple[int, bytes]]] = {}
+        for bucket, first, last, raw in zip(*(right[c].to_pylist() for c in ("bucket", "first", "last", "totals")), strict=True):
+            parts.setdefault((first, last), []).append((bucket, raw))
+        n_words, logs, backed = (np.zeros(len(texts), t) for t in (np.int64, np.float64, np.int64))
+        for (first, last), found in parts.items():  # rows of no part have no words
+            a, b = np.searchsorted(rows, first), np.searchsorted(rows, last, side="right")
+            totals = np.concatenate([_values(raw) for _, raw in sorted(found)]).astype(np.int64)
+            n_words[a:b], logs[a:b], backed[a:b] = scored(texts[a:b], totals, total, order)
         return pa.table({
-            "doc_id": left["doc_id"], "n_words": pa.array(n_words, pa.int64()), "log10_score": pa.array(logs, pa.float64()),
-            "n_backoff": pa.array(backed, pa.int64())})
+            "doc_id": left["doc_id"], "n_words": pa.array(n_words), "log10_score": pa.array(logs), "n_backoff": pa.array(backed)})
 
-    rows = chunked.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "chunk")
+    rows = chunked.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "chunk", "row")
     out = rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         joined, "doc_id long, n_words long, log10_score double, n_backoff long")
     return out.select(
