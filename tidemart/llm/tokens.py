@@ -20,7 +20,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 from tokenizers import Tokenizer, normalizers, pre_tokenizers  # noqa: E402
 
 #: Words of one generation; two are held, so a worker keeps at most twice as many.
-GENERATION = 600_000
+GENERATION = 350_000
 #: A word longer than this goes to the library but is not kept.
 LONGEST_KEPT = 64
 WORDS_A_CALL = 1000
