@@ -104,6 +104,49 @@ def test_neighbours_share_a_window():
     assert [{d % 2 for d, _, _ in w} for w in windows] == [{0}, {1}]
 
 
+def test_offers_are_brute_force_bm25_over_all_shards(spark):
+    """The best of all shards, whatever their number, are those of one index over everything: recall 1."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    path = tokens.vocabulary_path()
+    size = tokens.encoder(path).size
+    ids = packing.written(packing.encoded(docs, path), "token-ids")
+    counts, n_docs, n_tokens = packing.frequencies(ids, size)
+    idf, mean = np.maximum(np.log((n_docs - counts + 0.5) / (counts + 0.5)), 0), n_tokens / n_docs
+    shards = packing.dealt(ids, 7, size, packing.WINDOW).cache()
+    parts = [packing.Shard(r.asDict(), "<u2") for r in shards.collect()]
+    assert len(parts) == 7
+    keys = np.concatenate([(p.number << 32) + np.arange(len(p.texts)) for p in parts])
+    texts = [t for p in parts for t in p.texts]
+    left = {p.number: np.arange(len(p.texts)) % 3 > 0 for p in parts}
+    free = np.concatenate([left[p.number] for p in parts])
+    whole = packing.InvertedIndex(texts, np.concatenate([p.doc_tokens for p in parts]), idf, mean)
+    queries_ = [np.unique(t) for t in texts[::5]]
+    found = packing.offers(shards, queries_, left, idf, mean, "<u2", 1 << 17)
+    assert [q for q, _, _ in found] == list(range(len(queries_)))
+    hit = total = 0
+    for query, (_, key, score) in zip(queries_, found):
+        every = whole.scores(query)[free]
+        best = np.lexsort((keys[free], -every))[:10]
+        assert np.allclose(score[:10], every[best])
+        hit, total = hit + len(set(keys[free][best].tolist()) & set(key.tolist())), total + len(best)
+    assert hit / total > 0.999
+
+
+def test_chains_reach_every_shard(spark):
+    """Four topics dealt over several shards: windows hold one topic each."""
+    words = [[f"{chr(97 + k)}{chr(97 + a)}{chr(97 + b)}x" for a in range(8) for b in range(8)] for k in range(4)]
+    random = np.random.default_rng(5)
+    texts = [(i, " ".join(random.choice(words[i % 4], 60))) for i in range(400)]
+    rows = packing.pack(documents(spark, texts), window=1024, shard_tokens=8000).collect()
+    total = sum(r.length for r in rows)
+    windows = {}
+    for r in rows:
+        windows.setdefault(r.sequence_id, []).append((r.doc_id % 4, r.length))
+    assert len(windows) == -(-total // 1024) and total // 8000 >= 4
+    most = sum(max(sum(n for t, n in pieces if t == k) for k in range(4)) for pieces in windows.values())
+    assert most / total > 0.8
+
+
 @pytest.mark.parametrize("high", [1, 2, 300, 50_000, 1 << 40, 1 << 60, (1 << 64) - 1])
 def test_codec_round_trip(high):
     random = np.random.default_rng(3)

@@ -1,19 +1,24 @@
 """Lexical retrieval packing: windows filled with a seed document's best BM25 neighbours.
 
 Texts become token ids, each document's closed by an end id. A document's full windows
-stand alone; its rest of less than a window goes to a shard. Document frequencies are
-counted over all documents (one number per id of the vocabulary, which bounds what the
-driver holds). A shard gets the rests that share their rarest token, ``SHARD_TOKENS``
-ids or so: small groups are put together, large ones split. Each shard is one task with its own inverted index.
-A window starts with a seed, queries the index with the seed's tokens and takes unused
-neighbours by falling BM25 score; the one that does not fit is cut, and its rest is the
-next seed. So only a shard's last window needs padding.
+stand alone; its rest of less than a window goes to a shard of ``SHARD_TOKENS`` ids or so,
+whichever comes: shards only bound what a task holds. A window starts with a seed, asks the
+inverted indexes of all shards and takes unused neighbours by falling BM25 score; the one
+that does not fit is cut, and its rest is the next seed.
+
+Rests of one shard are filled by one task. Otherwise chains of windows run side by side, in
+rounds: each chain's seed is scored against every unused rest, the best of all shards come
+to the driver, and one that several chains want goes to the highest score. A window that
+lost too many asks again in the next round. What the chains' last windows hold is put
+together at the end, so only one window needs padding. Scores are exact, every unused rest
+is a candidate, and so the work grows with seeds times documents. The driver holds a length, a mark and the
+places in windows of every rest.
 
 The inverse document frequency is ln((N - n + 0.5) / (n + 0.5)), zero for tokens in half
 of the documents or more; those have no postings.
 
 Defined cases: a null or empty text is the end id alone; repeated documents are packed as
-often as they occur; null ids stay null; ties of score go by id, start and checksum; an
+often as they occur; null ids stay null; ties of score go by shard, id, start and checksum; an
 empty table gives no rows; other columns of the input do not matter.
 """
 
@@ -33,8 +38,11 @@ from tidemart.llm.tokens import encoder, vocabulary_path
 
 WINDOW, END_ID = 4096, 2
 SHARD_TOKENS = 1 << 20
+#: Windows a chain fills, about; chains at once; seeds in one row of offers.
+CHAIN_WINDOWS, MOST_CHAINS, BLOCK = 8, 20_000, 256
 K1, B = 1.2, 0.75
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+_PIECES = [c.split()[0] for c in PIECES.split(", ")]
 
 
 def encoded(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
@@ -80,53 +88,6 @@ def frequencies(ids: DataFrame, size: int) -> tuple[np.ndarray, int, int]:
     return counts, totals[-1], totals[-2]
 
 
-class Shards:
-    """Which shard a rest goes to: by its rarest token, and by its own number where that token has several."""
-
-    def __init__(self, counts: np.ndarray, tokens: dict[int, int], total: int, budget: int):
-        order = np.lexsort((np.arange(len(counts)), -counts))  # from frequent to rare
-        self.rarity = np.empty(len(counts), np.int64)
-        self.rarity[order] = np.arange(len(counts))
-        self.first: dict[int, int] = {}
-        self.split: dict[int, int] = {}
-        shard, filled = 0, 0
-        for token in sorted(tokens):
-            n = tokens[token]
-            if filled and filled + n > budget:
-                shard, filled = shard + 1, 0
-            self.first[token] = shard
-            self.split[token] = max(1, round(n / budget))
-            if self.split[token] > 1:
-                shard, filled = shard + self.split[token], 0
-            else:
-                filled += n
-        self.total = max(shard + 1, -(-total // budget))
-
-    def anchor(self, ids: np.ndarray) -> int:
-        return int(ids[self.rarity[ids].argmax()])
-
-
-def anchored_tokens(ids: DataFrame, shards: Shards, size: int, window: int) -> dict[int, int]:
-    """Tokens of the rests by rarest token; at most one number per id of the vocabulary."""
-    kind = "<u2" if size <= 1 << 16 else "<u4"
-    shared = ids.sparkSession.sparkContext.broadcast(shards)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, int] = {}
-        for batch in batches:
-            for coded in batch.column(0).to_pylist():
-                found = np.frombuffer(coded, kind)
-                rest = found[len(found) // window * window:]
-                if len(rest):
-                    token = shared.value.anchor(rest)
-                    sums[token] = sums.get(token, 0) + len(rest)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.int64())], names=["token", "n"])
-
-    rows = ids.select("ids").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
-    return {r["token"]: r["n"] for r in rows}
-
-
 def checksum(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -135,34 +96,77 @@ def _spread(number: int) -> int:
     return (number * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> 20
 
 
-def dealt(ids: DataFrame, shards: Shards, size: int, window: int) -> DataFrame:
-    """Full windows (without ids) and rests (with ids) with their shard."""
+def full_windows(ids: DataFrame, size: int, window: int) -> DataFrame:
+    """The pieces that are whole windows."""
     kind = "<u2" if size <= 1 << 16 else "<u4"
-    shared = ids.sparkSession.sparkContext.broadcast(shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan, number = shared.value, TaskContext.get().partitionId() << 32
+        number = 1 << 62 | TaskContext.get().partitionId() << 32
+        for batch in batches:
+            rows: list[tuple] = []
+            for doc, coded in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = np.frombuffer(coded, kind)
+                for at in range(0, len(found) // window * window, window):
+                    rows.append((doc, at, window, checksum(found[at:at + window]), len(found), number, 0))
+                    number += 1
+            columns = list(zip(*rows, strict=True)) or [[]] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=_PIECES)
+
+    return ids.mapInArrow(run, PIECES)
+
+
+def dealt(ids: DataFrame, shards: int, size: int, window: int) -> DataFrame:
+    """One row per shard with its rests, packed."""
+    kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
             rows: list[tuple] = []
             for doc, coded in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = np.frombuffer(coded, kind)
                 number += 1
                 full = len(found) // window * window
-                for at in range(0, full, window):
-                    number += 1
-                    rows.append((_spread(number) % plan.total, doc, at, window, checksum(found[at:at + window]), len(found), None))
                 rest = found[full:]
                 if len(rest):
-                    token = plan.anchor(rest)
-                    shard = plan.first[token] + _spread(number) % plan.split[token]
-                    rows.append((shard, doc, full, len(rest), checksum(rest), len(found), rest.tobytes()))
+                    rows.append((_spread(number) % shards, doc, full, len(rest), checksum(rest), len(found), rest.tobytes()))
             columns = list(zip(*rows, strict=True)) or [[]] * 7
             kinds = [pa.int64()] * 6 + [pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[
                 "shard", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
 
-    schema = "shard long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
-    return ids.mapInArrow(run, schema)
+    def gathered(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        coded = group["ids"].to_pylist()
+        numbers = {c: group[c].to_numpy().astype("<i8").tobytes() for c in ("start", "length", "doc_tokens")}
+        return pa.table({
+            "shard": group["shard"].slice(0, 1), "doc_id": pa.array([group["doc_id"].to_pylist()], pa.list_(pa.int64())),
+            **{c: pa.array([raw], pa.binary()) for c, raw in numbers.items()},
+            "sizes": pa.array([np.array([len(c) // kind.itemsize for c in coded], "<i8").tobytes()], pa.binary()),
+            "ids": pa.array([b"".join(coded)], pa.binary()),
+        })
+
+    rests = ids.mapInArrow(
+        run, "shard long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
+    return rests.groupBy("shard").applyInArrow(
+        gathered, "shard long, doc_id array<long>, start binary, length binary, doc_tokens binary, sizes binary, ids binary")
+
+
+class Shard:
+    """The rests of a row of ``dealt``."""
+
+    def __init__(self, row: dict, kind: str):
+        self.number, self.doc_id = row["shard"], row["doc_id"]
+        self.start, self.length, self.doc_tokens, sizes = (
+            np.frombuffer(row[c], "<i8") for c in ("start", "length", "doc_tokens", "sizes"))
+        self.texts = np.split(np.frombuffer(row["ids"], kind), np.cumsum(sizes)[:-1])
+
+    def piece(self, place: int, first: int, n: int, sequence: int, offset: int) -> tuple:
+        """A row of ``PIECES``; a text ends with its rest."""
+        text = self.texts[place]
+        at = len(text) - int(self.length[place]) + first
+        return (self.doc_id[place], int(self.start[place]) + first, n, checksum(text[at:at + n]),
+                int(self.doc_tokens[place]), sequence, offset)
 
 
 class InvertedIndex:
@@ -223,6 +227,151 @@ def fill(texts: list[np.ndarray], index: InvertedIndex, window: int) -> Iterator
         yield pieces
 
 
+def _upto(score: np.ndarray, length: np.ndarray, key: np.ndarray, reach: int) -> np.ndarray:
+    """Places of the best by score, then key, until their lengths reach ``reach``."""
+    best = np.lexsort((key, -score))
+    return best[:np.searchsorted(np.cumsum(length[best]), reach) + 1]
+
+
+def offers(shards: DataFrame, queries: list[np.ndarray], left: dict[int, np.ndarray], idf: np.ndarray, mean: float,
+           kind: str, reach: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Per query the best unused rests of all shards, best first, until they hold ``reach`` ids: (query, keys, scores).
+
+    A key is the shard's number times 2**32 and the place in it. Each shard gives its own best up to
+    ``reach``, which hold all that can be among the best of all shards.
+    """
+    context = shards.sparkSession.sparkContext
+    shared = context.broadcast((queries, left, idf, mean))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, left, idf, mean = shared.value
+        for batch in batches:
+            for row in batch.to_pylist():
+                part = Shard(row, kind)
+                free = np.flatnonzero(left[part.number])
+                if not len(free):
+                    continue
+                index = InvertedIndex([part.texts[k] for k in free.tolist()], part.doc_tokens[free], idf, mean)
+                length, keys = part.length[free], (part.number << 32) + free
+                for block in range(0, len(queries), BLOCK):
+                    found = []
+                    for q, query in enumerate(queries[block:block + BLOCK], block):
+                        score = index.scores(query)
+                        best = _upto(score, length, keys, reach)
+                        found.append((np.full(len(best), q), keys[best], length[best], score[best]))
+                    columns = [np.concatenate(c) for c in zip(*found, strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([block], pa.int64())] + [pa.array([c.tobytes()], pa.binary()) for c in columns],
+                        names=["block", "query", "key", "length", "score"])
+
+    def merged(group: pa.Table) -> pa.Table:
+        query, key, length, score = (
+            np.concatenate([np.frombuffer(raw, t) for raw in group[c].to_pylist()])
+            for c, t in (("query", "<i8"), ("key", "<i8"), ("length", "<i8"), ("score", "<f8")))
+        order = np.argsort(query, kind="stable")
+        borders = np.flatnonzero(np.diff(query[order])) + 1
+        kept = np.concatenate([at[_upto(score[at], length[at], key[at], reach)] for at in np.split(order, borders)])
+        return pa.table({"query": [query[kept].tobytes()], "key": [key[kept].tobytes()], "score": [score[kept].tobytes()]})
+
+    found = shards.mapInArrow(run, "block long, query binary, key binary, length binary, score binary")
+    rows = found.groupBy("block").applyInArrow(merged, "query binary, key binary, score binary").collect()
+    shared.destroy()
+    out = []
+    for row in rows:
+        query, key, score = (np.frombuffer(row[c], t) for c, t in (("query", "<i8"), ("key", "<i8"), ("score", "<f8")))
+        for at in np.split(np.arange(len(query)), np.flatnonzero(np.diff(query)) + 1):
+            out.append((int(query[at[0]]), key[at], score[at]))
+    return sorted(out, key=lambda found: found[0])
+
+
+def _texts(shards: DataFrame, keys: list[int], kind: str) -> dict[int, np.ndarray]:
+    """Different ids of the texts of some rests."""
+    wanted: dict[int, list[int]] = {}
+    for key in keys:
+        wanted.setdefault(key >> 32, []).append(key & 0xFFFFFFFF)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                places = wanted.get(row["shard"], [])
+                if places:
+                    texts = Shard(row, kind).texts
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([row["shard"] << 32 | k for k in places], pa.int64()),
+                        pa.array([np.unique(texts[k]).tobytes() for k in places], pa.binary())], names=["key", "ids"])
+
+    rows = shards.filter(F.col("shard").isin(list(wanted))).mapInArrow(run, "key long, ids binary").collect()
+    return {r["key"]: np.frombuffer(r["ids"], kind) for r in rows}
+
+
+def chained(shards: DataFrame, lengths: dict[int, np.ndarray], idf: np.ndarray, mean: float, kind: str,
+            window: int) -> np.ndarray:
+    """Windows by chains side by side: rows of (shard, place, first id, ids, sequence, offset)."""
+    left = {s: np.ones(len(n), bool) for s, n in lengths.items()}
+    unused = sum(map(len, lengths.values()))
+    chains = min(max(1, sum(int(n.sum()) for n in lengths.values()) // window // CHAIN_WINDOWS), MOST_CHAINS)
+    waiting = (s << 32 | k for k in range(max(map(len, lengths.values()))) for s in sorted(lengths) if k < len(lengths[s]))
+    seeds: list[int | None] = [None] * chains
+    texts: dict[int, np.ndarray] = {}
+    held: list[list[tuple[int, int, int]]] = [[] for _ in range(chains)]
+    space, sequence = [window] * chains, 0
+    out: list[np.ndarray] = []
+
+    def emit(pieces: list[tuple[int, int, int]]) -> None:
+        nonlocal sequence
+        rows = np.array(pieces, np.int64)
+        offset = np.cumsum(rows[:, 2]) - rows[:, 2]
+        out.append(np.column_stack([
+            rows[:, 0] >> 32, rows[:, 0] & 0xFFFFFFFF, rows[:, 1:], np.full(len(rows), sequence), offset]))
+        sequence += 1
+
+    while True:
+        for c in range(chains):
+            if seeds[c] is None:
+                key = next((k for k in waiting if left[k >> 32][k & 0xFFFFFFFF]), None)
+                if key is None:
+                    break
+                n = int(lengths[key >> 32][key & 0xFFFFFFFF])
+                left[key >> 32][key & 0xFFFFFFFF], unused = False, unused - 1
+                seeds[c], held[c], space[c] = key, [(key, 0, n)], window - n
+        if not unused:
+            break
+        asking = [c for c in range(chains) if seeds[c] is not None]
+        new = [seeds[c] for c in asking if seeds[c] not in texts]
+        texts = {k: texts[k] for k in (seeds[c] for c in asking) if k in texts} | (_texts(shards, new, kind) if new else {})
+        found = offers(shards, [texts[seeds[c]] for c in asking], left, idf, mean, kind, 2 * window)
+        query = np.concatenate([np.full(len(k), q) for q, k, _ in found])
+        key, score = (np.concatenate([f[i] for f in found]) for i in (1, 2))
+        closed: set[int] = set()
+        order = np.lexsort((key, query, -score))
+        for q, k in zip(query[order].tolist(), key[order].tolist(), strict=True):
+            c, s, place = asking[q], k >> 32, k & 0xFFFFFFFF
+            if c in closed or not left[s][place]:
+                continue
+            left[s][place], unused = False, unused - 1
+            n = int(lengths[s][place])
+            first = min(n, space[c])
+            held[c].append((k, 0, first))
+            space[c] -= first
+            if not space[c]:
+                emit(held[c])
+                closed.add(c)
+                cut = first < n
+                seeds[c], held[c], space[c] = (k, [(k, first, n - first)], window - n + first) if cut else (None, [], window)
+    pieces, room = [], window
+    for key, first, n in (p for pieces in held for p in pieces):
+        while n:
+            here = min(n, room)
+            pieces.append((key, first, here))
+            first, n, room = first + here, n - here, room - here
+            if not room:
+                emit(pieces)
+                pieces, room = [], window
+    if pieces:
+        emit(pieces)
+    return np.concatenate(out)
+
+
 def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Pieces of documents with their places in sequences."""
     vocabulary = vocabulary or vocabulary_path()
@@ -230,33 +379,41 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, s
     kind = "<u2" if size <= 1 << 16 else "<u4"
     ids = written(encoded(docs, vocabulary), "token-ids")
     counts, n_docs, n_tokens = frequencies(ids, size)
-    tokens = anchored_tokens(ids, Shards(counts, {}, n_tokens, shard_tokens), size, window)
-    shards = Shards(counts, tokens, n_tokens, shard_tokens)
-    idf = np.maximum(np.log((n_docs - counts + 0.5) / (counts + 0.5)), 0.0)
-    shared = docs.sparkSession.sparkContext.broadcast((idf, n_tokens / max(n_docs, 1)))
-
-    def packed(group: pa.Table) -> pa.Table:
-        weights, mean = shared.value
-        rows = group.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")]).to_pylist()
-        sequence = rows[0]["shard"] << 32
-        whole = [r for r in rows if r["ids"] is None]
-        rests = [r for r in rows if r["ids"] is not None]
-        out = []
-        for r in whole:
-            out.append((r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"], sequence, 0))
-            sequence += 1
-        if rests:
-            texts = [np.frombuffer(r["ids"], kind) for r in rests]
-            index = InvertedIndex(texts, np.array([r["doc_tokens"] for r in rests]), weights, mean)
-            for pieces in fill(texts, index, window):
-                offset = 0
-                for d, first, n in pieces:
-                    r = rests[d]
-                    crc = checksum(texts[d][first:first + n])
-                    out.append((r["doc_id"], r["start"] + first, n, crc, r["doc_tokens"], sequence, offset))
-                    offset += n
-                sequence += 1
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-        return pa.table({k: pa.array(c, pa.int64()) for k, c in zip(names, zip(*out, strict=True), strict=True)})
-
-    return dealt(ids, shards, size, window).groupBy("shard").applyInArrow(packed, PIECES)
+    idf, mean = np.maximum(np.log((n_docs - counts + 0.5) / (counts + 0.5)), 0.0), n_tokens / max(n_docs, 1)
+    shards = written(dealt(ids, max(1, -(-n_tokens // shard_tokens)), size, window), "rests")
+    lengths = {r["shard"]: np.frombuffer(r["length"], "<i8").astype(np.int32) for r in shards.select("shard", "length").collect()}
+    full = full_windows(ids, size, window)
+    if not lengths:
+        return full
+    if len(lengths) == 1:
+        shared = docs.sparkSession.sparkContext.broadcast((idf, mean))
+
+        def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    part = Shard(row, kind)
+                    index = InvertedIndex(part.texts, part.doc_tokens, *shared.value)
+                    out = []
+                    for sequence, pieces in enumerate(fill(part.texts, index, window)):
+                        offset = 0
+                        for place, first, n in pieces:
+                            out.append(part.piece(place, first, n, sequence, offset))
+                            offset += n
+                    yield _batch(out)
+
+        return full.unionAll(shards.mapInArrow(packed, PIECES))
+    plan = chained(shards, lengths, idf, mean, kind, window)
+    names = ["shard", "place", "first", "n", "sequence", "offset"]
+    placed = docs.sparkSession.createDataFrame(pa.table({c: plan[:, i] for i, c in enumerate(names)}))
+
+    def cut(group: pa.Table, row: pa.Table) -> pa.Table:
+        part = Shard(row.to_pylist()[0], kind)
+        columns = (group[c].to_pylist() for c in names[1:])
+        return pa.Table.from_batches([_batch([part.piece(*p) for p in zip(*columns, strict=True)])])
+
+    return full.unionAll(placed.groupBy("shard").cogroup(shards.groupBy("shard")).applyInArrow(cut, PIECES))
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(_PIECES)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=_PIECES)
