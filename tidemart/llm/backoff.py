@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.common import raw_texts, written
 
-ORDER = 2
+ORDER = 3
 ALPHA, UNSEEN = 0.4, 0.5
 CHUNK_ROWS = 2000
 BUCKET_BYTES = 4 << 20
