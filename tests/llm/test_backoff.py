@@ -64,5 +64,11 @@ def test_odd_rows(spark, order):
     same(found, in_order([(i, *p) for (i, _), p in zip(texts, plain, strict=True)]))
 
 
+def test_joined_word_pairs_score_below_fluent_text(spark):
+    texts = [(0, "a b c")] * 4 + [(1, "d b e")] * 4 + [(2, "a b e")]
+    found = {r.doc_id: r.log10_score for r in backoff.scores(documents(spark, texts)).collect()}
+    assert found[2] < found[0] - 0.5 and found[2] < found[1] - 0.5
+
+
 def test_empty_table(spark):
     assert backoff.scores(documents(spark, [])).count() == 0
