@@ -41,6 +41,20 @@ def test_verdict_follows_the_labels_of_other_documents(spark):
     assert np.mean(good) > 0.97 and np.mean(bad) < 0.25
 
 
+def test_a_huge_labelled_text_leaves_the_others(spark, monkeypatch):
+    """Longer than the bound on lines and first by hash or not: the field is still trained, in any order of rows."""
+    monkeypatch.setattr(Q, "MAX_SAMPLE_LINES", 200)
+    good, bad = "A plain sentence of some words stands here.\n" * 1 + "Another one follows it, longer than before.", "HOME | ABOUT\n## $$ >>\nCLICK!!! 1234"
+    texts = [(k, good if k % 2 else bad) for k in range(1, 21)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(31)], "doc_id long, quality int, toxic int")
+    plain = Q.fit(documents(spark, texts), labels)
+    assert not np.array_equal(plain.weights, Q.all_content().weights)
+    for huge in ([(0, "x\n" * 300)], [(k, "x\n" * 300) for k in range(21, 31)]):
+        for docs in (huge + texts, texts[::-1] + huge):
+            model = Q.fit(documents(spark, docs).coalesce(1), labels)
+            assert np.array_equal(model.weights, plain.weights) and np.array_equal(model.moves, plain.moves)
+
+
 def random_field(seed, n_lines):
     random = np.random.default_rng(seed)
     field = Q.Field(random.normal(size=3), random.normal(size=(2, 2)))

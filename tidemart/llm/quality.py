@@ -6,8 +6,9 @@ algorithm; a document is kept if it passes the base rules and at least ``MIN_CON
 of its words stand in content lines.
 
 The field is trained here, on ``SAMPLE`` labelled documents at most (those with the least
-hash of their id): tasks send the lines' numbers, not the texts, to the driver. Lines
-of documents labelled good count as content, lines of bad ones and lines that repeat an earlier
+hash of their id) with ``MAX_SAMPLE_LINES`` lines in all: tasks send the lines' numbers, not
+the texts, to the driver. Documents are taken in the order of that hash; one that would pass
+the bound is left out by itself, later ones still count. Lines of documents labelled good count as content, lines of bad ones and lines that repeat an earlier
 line as boilerplate. Decoding and all counts cover every document and whole texts.
 
 Defined cases: a null or wordless text has zero counts, fails the base rules and is not
@@ -227,13 +228,25 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
         parts = np.split(np.concatenate([x, lines.repeats[:, None]], axis=1).astype("<f4"), np.cumsum(n)[:-1])
         return [pa.array([p.tobytes() for p in parts], pa.binary())]
 
-    found = append_columns(sample, [field("__lines", T.BinaryType())], lambda: compute)
-    xs, ys, ns, total = [], [], [], 0
-    for row in found.select("__label", "__lines").limit(2 * SAMPLE).toLocalIterator():
-        x = np.frombuffer(row["__lines"], "<f4").reshape(-1, len(FEATURES) + 1).astype(np.float64)
-        total += len(x)
-        if total > MAX_SAMPLE_LINES:
+    key = F.xxhash64("text").alias("__text")
+    n_lines = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "[^\n]", "")) + 1
+    sizes = sample.select("doc_id", key, n_lines.alias("n")).groupBy("doc_id", "__text", "n").agg(F.count("*").alias("copies"))
+    ordered = sizes.orderBy(F.xxhash64("doc_id"), "doc_id", "__text").limit(2 * SAMPLE).collect()
+    places: dict[tuple[int, int], int] = {}
+    total = 0
+    for row in ordered:
+        if total + row["n"] * row["copies"] > MAX_SAMPLE_LINES:
             continue
+        total += row["n"] * row["copies"]
+        places[row["doc_id"], row["__text"]] = len(places)
+    if not places:
+        return all_content()
+    taken = spark.createDataFrame([(*k, at) for k, at in places.items()], "doc_id long, __text long, __at long")
+    fetched = sample.withColumn("__text", key).join(F.broadcast(taken), ["doc_id", "__text"])
+    found = append_columns(fetched, [field("__lines", T.BinaryType())], lambda: compute)
+    xs, ys, ns = [], [], []
+    for row in sorted(found.select("__at", "__label", "__lines").collect(), key=lambda r: r["__at"]):
+        x = np.frombuffer(row["__lines"], "<f4").reshape(-1, len(FEATURES) + 1).astype(np.float64)
         xs.append(x[:, :-1])
         ys.append(np.where(x[:, -1] > 0, 0, row["__label"]))
         ns.append(len(x))
