@@ -147,6 +147,16 @@ def test_chains_reach_every_shard(spark):
     assert most / total > 0.8
 
 
+def test_rests_stand_for_whole_documents(spark):
+    """A long text is indexed and asks with all its ids, not those of its rest alone."""
+    path = tokens.vocabulary_path()
+    ids = packing.encoded(documents(spark, [(1, "alpha " * 500 + "omega"), (2, "beta")]), path)
+    row = packing.dealt(ids, 1, tokens.encoder(path).size, 64).collect()[0].asDict()
+    part = packing.Shard(row, "<u2")
+    assert [len(t) for t in part.texts] == part.doc_tokens.tolist()
+    assert part.length.tolist() == [n % 64 for n in part.doc_tokens.tolist()] and part.doc_tokens[0] > 500
+
+
 @pytest.mark.parametrize("high", [1, 2, 300, 50_000, 1 << 40, 1 << 60, (1 << 64) - 1])
 def test_codec_round_trip(high):
     random = np.random.default_rng(3)

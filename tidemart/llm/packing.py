@@ -15,7 +15,8 @@ is a candidate, and so the work grows with seeds times documents. The driver hol
 places in windows of every rest.
 
 The inverse document frequency is ln((N - n + 0.5) / (n + 0.5)), zero for tokens in half
-of the documents or more; those have no postings.
+of the documents or more; those have no postings. A rest is indexed, and asks, with the
+counts of its whole document.
 
 Defined cases: a null or empty text is the end id alone; repeated documents are packed as
 often as they occur; null ids stay null; ties of score go by shard, id, start and checksum; an
@@ -129,7 +130,7 @@ def dealt(ids: DataFrame, shards: int, size: int, window: int) -> DataFrame:
                 full = len(found) // window * window
                 rest = found[full:]
                 if len(rest):
-                    rows.append((_spread(number) % shards, doc, full, len(rest), checksum(rest), len(found), rest.tobytes()))
+                    rows.append((_spread(number) % shards, doc, full, len(rest), checksum(rest), len(found), coded))
             columns = list(zip(*rows, strict=True)) or [[]] * 7
             kinds = [pa.int64()] * 6 + [pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[
@@ -197,10 +198,10 @@ class InvertedIndex:
         return np.bincount(self.doc[postings], weights=self.weight[postings], minlength=self.size)
 
 
-def fill(texts: list[np.ndarray], index: InvertedIndex, window: int) -> Iterator[list[tuple[int, int, int]]]:
-    """Windows of (text, first id, ids): a seed and its unused neighbours, best first."""
+def fill(texts: list[np.ndarray], index: InvertedIndex, window: int, lengths: np.ndarray | None = None) -> Iterator[list[tuple[int, int, int]]]:
+    """Windows of (text, first id, ids): a seed and its unused neighbours, best first; texts may have only ``lengths`` ids to place."""
     left = np.ones(len(texts), bool)
-    n = np.array([len(t) for t in texts])
+    n = np.array([len(t) for t in texts]) if lengths is None else lengths
     seed, first, following = None, 0, 0
     while True:
         while seed is None and following < len(texts):
@@ -394,7 +395,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, s
                     part = Shard(row, kind)
                     index = InvertedIndex(part.texts, part.doc_tokens, *shared.value)
                     out = []
-                    for sequence, pieces in enumerate(fill(part.texts, index, window)):
+                    for sequence, pieces in enumerate(fill(part.texts, index, window, part.length)):
                         offset = 0
                         for place, first, n in pieces:
                             out.append(part.piece(place, first, n, sequence, offset))
