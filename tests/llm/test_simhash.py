@@ -73,6 +73,13 @@ def test_odd_rows(spark, rows):
     assert sorted(named) == sorted({c for d, c in found if d is not None})
 
 
+def test_each_component_keeps_a_row_of_its_own(spark):
+    """One id with two far texts, one of them with a copy: both texts stay."""
+    alone, copied = " ".join(f"alpha{k}" for k in range(200)), " ".join(f"omega{k}" for k in range(200))
+    kept = simhash.representatives(documents(spark, [(1, alone), (1, copied), (1, copied), (2, copied)]))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, alone), (1, copied)])
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(documents(spark, [])).count() == 0
     assert simhash.representatives(documents(spark, [])).count() == 0

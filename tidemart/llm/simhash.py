@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -249,12 +249,11 @@ def components(edges: DataFrame) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS,
-    leaf_size: int = LEAF_SIZE, blocks: int = BLOCKS,
+def _classed(
+    docs: DataFrame, id_col: str, text_col: str, radius: int, leaf_size: int, blocks: int, *more: Column,
 ) -> DataFrame:
-    """One row (id, fp, component_id) per document; the component is the least id reachable over links."""
-    marked = fingerprints(docs.select(id_col, text_col), text_col).select(F.col(id_col).alias("doc_id"), "fp")
+    """(doc_id, fp, root, component_id) and ``more`` of each document; a root is one component's own."""
+    marked = fingerprints(docs.select(id_col, text_col), text_col).select(F.col(id_col).alias("doc_id"), "fp", *more)
     marked = written(marked, "fingerprints")
     classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     roots = components(links(classes, radius, leaf_size, blocks))
@@ -262,17 +261,30 @@ def near_duplicates(
         "root", F.coalesce("root", "fp")
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = rooted.join(least, "root").select("fp", "component_id")
-    return marked.join(by_class, "fp", "left").select("doc_id", "fp", "component_id")
+    by_class = rooted.join(least, "root").select("fp", "root", "component_id")
+    return marked.join(by_class, "fp", "left")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS,
+    leaf_size: int = LEAF_SIZE, blocks: int = BLOCKS,
+) -> DataFrame:
+    """One row (id, fp, component_id) per document; the component is the least id reachable over links."""
+    return _classed(docs, id_col, text_col, radius, leaf_size, blocks).select("doc_id", "fp", "component_id")
 
 
-def representatives(docs: DataFrame, **options) -> DataFrame:
+def representatives(docs: DataFrame, radius: int = RADIUS, leaf_size: int = LEAF_SIZE, blocks: int = BLOCKS) -> DataFrame:
     """The documents without near-copies: of each component the row of its least id stays, once.
 
-    Of rows that repeat this id one stays. Rows without an id cannot stand for a group
-    and are kept as they are. All columns stay.
+    Of a component's rows that repeat this id one stays; two components with the same
+    least id keep a row each. Rows without an id cannot stand for a group and are kept
+    as they are. All columns stay.
     """
-    found = near_duplicates(docs.filter("doc_id is not null"), **options)
-    chosen = found.select(F.col("component_id").alias("__id")).distinct()
-    named = docs.join(chosen, docs["doc_id"] == chosen["__id"], "left_semi").dropDuplicates(["doc_id"])
+    digest = F.xxhash64("text")
+    found = _classed(docs.filter("doc_id is not null"), "doc_id", "text", radius, leaf_size, blocks, digest.alias("__text"))
+    chosen = found.filter("doc_id = component_id").groupBy("root").agg(F.min(F.struct("doc_id", "fp", "__text")).alias("__row"))
+    chosen = chosen.select(F.col("__row.doc_id").alias("__id"), F.col("__row.__text").alias("__text"))
+    marked = docs.withColumn("__digest", digest)
+    same = (marked["doc_id"] == chosen["__id"]) & (marked["__digest"] == chosen["__text"])
+    named = marked.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "__digest"]).drop("__digest")
     return named.unionByName(docs.filter("doc_id is null"))
