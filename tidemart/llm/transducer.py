@@ -10,8 +10,9 @@ there; equal holdings are one state. States and transitions are built when first
 
 Texts are cut into chunks. After white space the transducer is in its start state,
 whatever came before, so a chunk's state map is constant behind its first white space:
-all those parts run side by side. The heads before it run from the states that the
-composition of the maps of the chunks before them gives, again side by side.
+all those parts run side by side. The head before it runs once the chunk before has
+ended. No state maps are built or composed: a chunk without white space runs after its
+predecessor, one chunk a round, so a text without white space is scanned serially.
 
 Character classes, lower case and special strings are asked of the library once for
 each character, so the counts are the library's.
