@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import written
+from tidemart.llm import tokens
 from tidemart.llm.tokens import encoder, vocabulary_path
 
 WINDOW, END_ID = 4096, 2
@@ -50,11 +51,10 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame
     """(doc_id, ids): ids as little-endian unsigned 16-bit integers, or 32-bit ones for a larger vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
-        kind = "<u2" if encode.size <= 1 << 16 else "<u4"
+        kind = "<u2" if encoder(vocabulary).size <= 1 << 16 else "<u4"
         end = np.array([end_id], kind).tobytes()
-        for batch in batches:
-            ids = [c.astype(kind).tobytes() + end for c in encode.encode(batch.column(1))]
+        for batch, coded in tokens.encoded(batches, vocabulary):
+            ids = [c.astype(kind).tobytes() + end for c in coded]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")

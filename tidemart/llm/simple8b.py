@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import written
-from tidemart.llm.tokens import encoder, vocabulary_path
+from tidemart.llm.tokens import encoded, vocabulary_path
 from tidemart.session import shared_dir
 
 MAGIC = b"TMS8B\x00\x00\x01"
@@ -205,15 +205,14 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str | None = None, end
     place.create_dir(root, recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, writer, encode_texts = TaskContext.get(), None, encoder(path)
+        task, writer = TaskContext.get(), None
         store, top = fs.FileSystem.from_uri(folder)
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.s8b"
-        for batch in batches:
+        for batch, coded in encoded(batches, path):
             if not batch.num_rows:
                 continue
             if writer is None:
                 writer = Writer(store.open_output_stream(f"{top}/{name}"))
-            coded = encode_texts.encode(batch.column(1))
             for doc, ids in zip(batch.column(0).to_pylist(), coded, strict=True):
                 writer.add(doc, np.append(ids, np.uint32(end_id)))
         if writer is not None:
