@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import backoff, decontaminate, packing, quality, secrets, simhash, simple8b, sql, toxicity, transducer, warc
+from tidemart.llm import (
+    backoff, best_fit, collocations, decontaminate, packing, quality, secrets, simhash, simple8b, sql, toxicity, transducer, warc,
+    whitening,
+)
 from tidemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +72,19 @@ def op10_convolutional_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op12_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_stripe_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_field": op1_line_field,
     "op2_simhash_vantage": op2_simhash_vantage,
@@ -80,9 +96,13 @@ QUERIES: dict[str, Query] = {
     "op8_transducer_counts": op8_transducer_counts,
     "op9_stupid_backoff": op9_stupid_backoff,
     "op10_convolutional_toxicity": op10_convolutional_toxicity,
+    "op11_best_two_fit": op11_best_two_fit,
+    "op12_qdwh_whitening": op12_qdwh_whitening,
+    "op13_stripe_collocations": op13_stripe_collocations,
 }
 SQL: dict[str, str] = {
     "op3_warc_derivatives": sql.warc_derivatives(),
     "op5_decontaminate": sql.decontaminated(),
     "op7_linked_secrets": sql.secrets_found(),
+    "op13_stripe_collocations": sql.phrases(),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from tidemart.llm import decontaminate, secrets, warc
+from tidemart.llm import collocations, decontaminate, secrets, warc
 
 
 def _quoted(text: str) -> str:
@@ -113,3 +113,31 @@ b AS (SELECT {conversion} FROM t UNION ALL SELECT {metadata} FROM t),
 d AS (SELECT *, 'sha256:' || sha256(block) AS block_digest, octet_length(encode(block))::BIGINT AS content_length FROM b)
 SELECT page_id, warc_type, record_id, refers_to, target_uri, payload_digest, block_digest, content_length,
   {header} AS header, block FROM d"""
+
+
+def phrases(least: int = collocations.LEAST, top: int = collocations.TOP, percent: int = collocations.SUBSUMED_PERCENT) -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+WITH pieces AS (SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+  SELECT coalesce(lang, '{collocations.NO_LANGUAGE}') AS lang, unnest(string_split_regex({lower}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents)),
+words AS (SELECT lang, first, lead(first) OVER next AS second, lead(first, 2) OVER next AS third
+  FROM (SELECT lang, p, unnest(w) AS first, generate_subscripts(w, 1) AS i FROM pieces)
+  WINDOW next AS (PARTITION BY p ORDER BY i)),
+f AS (SELECT lang, 1 AS size, first AS phrase, count(*) AS f FROM words GROUP BY ALL
+  UNION ALL SELECT lang, 2, first || ' ' || second, count(*) FROM words WHERE second IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, first || ' ' || second || ' ' || third, count(*) FROM words WHERE third IS NOT NULL GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= {least}),
+parts AS MATERIALIZED (SELECT lang, phrase, a, cut, array_to_string(w[:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS cut FROM c)),
+heads AS MATERIALIZED (SELECT parts.*, f AS l FROM parts JOIN f ON f.lang = parts.lang AND f.phrase = head),
+cuts AS (SELECT heads.lang, heads.phrase, a, cut, l, f AS r, 1000000::HUGEINT * a * a // (l::HUGEINT * f) AS score
+  FROM heads JOIN f ON f.lang = heads.lang AND f.phrase = tail),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+subsumed AS (SELECT DISTINCT c.lang, c.phrase FROM c
+  JOIN (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM c WHERE size = 3) AS longer
+    ON longer.lang = c.lang AND longer.part = c.phrase WHERE 100 * longer.a >= {percent} * c.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest ANTI JOIN subsumed USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n USING (lang) WHERE rank <= {top}"""
