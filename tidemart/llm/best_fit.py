@@ -191,7 +191,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, e
     # A length has one row per task here, however many pieces it has.
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     begun = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begun"))
-    ranked = cut.join(begun, ["length", "task"]).select(
+    # Written, its size is known when the join is planned: small, it is sent to the pieces, and these stay where they are.
+    ranked = cut.join(written(begun, "ranks"), ["length", "task"]).select(
         "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids",
         (F.col("begun") + F.col("place")).alias("rank"))
 
