@@ -4,13 +4,15 @@ A stripe belongs to a first word and counts the words that follow it, and behind
 these the words that follow the pair. One structure so holds a prefix's total, its
 extensions and the largest count of them, which tells whether a pair is subsumed.
 
-1. Each task numbers the words of about ``FLUSH_BYTES`` of text and builds one stripe per first
-   word, not a row per occurrence.
-2. Stripes go by language, first word and the hash of the second word to partitions of about
-   ``PARTITION_BYTES`` of text, so no frequent word is one task's work, and are merged element by
-   element as they come. Phrases that occur often enough leave the merge, with the
-   largest extension of each pair, and all totals of single words.
-3. The rest are joins of that small table with itself: the counts of a phrase's parts, the
+1. Words with a share of the text that would crowd a partition are found first: such a word has
+   that share in some task, so each task names its own, a bounded number.
+2. Each task numbers the words of about ``FLUSH_BYTES`` of text and builds one packed stripe per
+   first word, or, for a frequent one, one per hash of the second word.
+3. Stripes go by language, first word and that hash to partitions of about ``PARTITION_BYTES`` of
+   text, so no word is one task's work, and are merged element by element as they
+   come. Phrases that occur often enough leave the merge, with the largest extension of
+   each pair, and all totals of single words.
+4. The rest are joins of that small table with itself: the counts of a phrase's parts, the
    largest extension to the left, the scores.
 
 Every count is exact, over whole texts and all rows. Scores are ratios of decimals of 38 digits;
@@ -40,18 +42,18 @@ LEAST, TOP = 10, 2000
 SUBSUMED_PERCENT = 50
 NO_LANGUAGE = "und"
 #: Text whose stripes a task builds at once, and text whose stripes a partition merges.
-FLUSH_BYTES, PARTITION_BYTES = 16 << 20, 16 << 20
+FLUSH_BYTES, PARTITION_BYTES = 4 << 20, 8 << 20
 #: Entries that a merging task gathers before it merges them.
-MERGE_ENTRIES = 6_000_000
+MERGE_ENTRIES = 3_000_000
 #: Stripes of one Arrow batch.
 BATCH_STRIPES = 20_000
-#: Least number of parts a first word's stripe is cut into.
-LEAST_SHARDS = 64
+#: A word is frequent if it has this part of a partition's share of all words; its stripe has a part per partition.
+FREQUENT = 0.25
 
 _BREAK = b"."  # stands for all marks that end a piece; no word holds one
+# Second words, and all third words behind them, joined by spaces; counts, and numbers of third words, as 64-bit integers.
 _STRIPES = (
-    "lang string, first string, shard int, total long, second array<string>, second_n array<long>, "
-    "thirds array<int>, third array<string>, third_n array<long>"
+    "lang string, first string, shard int, total long, second string, second_n binary, thirds binary, third string, third_n binary"
 )
 _FOUND = "lang string, first string, second string, third string, n long, longer long"
 
@@ -138,20 +140,24 @@ class Stripes:
         triples = np.searchsorted(self.triple_pair, np.arange(len(self.second) + 1))
         thirds = np.diff(triples)
         names = [c.split()[0] for c in _STRIPES.split(", ")]
+
+        def joined(words: np.ndarray, at: np.ndarray) -> pa.Array:
+            return pc.binary_join(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), self.words.take(pa.array(words))), " ")
+
+        def packed(numbers: np.ndarray, at: np.ndarray) -> pa.Array:
+            raw = pa.py_buffer(np.ascontiguousarray(numbers, "<i8"))
+            return pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((8 * at).astype(np.int32)), raw])
+
         for a in range(0, len(self.total), BATCH_STRIPES):
             b = min(a + BATCH_STRIPES, len(self.total))
             p, q = pairs[a], pairs[b]
             s, t = triples[p], triples[q]
-            pair_at = pa.array((pairs[a:b + 1] - p).astype(np.int32))
-            triple_at = pa.array((triples[pairs[a:b + 1]] - s).astype(np.int32))
+            pair_at, triple_at = pairs[a:b + 1] - p, triples[pairs[a:b + 1]] - s
             yield pa.RecordBatch.from_arrays([
                 self.langs.take(pa.array(lang[a:b])), self.words.take(pa.array(first[a:b])),
                 pa.array(shard[a:b], pa.int32()), pa.array(self.total[a:b]),
-                pa.ListArray.from_arrays(pair_at, self.words.take(pa.array(self.second[p:q]))),
-                pa.ListArray.from_arrays(pair_at, pa.array(self.second_n[p:q])),
-                pa.ListArray.from_arrays(pair_at, pa.array(thirds[p:q], pa.int32())),
-                pa.ListArray.from_arrays(triple_at, self.words.take(pa.array(self.third[s:t]))),
-                pa.ListArray.from_arrays(triple_at, pa.array(self.third_n[s:t])),
+                joined(self.second[p:q], pair_at), packed(self.second_n[p:q], pair_at), packed(thirds[p:q], pair_at),
+                joined(self.third[s:t], triple_at), packed(self.third_n[s:t], triple_at),
             ], names=names)
 
     def found(self, least: int) -> Iterator[pa.RecordBatch]:
@@ -182,26 +188,32 @@ class Stripes:
                     names=["lang", "first", "second", "third", "n", "longer"])
 
 
-def stripes_of(texts: pa.Array, langs: pa.Array, shards: int) -> Stripes:
-    """The stripes of some documents."""
+def numbered_words(texts: pa.Array) -> tuple[pa.Array, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """(different words, their bytes, number of each word, whether it is one, words and breaks per text)."""
     parts = pc.ascii_split_whitespace(_plain_texts(texts))
     numbered = pa.concat_arrays([parts.flatten().cast(pa.string())]).dictionary_encode()
-    words = numbered.dictionary
-    word = numbered.indices.to_numpy().astype(np.int64)
+    word = numbered.indices.to_numpy()
+    different = numbered.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    # Breaks, and the empty strings that splitting leaves at either end of a text, are no words.
+    plain = np.fromiter((w not in (_BREAK, b"") for w in different), bool, len(different))
+    return numbered.dictionary, different, word, plain[word], np.diff(parts.offsets.to_numpy())
+
+
+def stripes_of(texts: pa.Array, langs: pa.Array, shards: int, frequent: frozenset[bytes] = frozenset()) -> Stripes:
+    """The stripes of some documents."""
+    words, different, word, is_word, sizes = numbered_words(texts)
+    word = word.astype(np.int64)
     langs = pc.fill_null(langs, NO_LANGUAGE).dictionary_encode()
-    sizes = np.diff(parts.offsets.to_numpy())
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    lang = langs.indices.to_numpy().astype(np.int64)[doc]
-    different = words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
-    # Breaks, and the empty strings that splitting leaves at either end of a text.
-    is_word = ~np.isin(word, [k for k, w in enumerate(different) if w in (_BREAK, b"")])
+    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    lang = langs.indices.to_numpy()[doc].astype(np.int64)
+    cut = np.fromiter(map(frequent.__contains__, different), bool, len(different))
     shard = np.fromiter(map(zlib.crc32, different), np.int64, len(different)) % shards
 
     at = np.flatnonzero(is_word)
     follows = np.zeros(len(word), bool)  # a word of the same piece comes next
     follows[:-1] = (doc[1:] == doc[:-1]) & is_word[1:] & is_word[:-1]
     behind = np.zeros(len(word), np.int64)
-    behind[:-1] = np.where(follows[:-1], shard[word[1:]], 0)
+    behind[:-1] = np.where(follows[:-1] & cut[word[:-1]], shard[word[1:]], 0)
     rows = (lang[at] * max(len(words), 1) + word[at]) * shards + behind[at]
     row_of = np.cumsum(is_word) - 1  # entry of the rows at each word
     two = np.flatnonzero(follows)
@@ -215,27 +227,59 @@ def stripes_of(texts: pa.Array, langs: pa.Array, shards: int) -> Stripes:
 def merged(parts: list[pa.RecordBatch], shards: int) -> Stripes:
     """Stripes of the same key added element by element."""
 
-    def plain(name: str) -> pa.Array:
+    def column(name: str) -> pa.Array:
         return pa.concat_arrays([b.column(b.schema.get_field_index(name)) for b in parts])
 
-    def values(name: str) -> pa.Array:
-        return pa.concat_arrays([b.column(b.schema.get_field_index(name)).flatten() for b in parts])
-
-    rows, seconds, thirds = plain("first"), values("second"), values("thirds").to_numpy()
-    strings = pa.concat_arrays([rows, seconds, values("third")]).dictionary_encode()
+    def numbers(name: str) -> tuple[np.ndarray, np.ndarray]:
+        """(packed numbers in a row, how many each stripe has)."""
+        packed = column(name)
+        lengths = pc.binary_length(packed).to_numpy() // 8
+        return np.frombuffer(b"".join(packed.to_numpy(zero_copy_only=False).tolist()), "<i8"), lengths
+
+    def words_of(name: str, lengths: np.ndarray) -> pa.Array:
+        some = column(name).filter(pa.array(lengths > 0))
+        return pc.split_pattern(some, " ").flatten()
+
+    rows = column("first")
+    second_n, seconds = numbers("second_n")
+    third_n, behind = numbers("third_n")
+    thirds, _ = numbers("thirds")
+    strings = pa.concat_arrays([rows, words_of("second", seconds), words_of("third", behind)]).dictionary_encode()
     words, number = strings.dictionary, strings.indices.to_numpy().astype(np.int64)
-    first, second, third = np.split(number, [len(rows), len(rows) + len(seconds)])
-    langs = plain("lang").dictionary_encode()
-    key = (langs.indices.to_numpy().astype(np.int64) * max(len(words), 1) + first) * shards + plain("shard").to_numpy()
-    lengths = np.concatenate([pc.list_value_length(b.column(b.schema.get_field_index("second"))).to_numpy() for b in parts])
+    first, second, third = np.split(number, [len(rows), len(rows) + len(second_n)])
+    langs = column("lang").dictionary_encode()
+    key = (langs.indices.to_numpy().astype(np.int64) * max(len(words), 1) + first) * shards + column("shard").to_numpy()
     return Stripes.summed(
-        words, langs.dictionary, shards, (key, plain("total").to_numpy()),
-        (np.repeat(np.arange(len(rows)), lengths), second, values("second_n").to_numpy()),
-        (np.repeat(np.arange(len(seconds)), thirds), third, values("third_n").to_numpy()))
+        words, langs.dictionary, shards, (key, column("total").to_numpy()),
+        (np.repeat(np.arange(len(rows)), seconds), second, second_n),
+        (np.repeat(np.arange(len(second_n)), thirds), third, third_n))
 
 
 def _size(batch: pa.RecordBatch) -> int:
-    return batch.num_rows + len(batch.column(4).flatten()) + len(batch.column(7).flatten())
+    """Entries of packed stripes."""
+    bytes_ = sum(pc.sum(pc.binary_length(batch.column(k))).as_py() or 0 for k in (5, 8))
+    return batch.num_rows + bytes_ // 8
+
+
+def frequent_words(texts: DataFrame, share: float) -> frozenset[bytes]:
+    """Words that have at least about this share of all words; at most 1 / share of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, different, word, is_word, _ = numbered_words(batch.column(0))
+            counts = np.bincount(word[is_word], minlength=len(different))
+            total = int(counts.sum())
+            often = np.flatnonzero(counts > share * total).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([None, *(different[k].decode() for k in often)], pa.string()),
+                 pa.array([total, *counts[often].tolist()], pa.int64())], names=["word", "n"])
+
+    counted = texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    total = counted.filter("word IS NULL").first()
+    if total is None:
+        return frozenset()
+    rows = counted.filter((F.col("word").isNotNull()) & (F.col("n") > F.lit(share) * F.lit(total["n"]))).collect()
+    return frozenset(row["word"].encode() for row in rows)
 
 
 def counted(docs: DataFrame, least: int = LEAST, partition_bytes: int = PARTITION_BYTES) -> DataFrame:
@@ -246,7 +290,7 @@ def counted(docs: DataFrame, least: int = LEAST, partition_bytes: int = PARTITIO
     texts = docs.select("lang", "text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = max(1, -(-size // partition_bytes))
-    shards = max(LEAST_SHARDS, partitions)
+    frequent = frequent_words(texts, FREQUENT / partitions)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -254,9 +298,10 @@ def counted(docs: DataFrame, least: int = LEAST, partition_bytes: int = PARTITIO
             held.append(batch)
             size += batch.nbytes
             if size >= FLUSH_BYTES:
-                yield from _built(held, shards)
+                yield from _built(held, partitions, frequent)
                 held, size = [], 0
-        yield from _built(held, shards)
+        yield from _built(held, partitions, frequent)
+        pa.default_memory_pool().release_unused()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, known = [], 0, 0
@@ -264,21 +309,24 @@ def counted(docs: DataFrame, least: int = LEAST, partition_bytes: int = PARTITIO
             held.append(batch)
             size += _size(batch)
             if size - known >= max(MERGE_ENTRIES, known):
-                whole = merged(held, shards)
+                whole = merged(held, partitions)
                 held, size = list(whole.batches()), whole.entries
                 known = size
         if held:
-            yield from merged(held, shards).found(least)
+            whole = merged(held, partitions)
+            held.clear()
+            yield from whole.found(least)
+        pa.default_memory_pool().release_unused()
 
     built = texts.mapInArrow(build, _STRIPES)
     return built.repartition(partitions, "lang", "first", "shard").mapInArrow(merge, _FOUND)
 
 
-def _built(held: list[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+def _built(held: list[pa.RecordBatch], shards: int, frequent: frozenset[bytes]) -> Iterator[pa.RecordBatch]:
     if held:
         langs = pa.concat_arrays([b.column(0) for b in held])
         texts = pa.concat_arrays([b.column(1).cast(pa.large_string()) for b in held])
-        yield from stripes_of(texts, langs, shards).batches()
+        yield from stripes_of(texts, langs, shards, frequent).batches()
 
 
 def _cut(a: str, left: str, right: str) -> F.Column:
