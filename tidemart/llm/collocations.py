@@ -275,6 +275,7 @@ def frequent_words(texts: DataFrame, share: float) -> frozenset[bytes]:
                  pa.array([total, *counts[often].tolist()], pa.int64())], names=["word", "n"])
 
     counted = texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = written(counted, "frequent-words")
     total = counted.filter("word IS NULL").first()
     if total is None:
         return frozenset()
