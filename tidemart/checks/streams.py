@@ -29,7 +29,9 @@ from tidemart.sinks.upsert import UpsertTable
 from tidemart.sources.cdc import read_cdc
 from tidemart.sources.tables import load, load_stream
 from tidemart.sources.topics import TopicSpec
+from tidemart.checks.relational import DASHBOARD_DAY
 from tidemart.streaming import facts, jobs, stateful
+from tidemart.streaming.payments import FEED, PaymentJob
 from tidemart.streaming.watermarks import watermark
 
 
@@ -242,6 +244,79 @@ def _fact_stream(spark: SparkSession, sf: str, name: str, build, *tables: str) -
     return fact.fact.read(child)
 
 
+#: Buckets of the payment tables here; a table of many files needs more.
+FEW_BUCKETS = 4
+
+
+def _payment_files(parts: list[DataFrame], folder: str) -> None:
+    """Each part of a feed as files of its own, two to a micro-batch, in order of arrival."""
+    for part in parts:
+        part.repartition(2).write.mode("append").parquet(folder)
+
+
+def _payment_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.readStream.schema(FEED).option("maxFilesPerTrigger", 2).parquet(f"{folder}/feed")
+
+
+def _repeating(job: PaymentJob, folder: str, child: SparkSession) -> None:
+    """Run a job over its feed; its second batch is run twice, as after a failure."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        job.step(batch, batch_id)
+        if batch_id == 1:
+            job.step(batch, batch_id)
+
+    jobs.finish(jobs.batch_job(_payment_stream(child, folder), f"{folder}/checkpoint", step))
+
+
+@check("dwd_trade_payment_fact_stream", SQL["dwd_trade_payment_fact"])
+def dwd_trade_payment_fact_stream(spark, sf):
+    """J2 on a stream: orders come after their payments and correct them."""
+    child = stream_session(spark)
+    folder = shared_dir(spark, "payment-fact")
+    _payment_files(derive.payment_feed(load(child, sf, "events")), f"{folder}/feed")
+    job = PaymentJob(f"{folder}/tables", sums=False, buckets=FEW_BUCKETS)
+    _repeating(job, folder, child)
+    return job.fact.read(child)
+
+
+@check("a1_stream_payment_agg", SQL["dws_trade_payment_agg"])
+def a1_stream_payment_agg(spark, sf):
+    """Sums per user and day with retractions."""
+    child = stream_session(spark)
+    folder = shared_dir(spark, "payment-agg")
+    _payment_files(derive.payment_feed(load(child, sf, "events")), f"{folder}/feed")
+    job = PaymentJob(f"{folder}/tables", buckets=FEW_BUCKETS)
+    _repeating(job, folder, child)
+    return job.sums.read(child)
+
+
+NEXT_DAY = "2024-01-16"
+
+
+@check("a4_stream_dashboard", query("""
+    SELECT dt AS day, metric_key, metric_value FROM (
+      SELECT dt, 'today_gmv' AS metric_key, cast(cast(sum(pay_amount) as decimal(20,2)) as varchar) AS metric_value
+      FROM payment_fact GROUP BY dt
+      UNION ALL SELECT dt, 'today_order_count', cast(count(*) as varchar) FROM payment_fact GROUP BY dt
+      UNION ALL SELECT dt, 'today_customer_count', cast(count(DISTINCT user_id) as varchar) FROM payment_fact GROUP BY dt)
+    WHERE dt IN ('%s', '%s')""" % (DASHBOARD_DAY, NEXT_DAY)))
+def a4_stream_dashboard(spark, sf):
+    """Two days: the feed of the first, midnight, the feed of the second; each day as it stood at its end."""
+    child = stream_session(spark)
+    folder = shared_dir(spark, "dashboard")
+    events = load(child, sf, "events")
+    days = [(DASHBOARD_DAY, events.filter(F.col("ts") < NEXT_DAY)), (NEXT_DAY, events.filter(F.col("ts") >= NEXT_DAY))]
+    rows = []
+    for day, part in days:
+        _payment_files(derive.payment_feed(part), f"{folder}/feed")
+        job = PaymentJob(f"{folder}/tables", sums=False, today=lambda batch, batch_id, day=day: day, buckets=FEW_BUCKETS)
+        _repeating(job, folder, child)
+        job.dashboard.read(child, day).select(F.lit(day).alias("day"), "*").write.parquet(f"{folder}/out/{day}")
+        rows.append(child.read.parquet(f"{folder}/out/{day}"))
+    return rows[0].unionByName(rows[1])
+
+
 @check("dwd_order_detail_stream", SQL["dwd_order_detail"])
 def dwd_order_detail_stream(spark, sf):
     return _fact_stream(spark, sf, "order-detail", facts.order_detail, *facts.WIDE)

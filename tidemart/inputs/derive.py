@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.functions.keys import md5_key
 from tidemart.operators.projections import once
@@ -415,6 +416,45 @@ def config_changes(spark: SparkSession) -> DataFrame:
     )
 
 
+def payment_feed(events: DataFrame) -> list[DataFrame]:
+    """Changes of payments and orders, in the parts in which they arrive; the final rows are those of the tables.
+
+    Payments come first: some under another amount and time, some under another order, some that will be
+    deleted. Then come the corrections and repeats, then orders under a draft shop, then the orders as
+    they stay. All parts are projections of the events.
+    """
+    from tidemart.streaming.payments import FEED
+
+    def part(rows: DataFrame, kind: str, op: str, pos: int) -> DataFrame:
+        schema = T.StructType.fromDDL(FEED)
+        row = {k: F.lit(None).cast(schema[k].dataType) for k in ("payment", "order")}
+        row[kind] = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema[kind].dataType])
+        return rows.select(
+            F.lit(kind).alias("kind"), F.lit(op).alias("op"), F.lit(pos).cast("bigint").alias("pos"),
+            row["payment"].alias("payment"), row["order"].alias("order"))
+
+    payments, orders = trade_payment(events), trade_order(events)
+    share = F.pmod(F.xxhash64("order_id"), F.lit(16))
+    changed, moved, ghosts, again = payments.filter(share < 4), payments.filter(share == 6), payments.filter(share == 5), payments.filter(share == 7)
+    ghosts = ghosts.withColumn("pay_id", F.concat(F.lit("x"), "pay_id"))
+    drafts = changed.withColumns({
+        "pay_amount": (F.col("pay_amount") + 1).cast("decimal(10,2)"),
+        "pay_time": F.when(share < 2, F.col("pay_time") - F.expr("interval 1 day")).otherwise(F.col("pay_time") + F.expr("interval 1 minute")),
+        "pay_status": F.when(share == 3, "pending").otherwise(F.col("pay_status")),
+    })
+    other = moved.withColumn("order_id", F.concat(F.lit("-"), "order_id"))
+    unchanged = payments.filter((share >= 4) & (share != 6))
+    shop = orders.withColumn("shop_id", F.concat(F.lit("draft"), F.substring("order_id", -1, 1)))
+    parts = [
+        [part(drafts, "payment", "c", 1), part(other, "payment", "c", 1), part(unchanged, "payment", "c", 1), part(ghosts, "payment", "c", 1)],
+        [part(changed, "payment", "u", 3), part(drafts, "payment", "u", 2), part(moved, "payment", "u", 2),
+         part(again, "payment", "c", 1), part(ghosts, "payment", "d", 2)],
+        [part(shop.filter(share < 8), "order", "c", 1), part(orders.filter(share >= 8), "order", "c", 1)],
+        [part(orders.filter(share < 8), "order", "u", 2), part(shop.filter(share >= 8).withColumn("order_id", F.concat(F.lit("-"), "order_id")), "order", "d", 2)],
+    ]
+    return [reduce(DataFrame.unionByName, p) for p in parts]
+
+
 # -- application log -----------------------------------------------------------------
 
 def app_log(events: DataFrame) -> DataFrame:

@@ -40,6 +40,15 @@ def keyed_join(
     return left.join(right, condition, how).drop("_lh", "_rh")
 
 
+def null_safe_semi(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left rows whose key occurs on the right; null is a key like any other."""
+    right = right.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)])
+    condition = F.lit(True)
+    for i, k in enumerate(keys):
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_r{i}"))
+    return left.join(right, condition, "left_semi")
+
+
 def interval_join(
     left: DataFrame, right: DataFrame, left_on: str, right_on: str, left_time: str, right_time: str,
     lower: int, upper: int,

@@ -104,6 +104,9 @@ def stream_session(spark: SparkSession, ends: bool = False) -> SparkSession:
     """
     child = configure(spark.newSession())
     child.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    child.conf.set(INITIAL, str(spark.sparkContext.defaultParallelism))  # a micro-batch is small
+    # A few hundred folders of a keyed table are listed faster by the driver than by a job.
+    child.conf.set("spark.sql.sources.parallelPartitionDiscovery.threshold", "400")
     child.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -131,6 +134,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tidemart/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a path, in name order."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()) if fs.exists(root) else []
+
+
 def complete_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders below a path whose write was committed, in name order."""
     hadoop = spark._jvm.org.apache.hadoop.fs
@@ -140,3 +150,13 @@ def complete_folders(spark: SparkSession, path: str) -> list[str]:
         return []
     found = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
     return sorted(p.getName() for p in found if fs.exists(hadoop.Path(p, "_SUCCESS")))
+
+
+def remove_folders(spark: SparkSession, paths: list[str], marker: str, before: float) -> list[str]:
+    """Remove folders that a marker file replaces, if it was written before a time (seconds); the folders removed."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    mark = hadoop.Path(marker)
+    fs = mark.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(mark) or fs.getFileStatus(mark).getModificationTime() / 1000 > before:
+        return []
+    return [p for p in paths if fs.delete(hadoop.Path(p), True)]
