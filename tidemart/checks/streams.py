@@ -31,6 +31,7 @@ from tidemart.sources.tables import load, load_stream
 from tidemart.sources.topics import TopicSpec
 from tidemart.checks.relational import DASHBOARD_DAY
 from tidemart.streaming import facts, jobs, stateful
+from tidemart.streaming.dims import DimsJob
 from tidemart.streaming.payments import FEED, PaymentJob
 from tidemart.streaming.watermarks import watermark
 
@@ -232,6 +233,48 @@ def s9_stream_dims(spark, sf):
     return child.read.parquet(kept)
 
 
+@check("cdc_to_dims_stream", f"""
+    WITH carts AS (SELECT event_id, epoch_ms(ts) AS t FROM events
+      UNION ALL SELECT event_id, epoch_ms(ts) + 1000 FROM events WHERE event_type = 'purchase'),
+    routed AS (SELECT 'dim_sku_draft' AS sink_table, md5(cast(p_partkey AS varchar)) AS rowkey, 'draft' AS name FROM part
+      UNION ALL SELECT 'dim_sku', md5(cast(p_partkey AS varchar)), p_name FROM part
+      UNION ALL SELECT CASE WHEN t < {derive.CART_STOP_MS} THEN 'dim_cart' ELSE 'dim_cart_late' END, md5(cast(event_id AS varchar)), 'cart'
+      FROM carts WHERE t < {derive.CART_STOP_MS} OR t >= {derive.CART_AGAIN_MS})
+    SELECT sink_table, rowkey, count(*) AS n_records, max(name) AS name, sink_table IN ('dim_sku', 'dim_cart_late') AS in_table
+    FROM routed GROUP BY sink_table, rowkey
+    UNION ALL SELECT 'dirty', NULL, 2, NULL, false""")
+def cdc_to_dims_stream(spark, sf):
+    """Routing config that changes and ends in mid-stream; records before a change keep the old sink."""
+    child = stream_session(spark)
+    folder = shared_dir(spark, "cdc-dims")
+    topic = TopicSpec("changes", folder=f"{folder}/topic", options={"maxFilesPerTrigger": "2"})
+    feed = derive.cdc_feed(child, sf, "sku_info", "cart_info").unionByName(derive.midstream_config(child))
+    for low, high in ((0, derive.SKU_MOVE_MS), (derive.SKU_MOVE_MS, derive.CART_STOP_MS + 1), (derive.CART_STOP_MS + 1, 1 << 60)):
+        part = feed.filter((F.col("ts_ms") >= low) & (F.col("ts_ms") < high))
+        if low == 0:  # two records that cannot be read
+            part = part.unionByName(child.range(2).select(
+                F.lit(None).cast("string").alias("op"), F.lit("?").alias("before"), F.lit("?").alias("after"),
+                F.lit(None).cast("map<string,string>").alias("source"), F.lit(1).cast("bigint").alias("ts_ms")))
+        write_batch_json(part.repartition(2), topic)
+    store = DimStore(child, f"{folder}/store", f"dims_{folder[-12:]}")
+    job = DimsJob(store, f"{folder}/job")
+    jobs.finish(job.stream(read_cdc(child, topic), f"{folder}/checkpoint"))
+    routed = child.read.parquet(f"{folder}/job/routed")
+    name = F.when(F.col("source_table") == "cart_info", "cart").otherwise(F.try_element_at("info", F.lit("sku_name")))
+    decided = routed.groupBy("sink_table", "rowkey").agg(F.count(F.lit(1)).alias("n_records"), F.max(name).alias("name"))
+    kept = None
+    for sink in store.list_dims():
+        one = store.read(sink).select(F.lit(sink).alias("sink_table"), "rowkey", F.lit(True).alias("in_table"))
+        kept = one if kept is None else kept.unionByName(one)
+    rows = decided.join(kept, ["sink_table", "rowkey"], "full_outer").withColumn("in_table", F.coalesce("in_table", F.lit(False)))
+    dirty = child.read.parquet(f"{folder}/job/dirty").agg(F.count(F.lit(1)).alias("n_records"))
+    dirty = dirty.select(
+        F.lit("dirty").alias("sink_table"), F.lit(None).cast("string").alias("rowkey"), "n_records", F.lit(None).cast("string").alias("name"), F.lit(False).alias("in_table"))
+    rows.unionByName(dirty).write.parquet(f"{folder}/out")
+    store.drop_all()
+    return child.read.parquet(f"{folder}/out")
+
+
 def _fact_stream(spark: SparkSession, sf: str, name: str, build, *tables: str) -> DataFrame:
     """Changes with versions and deletes, in several files and micro-batches, into a fact."""
     child = stream_session(spark)

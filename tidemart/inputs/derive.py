@@ -40,6 +40,18 @@ CONFIG_CHANGES = [
 ]
 
 
+# Routing config that changes while records flow (fixed values of the fixture):
+# op, source table, old sink, new sink, row key, time. The times lie between those of the records.
+CART_STOP_MS, CART_AGAIN_MS, SKU_MOVE_MS = 1_704_844_800_000, 1_705_708_800_000, 1_700_000_000_500
+MIDSTREAM_CONFIG = [
+    ("r", "sku_info", "", "dim_sku_draft", "id", 1),
+    ("c", "cart_info", "", "dim_cart", "id", 1),
+    ("u", "sku_info", "dim_sku_draft", "dim_sku", "id", SKU_MOVE_MS),
+    ("d", "cart_info", "dim_cart", "", "id", CART_STOP_MS),
+    ("c", "cart_info", "", "dim_cart_late", "id", CART_AGAIN_MS),
+]
+
+
 def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
@@ -455,6 +467,19 @@ def payment_feed(events: DataFrame) -> list[DataFrame]:
     return [reduce(DataFrame.unionByName, p) for p in parts]
 
 
+def midstream_config(spark: SparkSession) -> DataFrame:
+    """Change records of ``MIDSTREAM_CONFIG``; an update carries both images."""
+    rows = _values(spark, MIDSTREAM_CONFIG, "op, source_table, old, new, sink_row_key, ts_ms")
+
+    def image(sink: str) -> Column:
+        return F.to_json(F.struct(
+            "source_table", F.col(sink).alias("sink_table"), F.lit("").alias("sink_columns"), F.lit("info").alias("sink_family"), "sink_row_key"))
+
+    return rows.select(
+        "op", F.when(F.col("old") != "", image("old")).alias("before"), F.when(F.col("new") != "", image("new")).alias("after"),
+        F.create_map(F.lit("table"), F.lit("table_process_dim"), F.lit("pos"), F.lit("0")).alias("source"), F.col("ts_ms").cast("bigint").alias("ts_ms"))
+
+
 # -- application log -----------------------------------------------------------------
 
 def app_log(events: DataFrame) -> DataFrame:

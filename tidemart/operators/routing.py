@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.keys import md5_key
@@ -178,3 +178,69 @@ def route_dims(cdc: DataFrame, config: DataFrame, project: bool = False) -> Data
         info.alias("info"),
         "ts_ms",
     )
+
+
+# -- routing as of a record's place in the log ---------------------------------------
+
+CONFIG_TABLE = "table_process_dim"
+
+
+def position(df: DataFrame) -> DataFrame:
+    """``at``: the place of a change record in its log, by time and then by number; places compare in log order."""
+    number = F.coalesce(F.try_element_at("source", F.lit("pos")).try_cast("bigint"), F.lit(0))
+    return df.withColumn("at", F.struct(F.col("ts_ms"), number.alias("pos")))
+
+
+def config_intervals(changes: DataFrame) -> DataFrame:
+    """J11 as of: each config row with the places [``begins``, ``ends``) between which it was in force.
+
+    ``changes`` are the config's change records with ``at``; a record that was delivered twice counts once. A
+    delete ends the row before it and begins none.
+    """
+    schema = CDC_TABLES[CONFIG_TABLE]
+    rows = changes.select(F.from_json(F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after")), schema).alias("image"), "op", "at")
+    rows = rows.select("image.*", "op", F.col("at").alias("begins")).dropDuplicates(["source_table", "begins"])
+    following = F.lead("begins").over(Window.partitionBy("source_table").orderBy("begins"))
+    return rows.withColumn("ends", following).filter("op <> 'd'").drop("op")
+
+
+def sink_definitions(changes: DataFrame) -> DataFrame:
+    """S15 in log order: (sink_table, at, creates) for every table that a config change drops or creates.
+
+    A delete drops the old table; a new row creates one; any other change drops the old one, then creates the
+    new one at the same place.
+    """
+    schema = CDC_TABLES[CONFIG_TABLE]
+    old, new = F.from_json("before", schema)["sink_table"], F.from_json("after", schema)["sink_table"]
+    fresh, deleted = F.col("op").isin("r", "c"), F.col("op") == "d"
+
+    def step(name: Column, number: int, creates: bool) -> Column:
+        place = F.struct(F.col("at.ts_ms").alias("ts_ms"), F.col("at.pos").alias("pos"), F.lit(number).alias("step"))
+        return F.struct(name.alias("sink_table"), place.alias("at"), F.lit(creates).alias("creates"))
+
+    drop, create = step(old, 0, False), step(new, 1, True)
+    steps = F.when(deleted, F.array(drop)).when(fresh, F.array(create)).otherwise(F.array(drop, create))
+    return changes.select(F.inline(steps)).filter("sink_table IS NOT NULL").dropDuplicates(["sink_table", "at"])
+
+
+def sink_states(definitions: DataFrame) -> DataFrame:
+    """(sink_table, dropped, exists): the place of a table's last drop, and whether it is there at the end."""
+    return definitions.groupBy("sink_table").agg(
+        F.max(F.when(~F.col("creates"), F.struct("at.ts_ms", "at.pos"))).alias("dropped"), F.max_by("creates", "at").alias("exists"))
+
+
+def route_dims_as_of(cdc: DataFrame, intervals: DataFrame, states: DataFrame, project: bool = False) -> DataFrame:
+    """P17 by the config in force at each record's own place; ``lives`` is false if the sink was dropped after it."""
+    rows = cdc.filter("op <> 'd'").select(F.col("source")["table"].alias("source_table"), "after", "at")
+    rules = intervals.select(F.col("source_table").alias("_source"), "sink_table", "sink_row_key", "sink_columns", "begins", "ends")
+    inside = (F.col("at") >= F.col("begins")) & (F.col("ends").isNull() | (F.col("at") < F.col("ends")))
+    joined = rows.join(rules, (F.col("source_table") == F.col("_source")) & inside)
+    joined = joined.join(states.select(F.col("sink_table").alias("_sink"), "dropped"), F.col("sink_table") == F.col("_sink"), "left")
+    joined = joined.withColumn("info", F.from_json("after", "map<string,string>"))
+    info: Column = F.transform_values("info", lambda _, v: F.coalesce(v, F.lit("null")))
+    if project:
+        wanted = F.split("sink_columns", ",")
+        info = F.map_filter(info, lambda k, _: F.array_contains(wanted, k))
+    return joined.select(
+        "source_table", "sink_table", md5_key(F.try_element_at("info", F.col("sink_row_key"))).alias("rowkey"), info.alias("info"),
+        "at", (F.col("dropped").isNull() | (F.col("at") > F.col("dropped"))).alias("lives"))

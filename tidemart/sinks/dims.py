@@ -113,12 +113,12 @@ def sync_dim_tables(store: DimStore, config_batch: DataFrame) -> None:
             store.create(row.new)
 
 
-def write_routed(store: DimStore, routed: DataFrame, version: str | int) -> None:
+def write_routed(store: DimStore, routed: DataFrame, version: str | int, order_by: str = "ts_ms") -> None:
     """Write the rows of ``route_dims`` to their tables, the latest per row key.
 
     Only tables with a row in the batch are written; missing ones are created.
     """
-    rows = latest_per_key(routed, ["sink_table", "rowkey"], ["ts_ms"]).persist()
+    rows = latest_per_key(routed, ["sink_table", "rowkey"], [order_by]).persist()
     try:
         for (sink,) in rows.select("sink_table").distinct().toLocalIterator():
             if not store.exists(sink):
