@@ -22,7 +22,7 @@ from tidemart.operators.projections import cdc_image, with_event_time
 from tidemart.operators.routing import cdc_route, log_keys, with_fields
 from tidemart.schemas import CDC_TABLES
 from tidemart.session import shared_dir, stream_session
-from tidemart.sinks.days import write_day_partitioned
+from tidemart.sinks.days import DayFiles, write_day_partitioned
 from tidemart.sinks.dims import DimStore
 from tidemart.sinks.topics import write_batch_json
 from tidemart.sinks.upsert import UpsertTable
@@ -192,22 +192,47 @@ def t9_stream_page_uv(spark, sf):
     return visitor_counts(table.read(child))
 
 
+def _day_records(events: DataFrame) -> DataFrame:
+    """JSON records with seconds, milliseconds and unreadable times."""
+    ms = F.unix_millis("ts")
+    kind = F.col("event_type")
+    at = F.when(kind == "view", F.call_function("div", ms, F.lit(1000))).otherwise(ms).cast("string")
+    return events.select(
+        F.to_json(F.struct(F.col("event_id"), F.when(kind == "error", "none").otherwise(at).alias("at"))).alias("value"))
+
+
 @check("s11_day_partitions", """
     SELECT CASE WHEN event_type = 'error' THEN 'error_bucket' ELSE strftime(ts, '%Y%m%d') END AS day,
       count(*) AS n FROM events GROUP BY 1""")
 def s11_day_partitions(spark, sf):
     """Seconds, milliseconds and unreadable times into day folders."""
-    events = load(spark, sf, "events")
-    ms = F.unix_millis("ts")
-    kind = F.col("event_type")
-    at = F.when(kind == "view", F.call_function("div", ms, F.lit(1000))).otherwise(ms).cast("string")
-    value = F.to_json(F.struct(F.col("event_id"), F.when(kind == "error", "none").otherwise(at).alias("at")))
     path = shared_dir(spark, "days")
-    write_day_partitioned(events.select(value.alias("value")), "at", path)
+    write_day_partitioned(_day_records(load(spark, sf, "events")), "at", path)
     return spark.read.text(path).groupBy(F.col("day").cast("string").alias("day")).agg(
         F.count(F.lit(1)).alias("n"))
 
 
+@check("s11_stream_days", """
+    SELECT CASE WHEN event_type = 'error' THEN 'error_bucket' ELSE strftime(ts, '%Y%m%d') END AS day, event_id
+    FROM events""")
+def s11_stream_days(spark, sf):
+    """Day files of a stream of five micro-batches: one is run again, and days are merged in between."""
+    child = stream_session(spark)
+    folder = shared_dir(spark, "day-files")
+    _day_records(load(child, sf, "events")).repartition(5).write.text(f"{folder}/feed")
+    files = DayFiles(f"{folder}/days", "at", idle=0)
+    write = files.batch_writer()
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if batch_id == 3:
+            write(batch, batch_id)
+
+    feed = child.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(f"{folder}/feed")
+    jobs.finish(jobs.batch_job(feed, f"{folder}/checkpoint", step))
+    return files.read(child).select("day", F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"))
+
+
 @check("s9_stream_dims", query("""
     SELECT 'dim_sku_info' AS sink_table, md5(cast(id as varchar)) AS rowkey, cast(id as varchar) AS id, sku_name
     FROM sku_info

@@ -141,6 +141,14 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()) if fs.exists(root) else []
 
 
+def folder_files(spark: SparkSession, path: str) -> list[tuple[int, float]]:
+    """Size and time of writing (seconds) of the data files right in a folder."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s for s in fs.listStatus(root) if s.isFile() and s.getPath().getName()[0] not in "._"]
+    return [(s.getLen(), s.getModificationTime() / 1000) for s in found]
+
+
 def complete_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders below a path whose write was committed, in name order."""
     hadoop = spark._jvm.org.apache.hadoop.fs

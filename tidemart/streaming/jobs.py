@@ -17,6 +17,7 @@ from tidemart.operators.routing import (
     clean_cdc, current_config, log_keys, put_is_new, route_dims, split_rows, with_fields,
 )
 from tidemart.plans import dwd
+from tidemart.sinks.days import DayFiles
 from tidemart.sinks.dims import DimStore, sync_dim_tables, write_routed
 from tidemart.sinks.topics import show_stream
 from tidemart.sinks.upsert import UpsertTable
@@ -121,3 +122,10 @@ def log_split_stream(
         rows.write.mode("overwrite").partitionBy("output").parquet(f"{path}/batch={batch_id}")
 
     return batch_job(raw, checkpoint, step)
+
+
+def day_files_stream(
+    records: DataFrame, files: DayFiles, checkpoint: str, retention_seconds: float | None = None
+) -> DataStreamWriter:
+    """S11 on a stream: JSON ``value`` records into day folders that are merged as they close."""
+    return batch_job(records, checkpoint, files.batch_writer(retention_seconds))
