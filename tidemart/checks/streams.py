@@ -20,6 +20,7 @@ from tidemart.operators import joins
 from tidemart.operators.aggregates import page_visitors, visitor_counts
 from tidemart.operators.projections import cdc_image, with_event_time
 from tidemart.operators.routing import cdc_route, log_keys, with_fields
+from tidemart.plans.dwd import user_behavior_fact
 from tidemart.schemas import CDC_TABLES
 from tidemart.session import shared_dir, stream_session
 from tidemart.sinks.days import DayFiles, write_day_partitioned
@@ -30,7 +31,7 @@ from tidemart.sources.cdc import read_cdc
 from tidemart.sources.tables import load, load_stream
 from tidemart.sources.topics import TopicSpec
 from tidemart.checks.relational import DASHBOARD_DAY
-from tidemart.streaming import facts, jobs, stateful
+from tidemart.streaming import facts, jobs, retention, stateful
 from tidemart.streaming.dims import DimsJob
 from tidemart.streaming.payments import FEED, PaymentJob
 from tidemart.streaming.watermarks import watermark
@@ -385,6 +386,35 @@ def a4_stream_dashboard(spark, sf):
     return rows[0].unionByName(rows[1])
 
 
+@check("t5_stream_order_cancel", SQL["j1_order_cancel"])
+def t5_stream_order_cancel(spark, sf):
+    """J1 on two streams of several micro-batches with keyed state; without a time to live it loses no row."""
+    child = stream_session(spark)
+    folder = shared_dir(spark, "retained-cancel")
+    orders = derive.order_info(load(child, sf, "orders"), load(child, sf, "customer"))
+    lineitem = load(child, sf, "lineitem")
+    wide = joins.order_detail_wide(
+        derive.order_detail(lineitem), orders, derive.order_activity(lineitem), derive.order_coupon(lineitem))
+    streams = []
+    for name, rows in (("wide", wide), ("orders", orders)):
+        rows.repartition(3).write.parquet(f"{folder}/{name}")
+        streams.append(child.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/{name}"))
+    return _appended(child, retention.order_cancel_stream(*streams), "order-cancel-retained")
+
+
+@check("t5_stream_user_visit", SQL["dws_user_visit_agg"])
+def t5_stream_user_visit(spark, sf):
+    """A2 with keyed state, over several micro-batches into a keyed table."""
+    child = stream_session(spark)
+    folder = shared_dir(spark, "retained-visit")
+    load(child, sf, "events").repartition(3).write.parquet(f"{folder}/events")
+    events = child.readStream.schema(load(child, sf, "events").schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/events")
+    totals = retention.user_visit_totals(user_behavior_fact(derive.behavior_log(events)))
+    table = UpsertTable(f"{folder}/table", ["user_id", "dt"])
+    jobs.finish(jobs.upsert_stream(totals, table, f"{folder}/checkpoint", "update"))
+    return table.read(child)
+
+
 @check("dwd_order_detail_stream", SQL["dwd_order_detail"])
 def dwd_order_detail_stream(spark, sf):
     return _fact_stream(spark, sf, "order-detail", facts.order_detail, *facts.WIDE)

@@ -7,7 +7,7 @@ joins go through ``keyed_join`` so adaptive execution can split a hot key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -161,12 +161,15 @@ def order_detail_wide(
     }).select(*schemas.WIDE_ORDER_DETAIL, *carry, *keep)
 
 
-def order_cancel(wide: DataFrame, orders: DataFrame) -> DataFrame:
-    """Lines of cancelled orders with the time of cancelling, from the wide lines of all orders."""
+def order_cancel(wide: DataFrame, orders: DataFrame, join: Callable[..., DataFrame] | None = None) -> DataFrame:
+    """Lines of cancelled orders with the time of cancelling, from the wide lines of all orders.
+
+    ``join`` stands in for ``keyed_join``, as on streams, where state needs a retention.
+    """
     cancelled = orders.filter(F.col("order_status") == schemas.ORDER_CANCELLED).select(
         F.col("id").alias("_order"), F.col("operate_time").alias("cancel_time")
     )
-    return _cancelled_columns(keyed_join(wide, cancelled, ["order_id"], ["_order"]))
+    return _cancelled_columns((join or keyed_join)(wide, cancelled, ["order_id"], ["_order"]))
 
 
 def cancelled_lines(
