@@ -220,13 +220,44 @@ def test_chunks_do_not_matter(library, monkeypatch):
     """Chunks down to one character, cuts of long texts, and a new start of the compilation change nothing."""
     texts = [t or "" for _, t in TEXTS if len(t or "") < 20_000]
     plain = [len(ids_of(library, t)) for t in texts]
-    for name, value in (("CHUNK", 1), ("CHUNK", 7), ("SEGMENT", 50), ("MAX_STATES", 100)):
+    for name, value in (
+        ("CHUNK", 1), ("CHUNK", 7), ("SEGMENT", 50), ("DENSE", 4), ("MAX_RARE", 10), ("MAX_STATES", 100), ("MAX_STATES", 3),
+    ):
         monkeypatch.setattr(transducer, name, value)
         compiled = transducer.Transducer(tokens.vocabulary_path())
         assert compiled.counts(texts).tolist() == plain
         assert compiled.counts(texts).tolist() == plain
 
 
+def test_counts_of_many_characters(library):
+    """20,000 different characters, with and without white space between them."""
+    import random
+
+    draw = random.Random(5)
+    many = [chr(c) for c in range(0x4E00, 0x4E00 + 20_000)]
+    draw.shuffle(many)
+    texts = ["".join(many), " ".join("".join(draw.choices(many, k=5)) for _ in range(2000)), "plain words"]
+    compiled = transducer.Transducer(tokens.vocabulary_path())
+    assert compiled.counts(texts).tolist() == [len(ids_of(library, t)) for t in texts]
+    assert compiled.next.shape[1] <= transducer.DENSE
+
+
+def test_counts_without_white_space(library, monkeypatch):
+    """Chunks run from a first entry and are put right from the states before them, in few rounds."""
+    import random
+
+    draw = random.Random(6)
+    words = "the of and tokens running ed 'll 's 12 --- ... \u00e9\u00df".split()
+    texts = ["".join(draw.choices(words, k=4000)), "a" * 9000, "ab" * 5000 + " " + "!?" * 3000, "x'" * 4000, "'" * 5000]
+    monkeypatch.setattr(transducer, "CHUNK", 64)
+    compiled = transducer.Transducer(tokens.vocabulary_path())
+    runs, run = [], compiled._run
+    monkeypatch.setattr(compiled, "_run", lambda *a: runs.append(len(a[2])) or run(*a))
+    assert compiled.counts(texts[:1]).tolist() == [len(ids_of(library, texts[0]))]
+    assert len(runs) <= 8 and sum(runs) < 3 * runs[0]
+    assert compiled.counts(texts).tolist() == [len(ids_of(library, t)) for t in texts]
+
+
 def test_empty_table(spark):
     empty = documents(spark, [])
     assert packing.pack(empty).count() == 0

@@ -8,11 +8,17 @@ each neighbouring pair is the encoding of its own. So for each ending of the str
 that a longer token could begin with, a state holds the token before it and the count up to
 there; equal holdings are one state. States and transitions are built when first met.
 
-Texts are cut into chunks. After white space the transducer is in its start state,
-whatever came before, so a chunk's state map is constant behind its first white space:
-all those parts run side by side. The head before it runs once the chunk before has
-ended. No state maps are built or composed: a chunk without white space runs after its
-predecessor, one chunk a round, so a text without white space is scanned serially.
+Texts are cut into chunks, and each chunk's state map is evaluated where it is needed. After
+white space the transducer is in its start state, whatever came before, so a map is constant behind
+the first white space: all those parts run side by side, and so do chunks without white space,
+from the start state as a first entry. Then every head runs from the state its predecessor
+ended in, until it meets the path that the chunk took before: from there on both entries have the same image.
+A chunk whose last state changes hands its successor a new entry, in a round of its own. Paths
+meet within a few tokens as a rule, so a few rounds compose all maps; only a text on which they never
+met would need a round for each chunk.
+
+Transitions of the first ``DENSE`` characters are rows of a table, those of rarer ones entries of a
+bounded map. When states pass ``MAX_STATES``, also within a text, all but those in use are dropped.
 
 Character classes, lower case and special strings are asked of the library once for
 each character, so the counts are the library's.
@@ -40,8 +46,11 @@ LIMIT = 2048
 CHUNK = 512
 #: Characters worked on at a time; a longer text is cut at white space.
 SEGMENT = 1 << 21
-#: States after which compilation begins anew; counts do not depend on it.
+#: States after which those not in use are dropped; counts do not depend on it.
 MAX_STATES = 250_000
+#: Characters whose transitions lie in the table, and the most transitions kept of others.
+DENSE = 256
+MAX_RARE = 1_000_000
 
 SPACE, LETTER, NUMBER, MARK, APOSTROPHE, SPECIAL = range(6)
 START = 0
@@ -127,9 +136,41 @@ class Transducer:
     def _reset(self) -> None:
         self.states: list[tuple] = [("start",)]
         self.numbers = {("start",): START}
+        self.limit = MAX_STATES
         # A following state is held plus one, zero is not built yet; rows take memory once they are used.
-        self.next = np.zeros((2 * MAX_STATES, max(64, -(-len(self.symbols) // 16) * 16)), np.int32)
+        self.next = np.zeros((MAX_STATES + MAX_STATES // 4 + 1, self._width()), np.int32)
         self.out = np.zeros(self.next.shape, np.int16)
+        # State and symbol to the following state and its tokens, both in one number.
+        self.rare: dict[int, int] = {}
+
+    def _width(self) -> int:
+        return min(DENSE, max(64, -(-len(self.symbols) // 16) * 16))
+
+    def _shrink(self, used: list[np.ndarray], paths: np.ndarray | None) -> None:
+        """Drop all states but those in use and renumber the arrays; a path forgets the dropped ones."""
+        old = self.states
+        live = np.unique(np.concatenate([[START], *[a[a >= 0] for a in used]]))
+        self._reset()
+        self.states = [old[k] for k in live]
+        self.numbers = {state: k for k, state in enumerate(self.states)}
+        self.limit = max(MAX_STATES, 2 * len(live))
+        self._fit(self.limit)
+        number = np.full(len(old) + 1, -1, np.int64)  # the last one stands for -1
+        number[live] = np.arange(len(live))
+        for a in [*used, *([] if paths is None else [paths])]:
+            a[:] = number[a]
+
+    def _fit(self, rows: int) -> None:
+        """Room for some states, and for all characters that have a column."""
+        shape = max(len(self.next), rows + rows // 4 + 1 if rows >= len(self.next) else 0), self._width()
+        if shape == self.next.shape:
+            return
+        held, wide = min(len(self.states), len(self.next)), self.next.shape[1]
+        for name in ("next", "out"):
+            narrow = getattr(self, name)
+            table = np.zeros(shape, narrow.dtype)
+            table[:held, :wide] = narrow[:held]
+            setattr(self, name, table)
 
     # Characters
 
@@ -155,13 +196,7 @@ class Transducer:
     def _add(self, c: str) -> None:
         self.symbol_of[ord(c)] = len(self.symbols)
         self.symbols.append((self._kind(c), c))
-        if len(self.symbols) > self.next.shape[1]:
-            used, wide = len(self.states), self.next.shape[1]
-            for name in ("next", "out"):
-                narrow = getattr(self, name)
-                table = np.zeros((len(narrow), wide + 16), narrow.dtype)
-                table[:used, :wide] = narrow[:used]
-                setattr(self, name, table)
+        self._fit(0)
 
     def _kind(self, c: str) -> int:
         if c == _SPECIAL_CHAR:
@@ -262,36 +297,77 @@ class Transducer:
         if number is None:
             number = self.numbers[following] = len(self.states)
             self.states.append(following)
-            if number >= len(self.next):
-                self.next = np.concatenate([self.next, np.zeros_like(self.next)])
-                self.out = np.concatenate([self.out, np.zeros_like(self.out)])
-        self.next[state, symbol], self.out[state, symbol] = number + 1, n
+            self._fit(number)
+        if symbol < self.next.shape[1]:
+            self.next[state, symbol], self.out[state, symbol] = number + 1, n
+            return
+        if len(self.rare) >= MAX_RARE:
+            self.rare.clear()
+        self.rare[state << 21 | symbol] = (number + 1) << 16 | n
+
+    def _follow(self, now: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The following states and settled tokens; transitions that are missing are built."""
+        wide = self.next.shape[1]
+        if int(symbol.max()) < wide:
+            following = self.next[now, symbol]
+            missing = np.flatnonzero(following == 0)
+            if len(missing):
+                for k in missing:
+                    if not self.next[now[k], symbol[k]]:
+                        self._compile(int(now[k]), int(symbol[k]))
+                following = self.next[now, symbol]
+            return following - 1, self.out[now, symbol]
+        following, settled = np.empty(len(now), np.int32), np.empty(len(now), np.int16)
+        common = symbol < wide
+        if common.any():
+            following[common], settled[common] = self._follow(now[common], symbol[common])
+        packed = []
+        for state, c in zip(now[~common].tolist(), symbol[~common].tolist(), strict=True):
+            found = self.rare.get(state << 21 | c)
+            if found is None:
+                self._compile(state, c)
+                found = self.rare[state << 21 | c]
+            packed.append(found)
+        rare = np.array(packed, np.int64)
+        following[~common], settled[~common] = (rare >> 16) - 1, rare & 0xFFFF
+        return following, settled
 
     # Running
 
-    def _run(self, text: np.ndarray, out: np.ndarray, first: np.ndarray, end: np.ndarray, state: np.ndarray) -> np.ndarray:
-        """Run many parts side by side; ``out`` gets the tokens settled at each character. Final states."""
+    def _run(
+        self, text: np.ndarray, out: np.ndarray, first: np.ndarray, end: np.ndarray, state: np.ndarray,
+        leaves: np.ndarray, path: np.ndarray | None = None, before: np.ndarray | None = None,
+    ) -> np.ndarray:
+        """Run many parts side by side; ``out`` gets the tokens settled at each character. Final states.
+
+        ``path`` holds the states of earlier runs. A part that meets it ends there and has the
+        final state of ``before``, where one is named; the states of the others are put into it.
+        ``leaves`` are states to keep beside the running ones.
+        """
         order = np.argsort(first - end, kind="stable")  # the longest first
         at, now, final = first[order], state[order], state.copy()
         length = (end - first)[order]
-        for j in range(int(length[0]) if len(length) else 0):
+        j = 0
+        while True:
             alive = int(np.searchsorted(-length, -j, side="left"))
             if alive < len(now):
-                final[order[alive:len(now)]] = now[alive:]
-                now = now[:alive]
-            here = at[:alive] + j
-            symbol = text[here]
-            following = self.next[now, symbol]
-            missing = np.flatnonzero(following == 0)
-            if len(missing):
-                for k in missing:
-                    if not self.next[now[k], symbol[k]]:
-                        self._compile(int(now[k]), int(symbol[k]))
-                following = self.next[now, symbol]
-            out[here] = self.out[now, symbol]
-            now = following - 1
-        final[order[:len(now)]] = now
-        return final
+                final[order[alive:]] = now[alive:]
+                order, at, now, length = order[:alive], at[:alive], now[:alive], length[:alive]
+            if not alive:
+                return final
+            if len(self.states) > self.limit:
+                self._shrink([now, final, leaves, *([] if before is None else [before])], path)
+            here = at + j
+            now, out[here] = self._follow(now, text[here])
+            j += 1
+            if path is None:
+                continue
+            if before is not None:
+                met = (path[here] == now) & (before[order] >= 0)
+                if met.any():
+                    final[order[met]] = before[order[met]]
+                    order, at, now, length, here = order[~met], at[~met], now[~met], length[~met], here[~met]
+            path[here] = now
 
     def emitted(self, text: np.ndarray) -> np.ndarray:
         """Tokens settled at each symbol; the text starts in the start state and should end with white space."""
@@ -306,24 +382,24 @@ class Transducer:
         constant = sync <= end
         sync = np.minimum(sync, end)
         constant[0], sync[0] = True, 0
+        path = None if constant.all() else np.full(len(text), -1, np.int64)
         leaves = np.full(len(first), -1, np.int64)
-        k = np.flatnonzero(constant)
-        leaves[k] = self._run(text, out, sync[k], end[k], np.full(len(k), START))
-        # Heads: those behind a chunk whose last state is known, round by round. A second round
-        # is needed only behind a chunk without any white space.
+        begun = np.where(constant, sync, first)
+        leaves[:] = self._run(text, out, begun, end, np.full(len(first), START), leaves, path)
+        # Heads from the states before them; a chunk that ends in another state than before is an entry to follow.
         todo = np.flatnonzero(sync > first)
         while len(todo):
-            ready = todo[leaves[todo - 1] >= 0]
-            ended = self._run(text, out, first[ready], sync[ready], leaves[ready - 1])
-            whole = ~constant[ready]
-            leaves[ready[whole]] = ended[whole]
-            todo = np.setdiff1d(todo, ready, assume_unique=True)
+            whole = ~constant[todo]
+            before = np.where(whole, leaves[todo], -1)
+            ended = self._run(text, out, first[todo], sync[todo], leaves[todo - 1], leaves, path, before)
+            behind = todo[whole & (ended != leaves[todo])] + 1
+            leaves[todo[whole]] = ended[whole]
+            behind = behind[behind < len(first)]
+            todo = behind[sync[behind] > first[behind]]
         return out
 
     def counts(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text."""
-        if len(self.states) > MAX_STATES:
-            self._reset()
         self._learn(" ")
         total = np.zeros(len(texts), np.int64)
         parts: list[str] = []
