@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tests.test_operators import brute_is_new, brute_latest, hot_log, hot_times
+from tests.test_operators import brute_is_new, hot_log, hot_times
 from tidemart.operators.projections import cdc_image
 from tidemart.session import stream_session
 from tidemart.sinks.dims import DimStore
@@ -52,13 +52,32 @@ def test_fix_is_new_over_batches_and_restart(spark, tmp_path):
 
 
 def test_dedup_latest_over_batches(spark, tmp_path):
-    child = stream_session(spark, ends=True)
-    records = hot_times()
-    schema = "n long, key long, ts long"
-    feed(child, tmp_path / "in", records, schema)
-    append(stateful.dedup_latest_stream(source(child, tmp_path / "in", schema), "key", "ts", "n"), tmp_path / "out")
-    assert sorted(tuple(r) for r in child.read.parquet(f"{tmp_path}/out/rows").select("n", "key", "ts").collect()) == (
-        brute_latest(records))
+    """As the batch form, with keys and times that are null, a batch run again, and small chunks."""
+    records = [*hot_times(), *[(10_000 + i, None if i % 3 else 77, None if i % 5 == 0 else i % 7) for i in range(40)]]
+    records.sort()
+    times = stateful.LatestTimes(f"{tmp_path}/t", "key", "ts", buckets=4)
+    got, parts = [], [records[i:i + 150] for i in range(0, len(records), 150)]
+    for number, part in [*enumerate(parts), (len(parts) - 1, parts[-1])]:
+        got = [r for r in got if r[0] < number]
+        out = times.keep(spark.createDataFrame(part, "n long, key long, ts long"), number, "n", chunk=50)
+        assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+        got += [(number, tuple(r)) for r in out.select("n", "key", "ts").collect()]
+    latest, expected = {}, []
+    for n, key, ts in records:
+        seen = latest.get(key)
+        if seen is None or (ts is not None and ts > seen):
+            expected.append((n, key, ts))
+            latest[key] = ts
+    assert len(parts) > 1 and sorted((r for _, r in got), key=repr) == sorted(expected, key=repr)
+
+
+def test_latest_times_expire(spark, tmp_path):
+    frame = lambda rows: spark.createDataFrame(rows, "n long, key long, ts long")
+    kept = lambda number, ttl, rows: [
+        r.n for r in stateful.LatestTimes(f"{tmp_path}/t", "key", "ts", ttl).keep(frame(rows), number, "n").collect()]
+    assert kept(0, 3_600_000, [(1, 1, 50)]) == [1]
+    assert kept(1, 3_600_000, [(2, 1, 40)]) == []
+    assert kept(2, 1, [(3, 1, 40)]) == [3]
 
 
 def test_bloom_over_batches(spark, tmp_path):
@@ -169,3 +188,32 @@ def test_facts_follow_changes_deletes_and_a_repeated_batch(spark, tmp_path):
         fact.step(spark.createDataFrame(rows, CDC_ENVELOPE), number)
         seen.append(sorted((r.id, r.order_id, r.refund_num) for r in fact.fact.read(spark).collect()))
     assert seen == [[(1, 10, 6)], [(1, 10, 6), (2, 20, 7), (3, 10, 8)], [(2, 20, 7), (3, 20, 9)], [(2, 20, 7), (3, 20, 9)]]
+
+
+def test_moved_rows_and_opened_buckets_of_a_fact(spark, tmp_path):
+    """A late older version does not bring a moved row back; a batch opens its orders' buckets."""
+    import json
+
+    from tidemart.schemas import CDC_ENVELOPE
+    from tidemart.streaming import facts
+
+    dic = spark.createDataFrame([("1005", ("1005", "refunding"))], "dic_code string, info struct<dic_code: string, dic_name: string>")
+    fact = facts.order_refund(str(tmp_path), lambda: dic, buckets=8)
+
+    def change(table, op, pos, **row):
+        return (op, None, json.dumps(row), {"table": table, "pos": str(pos)}, 1)
+
+    def refund(op, pos, key, order, num):
+        return change("order_refund_info", op, pos, id=key, order_id=order, refund_num=num, create_time=1, user_id=1, sku_id=1)
+
+    orders = [change("order_info", "c", 1, id=o, order_status=1005) for o in range(1, 41)]
+    fact.step(spark.createDataFrame([*orders, *[refund("c", 1, o, o, 1) for o in range(1, 41)]], CDC_ENVELOPE), 0)
+    fact.step(spark.createDataFrame([refund("u", 5, 1, 2, 7)], CDC_ENVELOPE), 1)
+    fact.step(spark.createDataFrame([refund("u", 3, 1, 1, 6)], CDC_ENVELOPE), 2)
+    rows = {(r.id, r.order_id, r.refund_num) for r in fact.fact.read(spark).collect()}
+    assert rows == {(1, 2, 7), *[(o, o, 1) for o in range(2, 41)]}
+    folders = lambda number: {p.name for p in (tmp_path / "fact/changes" / f"{number:020d}").glob("_bucket=*")}
+    assert len(folders(0)) == 8 and 1 <= len(folders(1)) <= 2 and not folders(2)
+    near = fact.fact.touched(spark.createDataFrame([(1,), (2,)], "order_id long"))
+    opened = fact.states["order_info"].read(spark, near=near).inputFiles()
+    assert 1 <= len({f.rsplit("_bucket=", 1)[1].split("/")[0] for f in opened}) <= 2

@@ -43,17 +43,23 @@ def repair_visits(
     return joined.withColumn(is_new, F.when(late, F.lit("0")).otherwise(F.col(is_new))).drop("_mid", "_first")
 
 
-def dedup_latest(df: DataFrame, key: str, ts: str, order_by: str, chunk: int = 1_000_000) -> DataFrame:
+def dedup_latest(
+    df: DataFrame, key: str, ts: str, order_by: str, chunk: int = 1_000_000, known: DataFrame | None = None
+) -> DataFrame:
     """Keep a record only if its time exceeds every earlier one of its key.
 
     Arrival order ``order_by`` is a unique number. It is cut into chunks: the
     greatest time before a chunk comes from per-chunk maxima, the rest from a
-    window within the chunk, so a hot key is spread over its chunks.
+    window within the chunk, so a hot key is spread over its chunks. ``known``
+    (``_known``, ``_latest``) gives keys times from before the first record.
     """
     rows = df.withColumn("_chunk", F.call_function("div", F.col(order_by), F.lit(chunk)))
     maxima = rows.groupBy(F.col(key).alias("_key"), F.col("_chunk").alias("_c")).agg(F.max(ts).alias("_max"))
     before = Window.partitionBy("_key").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
     earlier = maxima.select("_key", "_c", F.max("_max").over(before).alias("_earlier"))
+    if known is not None:
+        earlier = earlier.join(known, F.col("_key").eqNullSafe(F.col("_known")), "left")
+        earlier = earlier.select("_key", "_c", F.greatest("_earlier", "_latest").alias("_earlier"))
     joined = rows.join(earlier, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_chunk") == F.col("_c")))
     inside = Window.partitionBy(key, "_chunk").orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
     seen = F.greatest(F.col("_earlier"), F.max(ts).over(inside))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tidemart.plans.dwd import CHANGE_ORDER
 from tidemart.schemas import CDC_TABLES
 from tidemart.sinks.upsert import UpsertTable
 from tidemart.streaming.jobs import batch_job
+from tidemart.streaming.payments import BUCKETS, Keep, kept
 
 States = Mapping[str, DataFrame]
 
@@ -26,37 +28,70 @@ class TouchedFact:
     ``tables`` names each captured table's order column, ``compute`` is the batch join of
     the states. A micro-batch updates the states, takes the orders of its changes,
     computes those orders alone and replaces their rows; rows that are no longer there are
-    deleted. All writes are by batch number, so a batch run again changes nothing.
+    deleted. States and fact lie in buckets of the order, so a batch opens those of its
+    orders and no others. A row that moves to another order is deleted at the old one,
+    which ``placed``, bucketed by row, remembers. All writes are by batch number, so a
+    batch run again changes nothing.
     """
 
-    def __init__(self, root: str, tables: Mapping[str, str], compute: Callable[[States], DataFrame], key: str = "id") -> None:
+    def __init__(
+        self, root: str, tables: Mapping[str, str], compute: Callable[[States], DataFrame], key: str = "id",
+        buckets: int = BUCKETS,
+    ) -> None:
         self.tables, self.compute, self.key = dict(tables), compute, key
-        self.states = {t: UpsertTable(f"{root}/{t}", ["id"], CHANGE_ORDER) for t in tables}
-        self.fact = UpsertTable(f"{root}/fact", [key])
+        self.states = {
+            t: UpsertTable(f"{root}/{t}", list(dict.fromkeys(["id", order])), CHANGE_ORDER, buckets=buckets, bucket_by=[order])
+            for t, order in tables.items()}
+        self.placed = {
+            t: UpsertTable(f"{root}/placed/{t}", ["id"], CHANGE_ORDER, op="_none", buckets=buckets)
+            for t, order in tables.items() if order != "id"}
+        self.fact = UpsertTable(f"{root}/fact", [key, "order_id"], buckets=buckets, bucket_by=["order_id"])
+
+    def _settled(self, table: str, changes: DataFrame, batch_id: int, keep: Keep) -> DataFrame:
+        """The latest change of each row of a table, with deletes where it moved to another order."""
+        latest = latest_per_key(changes, ["id"], CHANGE_ORDER)
+        if table not in self.placed:
+            return keep(latest)
+        latest, placed, order = keep(latest), self.placed[table], self.tables[table]
+        known = None
+        if placed.written(changes.sparkSession, batch_id):
+            known = placed.read(changes.sparkSession, batch_id, placed.touched(latest))
+        placed.append(latest.select("id", order, *CHANGE_ORDER), batch_id)
+        if known is None:
+            return latest
+        was = known.select(
+            F.col("id").alias("_id"), F.col(order).alias("_was"), F.struct(*CHANGE_ORDER).alias("_place"))
+        met = latest.join(was, F.col("id").eqNullSafe(F.col("_id")), "left")
+        met = met.filter(F.col("_place").isNull() | (F.struct(*CHANGE_ORDER) >= F.col("_place")))
+        gone = met.filter(F.col("_place").isNotNull() & ~F.col(order).eqNullSafe(F.col("_was")))
+        gone = gone.withColumns({order: F.col("_was"), "op": F.lit("d")})
+        return keep(met.select(*latest.columns).unionByName(gone.select(*latest.columns)))
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
+        with kept() as keep:
+            self._step(batch, batch_id, keep)
+
+    def _step(self, batch: DataFrame, batch_id: int, keep: Keep) -> None:
         spark = batch.sparkSession
         orders = []
         for table, order in self.tables.items():
-            changes = cdc_image(cdc_route(batch, table), CDC_TABLES[table], position=True)
-            # The order a row belonged to before this batch is touched too.
-            if self.states[table].written(spark, batch_id):
-                was = self.states[table].read(spark, batch_id).join(changes.select("id"), "id", "left_semi")
-                orders.append(was.select(F.col(order).alias("_order")))
-            orders.append(changes.select(F.col(order).alias("_order")))
+            changes = self._settled(table, cdc_image(cdc_route(batch, table), CDC_TABLES[table], position=True), batch_id, keep)
             self.states[table].append(changes, batch_id)
-        touched = orders[0]
-        for more in orders[1:]:
-            touched = touched.union(more)
-        touched = touched.filter("_order IS NOT NULL").distinct()
+            orders.append(changes.select(F.col(order).alias("order_id")))
+        touched = keep(reduce(DataFrame.union, orders).filter("order_id IS NOT NULL").distinct())
+        near = self.fact.touched(touched)
+
+        def of_orders(table: UpsertTable, order: str, before: int) -> DataFrame:
+            return joins.null_safe_semi(
+                table.read(spark, before, near), touched.select(F.col("order_id").alias(order)), [order])
+
         current = {
-            table: state.read(spark).drop(*CHANGE_ORDER).join(touched, F.col(self.tables[table]) == F.col("_order"), "left_semi")
-            for table, state in self.states.items()
-        }
+            table: of_orders(state, self.tables[table], batch_id + 1).drop(*CHANGE_ORDER) for table, state in self.states.items()}
         rows = self.compute(current).withColumn("op", F.lit("u"))
         if self.fact.written(spark, batch_id):
-            known = self.fact.read(spark, batch_id).join(touched, F.col("order_id") == F.col("_order"), "left_semi")
-            gone = known.join(rows.select(self.key), self.key, "left_anti").withColumn("op", F.lit("d"))
+            rows = keep(rows)
+            known = of_orders(self.fact, "order_id", batch_id)
+            gone = known.join(rows.select(*self.fact.keys), self.fact.keys, "left_anti").withColumn("op", F.lit("d"))
             rows = rows.unionByName(gone)
         self.fact.append(rows, batch_id)
 
@@ -71,34 +106,34 @@ def _wide(join: Callable[..., DataFrame]) -> Callable[[States], DataFrame]:
     return lambda s: join(*[s[t] for t in WIDE])
 
 
-def order_detail(root: str) -> TouchedFact:
+def order_detail(root: str, buckets: int = BUCKETS) -> TouchedFact:
     """J3 on a stream."""
-    return TouchedFact(root, WIDE, _wide(joins.order_detail_wide))
+    return TouchedFact(root, WIDE, _wide(joins.order_detail_wide), buckets=buckets)
 
 
-def order_cancel(root: str) -> TouchedFact:
+def order_cancel(root: str, buckets: int = BUCKETS) -> TouchedFact:
     """J1 on a stream."""
-    return TouchedFact(root, WIDE, _wide(joins.cancelled_lines))
+    return TouchedFact(root, WIDE, _wide(joins.cancelled_lines), buckets=buckets)
 
 
-def order_refund(root: str, dic: Callable[[], DataFrame]) -> TouchedFact:
+def order_refund(root: str, dic: Callable[[], DataFrame], buckets: int = BUCKETS) -> TouchedFact:
     """Refund requests on a stream; the dictionary is read anew for every micro-batch."""
     return TouchedFact(
         root, {"order_refund_info": "order_id", "order_info": "id"},
-        lambda s: joins.order_refund(s["order_refund_info"], s["order_info"], dic()))
+        lambda s: joins.order_refund(s["order_refund_info"], s["order_info"], dic()), buckets=buckets)
 
 
-def refund_pay(root: str, dic: Callable[[], DataFrame]) -> TouchedFact:
+def refund_pay(root: str, dic: Callable[[], DataFrame], buckets: int = BUCKETS) -> TouchedFact:
     """J4 on a stream."""
 
     def compute(s: States) -> DataFrame:
         paid = joins.refund_pay(s["refund_payment"], s["order_refund_info"], s["order_info"], dic())
         return latest_per_key(paid, ["id"], ["ts", "refund_num"])
 
-    return TouchedFact(root, {"refund_payment": "order_id", "order_refund_info": "order_id", "order_info": "id"}, compute)
+    return TouchedFact(root, {"refund_payment": "order_id", "order_refund_info": "order_id", "order_info": "id"}, compute, buckets=buckets)
 
 
-def payment_success(root: str, dic: Callable[[], DataFrame]) -> TouchedFact:
+def payment_success(root: str, dic: Callable[[], DataFrame], buckets: int = BUCKETS) -> TouchedFact:
     """J5 on a stream, with the lines' order, activity and coupon."""
 
     def compute(s: States) -> DataFrame:
@@ -107,4 +142,4 @@ def payment_success(root: str, dic: Callable[[], DataFrame]) -> TouchedFact:
             lines, s["order_info"], s["order_detail_activity"], s["order_detail_coupon"], keep=joins.PAID)
         return latest_per_key(joins.paid_columns(wide, dic()), ["order_detail_id"], ["ts", "callback_time"])
 
-    return TouchedFact(root, {**WIDE, "payment_info": "order_id"}, compute, key="order_detail_id")
+    return TouchedFact(root, {**WIDE, "payment_info": "order_id"}, compute, key="order_detail_id", buckets=buckets)

@@ -16,10 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemart.operators.dedup import GrowingBloom, first_visits, repair_visits
+from tidemart.operators.dedup import GrowingBloom, dedup_latest, first_visits, repair_visits
 from tidemart.session import complete_folders
 from tidemart.sinks.upsert import UpsertTable
 
+#: Buckets of a keyed table on a stream; a table of many files needs more.
+BUCKETS = 16
+
 Update = Callable[[tuple, Iterator[pd.DataFrame], "_Written"], Iterator[pd.DataFrame]]
 
 
@@ -70,23 +73,25 @@ class FirstVisits:
 
     A micro-batch adds the devices it is the first to bring, found by a map-side reducible
     aggregate, and joins its records with the table; a device holding most of a batch is
-    split like any join key. An entry counts for ``ttl_ms`` from when it was written.
+    split like any join key. The table lies in buckets of the device and a batch opens those
+    of its devices. An entry counts for ``ttl_ms`` from when it was written.
     """
 
-    def __init__(self, path: str, key: str = "mid", ttl_ms: int | None = None) -> None:
+    def __init__(self, path: str, key: str = "mid", ttl_ms: int | None = None, buckets: int = BUCKETS) -> None:
         self.key, self.ttl_ms = key, ttl_ms
-        self.table = UpsertTable(path, [key])
+        self.table = UpsertTable(path, [key], buckets=buckets)
 
     def repair(self, batch: DataFrame, batch_id: int, order_by: str, is_new: str = "is_new", ts: str = "ts") -> DataFrame:
         spark, now = batch.sparkSession, F.unix_millis(F.current_timestamp())
         fresh = first_visits(batch, order_by, self.key, is_new, ts).withColumns({"written": now, "op": F.lit("u")})
+        near = self.table.touched(batch)
         if self.table.written(spark, batch_id):
-            known = self.table.read(spark, batch_id)
+            known = self.table.read(spark, batch_id, near)
             if self.ttl_ms:
                 known = known.filter(F.col("written") + self.ttl_ms > now)
             fresh = fresh.join(known.select(self.key), self.key, "left_anti")
         self.table.append(fresh, batch_id)
-        current = self.table.read(spark)
+        current = self.table.read(spark, near=near)
         here = current.join(batch.select(self.key).distinct(), self.key, "left_semi")
         return repair_visits(batch, here, self.key, is_new, ts)
 
@@ -118,25 +123,34 @@ def fix_is_new_stream(
     )
 
 
-def dedup_latest_stream(
-    df: DataFrame, key: str, ts: str, order_by: str, ttl_ms: int | None = 86_400_000
-) -> DataFrame:
-    """T2 on a stream; the greatest time of a key expires a day after it was last raised."""
+class LatestTimes:
+    """T2, T5 on a stream without state in a task: the greatest time of each key in a keyed table.
 
-    def step(_key: tuple, batches: Iterator[pd.DataFrame], state: _Written) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values(order_by)
-        seen = rows[ts].cummax().ffill().shift()
-        if state.exists:
-            seen = seen.fillna(state.value).clip(lower=state.value)
-        keep = seen.isna() | (rows[ts] > seen)
-        latest = rows[ts].max()
-        if pd.notna(latest) and (not state.exists or latest > state.value):
-            state.write(int(latest))
-        yield rows[keep]
-
-    return df.groupBy(key).applyInPandasWithState(
-        _with_ttl(step, ttl_ms), df.schema, "latest long, written long", "append", _timeout(ttl_ms)
-    )
+    A micro-batch is the batch form ``dedup_latest`` begun from the table's times, so a key
+    holding most of a batch spreads over the chunks of its arrival order. The table lies in
+    buckets of the key and a batch opens those of its keys. A time counts for ``ttl_ms``
+    from when it was last raised.
+    """
+
+    def __init__(self, path: str, key: str, ts: str, ttl_ms: int | None = 86_400_000, buckets: int = BUCKETS) -> None:
+        self.key, self.ts, self.ttl_ms = key, ts, ttl_ms
+        self.table = UpsertTable(path, [key], op="_none", buckets=buckets)
+
+    def keep(self, batch: DataFrame, batch_id: int, order_by: str, chunk: int = 1_000_000) -> DataFrame:
+        """The rows whose time exceeds every earlier one of their key; ``order_by`` is a number unique in the batch."""
+        spark, now = batch.sparkSession, F.unix_millis(F.current_timestamp())
+        known = None
+        if self.table.written(spark, batch_id):
+            known = self.table.read(spark, batch_id, self.table.touched(batch))
+            if self.ttl_ms:
+                known = known.filter(F.col("_raised") + self.ttl_ms > now)
+            known = known.select(F.col(self.key).alias("_known"), F.col(self.ts).alias("_latest"))
+        raised = batch.filter(F.col(self.ts).isNotNull()).groupBy(self.key).agg(F.max(self.ts).alias(self.ts))
+        if known is not None:
+            met = raised.join(known, F.col(self.key).eqNullSafe(F.col("_known")), "left")
+            raised = met.filter(F.col("_latest").isNull() | (F.col(self.ts) > F.col("_latest"))).drop("_known", "_latest")
+        self.table.append(raised.withColumn("_raised", now), batch_id)
+        return dedup_latest(batch, self.key, self.ts, order_by, chunk, known)
 
 
 def dedup_exact_batches(path: str, columns: Sequence[str]) -> Callable[[DataFrame, int], None]:
