@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from tests.llm.helpers import ODD_TEXTS, documents
 from tidemart.llm import secrets as S
@@ -28,11 +29,11 @@ def plain_spans(text, reach=S.REACH):
                 continue
             parts.append((m.start(), S.KINDS.index(kind), m.end()))
     ends = [m.end() for m in re.finditer(S.SCOPE, text)]
-    scope = lambda p: sum(e <= p[0] for e in ends)
+    scopes = {p: sum(e <= p[0] for e in ends) for p in parts}
     base = sorted(p for p in parts if p[1] < S.FIRST_WEAK)
     weak = [
         p for p in parts if p[1] >= S.FIRST_WEAK and any(
-            S.KINDS[o[1]] in S.NEEDS[S.KINDS[p[1]]] and scope(o) == scope(p) and abs(o[0] - p[0]) <= reach
+            S.KINDS[o[1]] in S.NEEDS[S.KINDS[p[1]]] and abs(o[0] - p[0]) <= reach and scopes[o] == scopes[p]
             and (o[2] <= p[0] or p[2] <= o[0]) for o in parts)
     ]
     return base, sorted(base + weak)
@@ -73,8 +74,28 @@ def test_redacted_texts(spark):
 
 
 def test_main_path_has_no_python(spark):
-    plan = S.find_secrets(documents(spark, TEXTS))._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Arrow|Pandas|NestedLoop|Cartesian", plan)
+    docs = documents(spark, TEXTS).repartition(2)
+    for frame in (S.with_parts(docs), S.find_secrets(docs), S.redacted(docs)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Arrow|Pandas|NestedLoop|Cartesian", plan)
+
+
+def test_very_long_texts_with_many_hits(spark):
+    """More hits and scopes than a block holds; 100,000 hits in one text take seconds."""
+    small = "".join(f"{KEY} é {i:016x} {BARE}\n\nclient_id=backoffice-{i} {BARE}\n \n" for i in range(700))
+    docs = documents(spark, [(1, small), (2, "0123456789abcdef " * 100_000)])
+    began = time.monotonic()
+    out = {r.doc_id: r for r in S.find_secrets(docs).collect()}
+    texts = {r.doc_id: r.text for r in S.redacted(docs, mark="<x>").collect()}
+    assert time.monotonic() - began < 120
+    assert ([tuple(s) for s in out[1].base], [tuple(s) for s in out[1].spans]) == plain_spans(small)
+    at, pieces = 0, []
+    for start, _, end in plain_spans(small)[1]:
+        if start >= at:
+            pieces += [small[at:start], "<x>"]
+        at = max(at, end)
+    assert texts[1] == "".join(pieces) + small[at:] and len(pieces) > 4 * S.BLOCK
+    assert len(out[2].base) == 100_000 and out[2].base[-1][2] == 1_699_999 and texts[2] == "<x> " * 100_000
 
 
 def test_empty_table(spark):

@@ -47,7 +47,7 @@ def op6_simple8b_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
 
     def count(kind: str):
         number = secrets.KINDS.index(kind)
