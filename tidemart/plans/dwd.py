@@ -11,7 +11,7 @@ from tidemart.operators.latest import current_rows, latest_per_key
 from tidemart.operators.projections import behavior_flags, cdc_image
 from tidemart.operators.routing import cdc_route
 from tidemart import schemas
-from tidemart.schemas import CDC_TABLES
+from tidemart.schemas import CDC_TABLES, FACT_TABLES
 
 
 #: What orders the changes of a row: time, then place in the log.
@@ -20,7 +20,7 @@ CHANGE_ORDER = ("ts_ms", "pos")
 
 def table_state(cdc: DataFrame, table: str, key: str = "id") -> DataFrame:
     """Current rows of one captured table."""
-    image = cdc_image(cdc_route(cdc, table), CDC_TABLES[table], position=True)
+    image = cdc_image(cdc_route(cdc, table), FACT_TABLES.get(table, CDC_TABLES[table]), position=True)
     return current_rows(image, [key], CHANGE_ORDER).drop(*CHANGE_ORDER)
 
 

@@ -57,12 +57,13 @@ class UpsertTable:
         """Columns of a bucketed table, kept beside it: a batch without rows leaves no file to tell them."""
         return spark.read.parquet(f"{self.path}/columns/0").schema
 
-    def append(self, rows: DataFrame, batch_id: int) -> None:
-        """Write one batch of new, changed and (``op`` = d) deleted rows."""
+    def append(self, rows: DataFrame, batch_id: int, unique: bool = False) -> None:
+        """Write one batch of new, changed and (``op`` = d) deleted rows; ``unique`` if no key occurs twice in it."""
         stamped = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         if self.buckets and not complete_folders(rows.sparkSession, f"{self.path}/columns"):
             stamped.limit(0).write.mode("overwrite").parquet(f"{self.path}/columns/0")
-        self._write(latest_per_key(stamped, self.keys, [*self.order_by, BATCH]), f"{self.path}/changes/{batch_id:020d}")
+        last = stamped if unique else latest_per_key(stamped, self.keys, [*self.order_by, BATCH])
+        self._write(last, f"{self.path}/changes/{batch_id:020d}")
         if self.compact_every and batch_id and batch_id % self.compact_every == 0:
             self.compact(rows.sparkSession)
 
@@ -85,10 +86,13 @@ class UpsertTable:
         """The buckets some rows fall in; at most ``buckets`` numbers."""
         return [row[0] for row in near.select(self.bucket(columns)).distinct().collect()]
 
-    def history(self, spark: SparkSession, before: int | None = None, near: Sequence[int] | None = None) -> DataFrame:
+    def history(
+        self, spark: SparkSession, before: int | None = None, near: Sequence[int] | None = None, of: DataFrame | None = None
+    ) -> DataFrame:
         """Latest row per key with its delete mark and batch number; of batches before one if given.
 
-        ``near`` names the buckets to read.
+        ``near`` names the buckets to read. ``of`` has values of the bucketing columns, none null, and rows
+        without them are left out before the rest is merged; bucketing columns must then be keys.
         """
         folders = self._folders(spark, before)
         if not folders:
@@ -101,11 +105,15 @@ class UpsertTable:
             found = [f"{f}/{name}" for f in folders for name in folder_names(spark, f) if wanted is None or name in wanted]
             schema = self._schema(spark)
             rows = spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
+        if of is not None:
+            rows = rows.join(of, self.bucket_by, "left_semi")
         return latest_per_key(rows, self.keys, [*self.order_by, BATCH])
 
-    def read(self, spark: SparkSession, before: int | None = None, near: Sequence[int] | None = None) -> DataFrame:
+    def read(
+        self, spark: SparkSession, before: int | None = None, near: Sequence[int] | None = None, of: DataFrame | None = None
+    ) -> DataFrame:
         """Current rows, or those before a batch, which may then be written again."""
-        rows = self.history(spark, before, near).drop(BATCH)
+        rows = self.history(spark, before, near, of).drop(BATCH)
         if self.op in rows.columns:
             rows = rows.filter(F.col(self.op) != "d").drop(self.op)
         return rows

@@ -14,7 +14,7 @@ from tidemart.operators.latest import latest_per_key
 from tidemart.operators.projections import cdc_image
 from tidemart.operators.routing import cdc_route
 from tidemart.plans.dwd import CHANGE_ORDER
-from tidemart.schemas import CDC_TABLES
+from tidemart.schemas import FACT_TABLES
 from tidemart.sinks.upsert import UpsertTable
 from tidemart.streaming.jobs import batch_job
 from tidemart.streaming.payments import BUCKETS, Keep, kept
@@ -52,20 +52,25 @@ class TouchedFact:
         latest = latest_per_key(changes, ["id"], CHANGE_ORDER)
         if table not in self.placed:
             return keep(latest)
+        # Only what the fact needs is kept, and only rows that moved are looked at again: most do not.
         latest, placed, order = keep(latest), self.placed[table], self.tables[table]
         known = None
         if placed.written(changes.sparkSession, batch_id):
             known = placed.read(changes.sparkSession, batch_id, placed.touched(latest))
-        placed.append(latest.select("id", order, *CHANGE_ORDER), batch_id)
+        places = latest.select("id", order, *CHANGE_ORDER)
+        placed.append(places, batch_id, unique=True)
         if known is None:
             return latest
         was = known.select(
             F.col("id").alias("_id"), F.col(order).alias("_was"), F.struct(*CHANGE_ORDER).alias("_place"))
-        met = latest.join(was, F.col("id").eqNullSafe(F.col("_id")), "left")
-        met = met.filter(F.col("_place").isNull() | (F.struct(*CHANGE_ORDER) >= F.col("_place")))
-        gone = met.filter(F.col("_place").isNotNull() & ~F.col(order).eqNullSafe(F.col("_was")))
-        gone = gone.withColumns({order: F.col("_was"), "op": F.lit("d")})
-        return keep(met.select(*latest.columns).unionByName(gone.select(*latest.columns)))
+        moved = places.join(was, F.col("id").eqNullSafe(F.col("_id"))).filter(~F.col(order).eqNullSafe(F.col("_was")))
+        moved = keep(moved.withColumn("_late", F.struct(*CHANGE_ORDER) < F.col("_place")))
+        if moved.isEmpty():
+            return latest
+        late = moved.filter("_late").select("_id")
+        gone = moved.filter("NOT _late").withColumns({order: F.col("_was"), "op": F.lit("d")})
+        stays = latest.join(late, F.col("id").eqNullSafe(F.col("_id")), "left_anti")
+        return stays.unionByName(gone.select("id", *dict.fromkeys([order, *CHANGE_ORDER, "op"])), allowMissingColumns=True)
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
         with kept() as keep:
@@ -75,28 +80,28 @@ class TouchedFact:
         spark = batch.sparkSession
         orders = []
         for table, order in self.tables.items():
-            changes = self._settled(table, cdc_image(cdc_route(batch, table), CDC_TABLES[table], position=True), batch_id, keep)
-            self.states[table].append(changes, batch_id)
+            changes = self._settled(table, cdc_image(cdc_route(batch, table), FACT_TABLES[table], position=True), batch_id, keep)
+            self.states[table].append(changes, batch_id, unique=True)
             orders.append(changes.select(F.col(order).alias("order_id")))
         touched = keep(reduce(DataFrame.union, orders).filter("order_id IS NOT NULL").distinct())
         near = self.fact.touched(touched)
 
         def of_orders(table: UpsertTable, order: str, before: int) -> DataFrame:
-            return joins.null_safe_semi(
-                table.read(spark, before, near), touched.select(F.col("order_id").alias(order)), [order])
+            return table.read(spark, before, near, touched.select(F.col("order_id").alias(order)))
 
         current = {
             table: of_orders(state, self.tables[table], batch_id + 1).drop(*CHANGE_ORDER) for table, state in self.states.items()}
-        rows = self.compute(current).withColumn("op", F.lit("u"))
+        rows = latest_per_key(self.compute(current), self.fact.keys, [self.key]).withColumn("op", F.lit("u"))
         if self.fact.written(spark, batch_id):
             rows = keep(rows)
-            known = of_orders(self.fact, "order_id", batch_id)
+            known = of_orders(self.fact, "order_id", batch_id).select(*self.fact.keys)
             gone = known.join(rows.select(*self.fact.keys), self.fact.keys, "left_anti").withColumn("op", F.lit("d"))
-            rows = rows.unionByName(gone)
-        self.fact.append(rows, batch_id)
+            rows = rows.unionByName(gone, allowMissingColumns=True)
+        self.fact.append(rows, batch_id, unique=True)
 
-    def stream(self, cdc: DataFrame, checkpoint: str) -> DataStreamWriter:
-        return batch_job(cdc, checkpoint, self.step)
+    def stream(self, cdc: DataFrame, checkpoint: str, first: int = 0) -> DataStreamWriter:
+        """``first`` is the number of the first micro-batch, for a log that goes on under a new checkpoint."""
+        return batch_job(cdc, checkpoint, lambda batch, batch_id: self.step(batch, first + batch_id))
 
 
 WIDE = {"order_detail": "order_id", "order_info": "id", "order_detail_activity": "order_id", "order_detail_coupon": "order_id"}
