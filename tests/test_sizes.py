@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
+import tidemart.checks.capture  # noqa: F401
 from tidemart.inputs import derive
 from tidemart.schemas import CDC_ENVELOPE
 from tidemart.session import stream_session
@@ -58,3 +59,17 @@ def test_fact_states_keep_what_the_fact_needs(spark, tmp_path):
     assert [(r.id, r.refund_num, r.province_id) for r in fact.fact.read(child).collect()] == [(7, 6, 3)]
     assert set(fact.states["order_info"].read(child).columns) == {
         "id", "user_id", "province_id", "order_status", "operate_time", "ts_ms", "pos"}
+
+
+def test_retained_state_stays_in_the_jvm(spark, tmp_path):
+    """A join's state, and that of sums without a time to live, needs no Python call per key."""
+    from tests.test_streaming import source
+    from tidemart.streaming import retention
+
+    child = stream_session(spark)
+    for side in ("left", "right"):
+        (tmp_path / side).mkdir()
+    left, right = source(child, tmp_path / "left", "id long, k long"), source(child, tmp_path / "right", "o long, name string")
+    frames = [retention.retained_join(left, right, ["k"], ["o"], ttl) for ttl in (None, 1000)]
+    frames.append(retention.retained_totals(left, ["k"], {"n": ("sum", F.col("id"))}))
+    assert not any("Pandas" in f._jdf.queryExecution().analyzed().toString() for f in frames)
