@@ -73,3 +73,14 @@ def test_retained_state_stays_in_the_jvm(spark, tmp_path):
     frames = [retention.retained_join(left, right, ["k"], ["o"], ttl) for ttl in (None, 1000)]
     frames.append(retention.retained_totals(left, ["k"], {"n": ("sum", F.col("id"))}))
     assert not any("Pandas" in f._jdf.queryExecution().analyzed().toString() for f in frames)
+
+
+def test_few_orders_are_picked_before_lines_are_widened(spark):
+    """J1 widens the lines of cancelled orders only, J5 those that were paid."""
+    from tidemart.checks.registry import QUERIES
+
+    child = spark.newSession()
+    child.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert plan(QUERIES["j1_order_cancel"](child, SMALL)).count("Exchange hashpartitioning(") <= 7
+    paid = plan(QUERIES["j5_payment_success"](child, SMALL))
+    assert paid.index("_act#") < paid.index("Generate explode")

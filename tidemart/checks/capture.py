@@ -138,7 +138,10 @@ CANCEL = query("""
 
 @check("j1_order_cancel", CANCEL)
 def j1_order_cancel(spark, sf):
-    return joins.order_cancel(_wide(spark, sf), _orders(spark, sf))
+    """Cancelled orders are picked first: only their lines are widened."""
+    lineitem = load(spark, sf, "lineitem")
+    return joins.cancelled_lines(
+        derive.order_detail(lineitem), _orders(spark, sf), derive.order_activity(lineitem), derive.order_coupon(lineitem))
 
 
 @check("dwd_order_cancel", CANCEL)
@@ -182,9 +185,12 @@ PAID = query(f"""
 
 @check("j5_payment_success", PAID)
 def j5_payment_success(spark, sf):
-    return joins.payment_success(
-        derive.payment_info(load(spark, sf, "orders")), _wide(spark, sf), derive.base_dic(spark)
-    )
+    """Lines meet their payments first: only paid ones are widened."""
+    lineitem = load(spark, sf, "lineitem")
+    lines = joins.paid_lines(derive.payment_info(load(spark, sf, "orders")), derive.order_detail(lineitem))
+    wide = joins.order_detail_wide(
+        lines, _orders(spark, sf), derive.order_activity(lineitem), derive.order_coupon(lineitem), keep=joins.PAID)
+    return joins.paid_columns(wide, derive.base_dic(spark))
 
 
 @check("dwd_payment_success", PAID)
