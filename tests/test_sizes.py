@@ -84,3 +84,22 @@ def test_few_orders_are_picked_before_lines_are_widened(spark):
     assert plan(QUERIES["j1_order_cancel"](child, SMALL)).count("Exchange hashpartitioning(") <= 7
     paid = plan(QUERIES["j5_payment_success"](child, SMALL))
     assert paid.index("_act#") < paid.index("Generate explode")
+
+
+def test_a_bloom_filter_takes_a_bit_a_bit():
+    import tracemalloc
+
+    import numpy as np
+
+    from tidemart.operators.dedup import GrowingBloom
+
+    keys = np.random.default_rng(1).integers(0, 1 << 62, (200_000, 2))
+    bloom = GrowingBloom(200_000, 0.01)
+    tracemalloc.start()
+    kept = bloom.keep(keys[:, 0], keys[:, 1])
+    again = GrowingBloom.unpacked(bloom.packed())
+    assert not again.keep(keys[:, 0], keys[:, 1]).any() and kept.sum() >= 0.99 * len(keys)
+    bits = sum(size for _, size, _ in bloom.layers)
+    assert sum(layer[0].nbytes for layer in bloom.layers) <= bits / 8 + len(bloom.layers)
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    tracemalloc.stop()

@@ -88,24 +88,29 @@ class GrowingBloom:
 
     It is a list of filters: when the last one holds the keys it was made for, a
     filter for twice as many at half the rate follows, so all errors together stay
-    below ``rate``.
+    below ``rate``. A bit takes a bit, eight to a byte as ``numpy.packbits`` puts them, and
+    rows are looked up a block at a time, so a task holds little more than the filter.
     """
 
+    BLOCK = 1 << 16
+
     def __init__(self, expected: int, rate: float) -> None:
         self.expected, self.rate = max(1, expected), rate
-        self.layers: list[tuple[np.ndarray, int]] = []  # bits, hashes
+        self.layers: list[tuple[np.ndarray, int, int]] = []  # packed bits, their number, hashes
         self.room = 0
 
     def _grow(self) -> None:
         n = len(self.layers)
         size, hashes = bloom_size(self.expected << n, self.rate / 2 ** (n + 1))
-        self.layers.append((np.zeros(size, dtype=bool), hashes))
+        self.layers.append((np.zeros(-(-size // 8), dtype=np.uint8), size, hashes))
         self.room = self.expected << n
 
     @staticmethod
-    def _places(a: np.ndarray, b: np.ndarray, bits: np.ndarray, hashes: int) -> np.ndarray:
+    def _places(a: np.ndarray, b: np.ndarray, size: int, hashes: int) -> tuple[np.ndarray, np.ndarray]:
+        """Byte and mask of each row's bits."""
         steps = np.arange(1, hashes + 1, dtype=np.uint64)
-        return ((a[:, None] + steps[None, :] * b[:, None]) % np.uint64(bits.size)).astype(np.int64)
+        at = ((a[:, None] + steps[None, :] * b[:, None]) % np.uint64(size)).astype(np.int64)
+        return at >> 3, np.uint8(128) >> (at & 7).astype(np.uint8)
 
     def keep(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         """Mark rows whose hash pair is not yet in the filter, and add them.
@@ -119,12 +124,14 @@ class GrowingBloom:
         while at < len(a):
             if not self.room:
                 self._grow()
-            end = min(len(a), at + self.room)  # no more rows than the last filter has room for
+            end = min(len(a), at + self.room, at + self.BLOCK)  # no more rows than the last filter has room for
             fresh = first[at:end].copy()
-            for bits, hashes in self.layers:
-                fresh &= ~bits[self._places(a[at:end], b[at:end], bits, hashes)].all(axis=1)
-            bits, hashes = self.layers[-1]
-            bits[self._places(a[at:end][fresh], b[at:end][fresh], bits, hashes).ravel()] = True
+            for bits, size, hashes in self.layers:
+                byte, mask = self._places(a[at:end], b[at:end], size, hashes)
+                fresh &= ~((bits[byte] & mask) != 0).all(axis=1)
+            bits, size, hashes = self.layers[-1]
+            byte, mask = self._places(a[at:end][fresh], b[at:end][fresh], size, hashes)
+            np.bitwise_or.at(bits, byte.ravel(), mask.ravel())
             self.room -= int(fresh.sum())
             new[at:end] = fresh
             at = end
@@ -132,15 +139,14 @@ class GrowingBloom:
 
     def packed(self) -> bytes:
         return pickle.dumps((self.expected, self.rate, self.room, [
-            (np.packbits(bits).tobytes(), bits.size, hashes) for bits, hashes in self.layers]))
+            (bits.tobytes(), size, hashes) for bits, size, hashes in self.layers]))
 
     @classmethod
     def unpacked(cls, raw: bytes) -> GrowingBloom:
         expected, rate, room, layers = pickle.loads(raw)
         out = cls(expected, rate)
         out.room = room
-        out.layers = [
-            (np.unpackbits(np.frombuffer(bits, np.uint8), count=size).astype(bool), hashes) for bits, size, hashes in layers]
+        out.layers = [(np.frombuffer(bits, np.uint8).copy(), size, hashes) for bits, size, hashes in layers]
         return out
 
 
