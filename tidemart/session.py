@@ -113,6 +113,9 @@ def stream_session(spark: SparkSession, ends: bool = False) -> SparkSession:
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
+    # Changes alone are checkpointed, and rows of the state are not looked up to be counted.
+    child.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    child.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
     if ends:
         child.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
         child.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max")
