@@ -103,3 +103,12 @@ def test_a_bloom_filter_takes_a_bit_a_bit():
     assert sum(layer[0].nbytes for layer in bloom.layers) <= bits / 8 + len(bloom.layers)
     assert tracemalloc.get_traced_memory()[1] < 60 << 20
     tracemalloc.stop()
+
+
+def test_split_outputs_read_repaired_records(spark):
+    """P14's outputs share one pass over the raw records."""
+    import tidemart.checks.applog  # noqa: F401
+    from tidemart.checks.registry import QUERIES
+
+    split = plan(QUERIES["p14_split_log"](spark, SMALL))
+    assert "events.parquet" not in split and "split-log" in split

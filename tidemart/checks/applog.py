@@ -14,6 +14,7 @@ from tidemart.operators.aggregates import page_uv
 from tidemart.operators.dedup import fix_is_new
 from tidemart.operators.routing import log_keys, parse_json, split_log
 from tidemart.plans.applog import log_split, repaired
+from tidemart.session import shared_dir
 from tidemart.sources.tables import load
 
 
@@ -66,7 +67,10 @@ def one_pass_split(spark, sf):
 
 @check("p14_split_log", SPLIT)
 def p14_split_log(spark, sf):
-    records = repaired(_log(spark, sf), "log_id")
+    """Each output reads the records anew, so they are parsed and repaired once and written."""
+    folder = shared_dir(spark, "split-log")
+    repaired(_log(spark, sf), "log_id").write.parquet(folder)
+    records = spark.read.parquet(folder)
     outputs = split_log(records.filter("fields IS NOT NULL"), ("log_id",))
     outputs["dirty"] = records.filter("fields IS NULL").select("log_id", "value")
     frames = [df.select(F.lit(name).alias("output"), "log_id", "value") for name, df in outputs.items()]
