@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tests.llm.helpers import ODD_TEXTS, SF_DIR, documents, spaced_words
@@ -72,3 +73,25 @@ def test_joined_word_pairs_score_below_fluent_text(spark):
 
 def test_empty_table(spark):
     assert backoff.scores(documents(spark, [])).count() == 0
+
+
+def test_packed_keys_are_near_their_entropy():
+    """Of 64 bits, n sorted even keys need about 64 - log2(n) + 1.45 each; counts of one next to nothing."""
+    random = np.random.default_rng(1)
+    for n in (1, 2, 300, 20_000):
+        keys = np.unique(random.integers(0, 1 << 64, n, dtype=np.uint64))
+        assert np.array_equal(backoff._unpacked(backoff._packed(keys)), keys)
+        counts = np.where(np.arange(n) % 7, 2, random.integers(0, 1 << 40, n))
+        assert np.array_equal(backoff._values(backoff._planes(counts)), counts)
+    entropy = (64 - np.log2(n) + 1.45) / 8 * n
+    assert len(backoff._packed(keys)) < 1.02 * entropy + 100
+    assert len(backoff._planes(np.full(n, 2))) < 100
+
+
+def test_texts_travel_compressed(spark):
+    """A chunk's rows are one block, much smaller than its texts."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    blocks = backoff._blocks(backoff._chunked(docs)).collect()
+    size = sum(len(r.text.encode()) for r in docs.select("text").collect() if r.text)
+    assert len({r.chunk for r in blocks}) == len(blocks)
+    assert sum(len(r.block) for r in blocks) < 0.6 * size

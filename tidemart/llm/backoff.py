@@ -12,6 +12,9 @@ A word of no other document counts ``UNSEEN`` times.
 3. Each bucket answers the chunks that asked, with the counts of what they asked in the same
    order; chunks and answers are joined and scores summed per document.
 
+What is shuffled is compressed first: the lower bytes of the keys' differences are even noise and
+go as they are, all other byte planes and the texts of a chunk as entropy-coded blocks.
+
 Nothing is sampled or cut off; a bucket holds about ``BUCKET_BYTES`` of text's n-grams and a
 chunk ``CHUNK_ROWS`` documents, however large the corpus. N-grams are 64-bit hashes.
 
@@ -39,6 +42,7 @@ ALPHA, UNSEEN = 0.4, 0.5
 CHUNK_ROWS = 2000
 BUCKET_BYTES = 4 << 20
 _KEPT_WORDS = 300_000
+_CODEC = "zstd"
 
 
 class WordHashes(dict):
@@ -112,10 +116,7 @@ def _asked(docs: DataFrame, order: int, buckets: int) -> DataFrame:
         hashes = WordHashes()
         for batch in batches:
             chunks, rows, texts = batch.column(1).to_numpy(), batch.column(2).to_numpy(), raw_texts(batch)
-            borders = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)]
-            for a, b in zip(borders, borders[1:]):
-                if a == b:
-                    continue
+            for a, b in _runs(chunks):
                 grams = Grams(texts[a:b], order, hashes)
                 keys, coded = [], []
                 for k in range(order):
@@ -141,24 +142,58 @@ def _asked(docs: DataFrame, order: int, buckets: int) -> DataFrame:
         run, "bucket long, chunk long, first long, last long, keys binary, codes binary")
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Integers with their byte planes apart, so that the empty upper bytes compress."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+def _planes(values: np.ndarray, noise: int = 0) -> bytes:
+    """Integers with their byte planes apart, compressed but for the lowest ``noise`` planes."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    head = np.array([len(values), noise], "<u4").tobytes()
+    return head + planes[:noise].tobytes() + pa.compress(planes[noise:].tobytes(), _CODEC, asbytes=True)
 
 
 def _values(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    n, noise = np.frombuffer(raw, "<u4", 2).tolist()
+    cut = 8 + n * noise
+    upper = pa.decompress(raw[cut:], n * (8 - noise), _CODEC, asbytes=True)
+    planes = np.frombuffer(raw[8:cut] + upper, np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
 
 
 def _packed(keys: np.ndarray) -> bytes:
     """Sorted keys as differences."""
-    return _planes(np.diff(keys, prepend=np.uint64(0)))
+    usual = int(keys[-1] - keys[0]) // len(keys)
+    return _planes(np.diff(keys, prepend=np.uint64(0)), usual.bit_length() // 8)
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
     return np.cumsum(_values(raw), dtype=np.uint64)
 
 
+def _runs(chunks: np.ndarray) -> list[tuple[int, int]]:
+    """(begin, end) of the rows of each chunk in a batch."""
+    borders = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)]
+    return [(a, b) for a, b in zip(borders, borders[1:]) if b > a]
+
+
+def _blocks(chunked: DataFrame) -> DataFrame:
+    """The rows of a chunk that came in one batch as one compressed block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression=_CODEC)
+        for batch in batches:
+            chunks, blocks = batch.column(0).to_numpy(), []
+            rows = pa.RecordBatch.from_arrays(batch.columns[1:], names=["doc_id", "text", "row"])
+            runs = _runs(chunks)
+            for a, b in runs:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+                    out.write_batch(rows.slice(a, b - a))
+                blocks.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(chunks[a]) for a, _ in runs], pa.int64()), pa.array(blocks, pa.binary())], names=["chunk", "block"])
+
+    rows = chunked.select("chunk", F.col("doc_id").cast("long").alias("doc_id"), "text", "row")
+    return rows.mapInArrow(run, "chunk long, block binary")
+
+
 def _answers(group: pa.Table) -> pa.Table:
     """The counts of a bucket's n-grams for each part that asked, in the part's own order of them.
 
@@ -227,7 +262,8 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
         _answers, "bucket long, chunk long, first long, last long, totals binary")
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = left.sort_by("row")
+        blocks = [pa.ipc.open_stream(raw).read_all() for raw in left["block"].to_pylist()]
+        left = pa.concat_tables(blocks).sort_by("row")
         rows, texts = left["row"].to_numpy(), left["text"].cast(pa.binary()).to_pylist()
         parts: dict[tuple[int, int], list[tuple[int, bytes]]] = {}
         for bucket, first, last, raw in zip(*(right[c].to_pylist() for c in ("bucket", "first", "last", "totals")), strict=True):
@@ -240,8 +276,7 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
         return pa.table({
             "doc_id": left["doc_id"], "n_words": pa.array(n_words), "log10_score": pa.array(logs), "n_backoff": pa.array(backed)})
 
-    rows = chunked.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "chunk", "row")
-    out = rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+    out = _blocks(chunked).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         joined, "doc_id long, n_words long, log10_score double, n_backoff long")
     return out.select(
         "doc_id", "n_words", "log10_score",
