@@ -336,25 +336,18 @@ def _fact_stream(spark: SparkSession, sf: str, name: str, build, *tables: str) -
 FEW_BUCKETS = 4
 
 
-def _payment_files(parts: list[DataFrame], folder: str) -> None:
-    """Each part of a feed as files of its own, two to a micro-batch, in order of arrival."""
-    for part in parts:
-        part.repartition(2).write.mode("append").parquet(folder)
-
-
-def _payment_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.readStream.schema(FEED).option("maxFilesPerTrigger", 2).parquet(f"{folder}/feed")
-
-
-def _repeating(job: PaymentJob, folder: str, child: SparkSession) -> None:
-    """Run a job over its feed; its second batch is run twice, as after a failure."""
+def _repeating(job: PaymentJob, parts: list[DataFrame], folder: str, child: SparkSession) -> None:
+    """Run a job over a feed whose parts arrive one by one, each a micro-batch; the second is run twice, as after a failure."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
         job.step(batch, batch_id)
         if batch_id == 1:
             job.step(batch, batch_id)
 
-    jobs.finish(jobs.batch_job(_payment_stream(child, folder), f"{folder}/checkpoint", step))
+    for part in parts:
+        part.write.mode("append").parquet(f"{folder}/feed")
+        feed = child.readStream.schema(FEED).parquet(f"{folder}/feed")
+        jobs.finish(jobs.batch_job(feed, f"{folder}/checkpoint", step))
 
 
 @check("dwd_trade_payment_fact_stream", SQL["dwd_trade_payment_fact"])
@@ -362,9 +355,8 @@ def dwd_trade_payment_fact_stream(spark, sf):
     """J2 on a stream: orders come after their payments and correct them."""
     child = stream_session(spark)
     folder = shared_dir(spark, "payment-fact")
-    _payment_files(derive.payment_feed(load(child, sf, "events")), f"{folder}/feed")
     job = PaymentJob(f"{folder}/tables", sums=False, buckets=FEW_BUCKETS)
-    _repeating(job, folder, child)
+    _repeating(job, derive.payment_feed(load(child, sf, "events")), folder, child)
     return job.fact.read(child)
 
 
@@ -373,9 +365,8 @@ def a1_stream_payment_agg(spark, sf):
     """Sums per user and day with retractions."""
     child = stream_session(spark)
     folder = shared_dir(spark, "payment-agg")
-    _payment_files(derive.payment_feed(load(child, sf, "events")), f"{folder}/feed")
     job = PaymentJob(f"{folder}/tables", buckets=FEW_BUCKETS)
-    _repeating(job, folder, child)
+    _repeating(job, derive.payment_feed(load(child, sf, "events")), folder, child)
     return job.sums.read(child)
 
 
@@ -397,9 +388,8 @@ def a4_stream_dashboard(spark, sf):
     days = [(DASHBOARD_DAY, events.filter(F.col("ts") < NEXT_DAY)), (NEXT_DAY, events.filter(F.col("ts") >= NEXT_DAY))]
     rows = []
     for day, part in days:
-        _payment_files(derive.payment_feed(part), f"{folder}/feed")
         job = PaymentJob(f"{folder}/tables", sums=False, today=lambda batch, batch_id, day=day: day, buckets=FEW_BUCKETS)
-        _repeating(job, folder, child)
+        _repeating(job, derive.payment_feed(part), folder, child)
         job.dashboard.read(child, day).select(F.lit(day).alias("day"), "*").write.parquet(f"{folder}/out/{day}")
         rows.append(child.read.parquet(f"{folder}/out/{day}"))
     return rows[0].unionByName(rows[1])

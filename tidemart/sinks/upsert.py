@@ -107,6 +107,8 @@ class UpsertTable:
             rows = spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
         if of is not None:
             rows = rows.join(of, self.bucket_by, "left_semi")
+        if len(folders) == 1:  # a folder has one row per key
+            return rows
         return latest_per_key(rows, self.keys, [*self.order_by, BATCH])
 
     def read(

@@ -95,11 +95,11 @@ class PaymentFact:
         self.placed = UpsertTable(f"{root}/placed", ["pay_id"], [POSITION], op="_none", buckets=buckets)
         self.fact = UpsertTable(f"{root}/fact", ["pay_id", "order_id"], **by_order)
 
-    def _settled(self, changes: DataFrame, batch_id: int) -> DataFrame:
+    def _settled(self, changes: DataFrame, batch_id: int, keep: Keep) -> DataFrame:
         """The latest change of each payment, with deletes where it moved away."""
-        latest = latest_per_key(changes, ["pay_id"], [POSITION])
-        known = _before(self.placed, changes.sparkSession, batch_id, self.placed.touched(changes))
-        self.placed.append(latest.select("pay_id", "order_id", POSITION), batch_id)
+        latest = keep(latest_per_key(changes, ["pay_id"], [POSITION]))
+        known = _before(self.placed, changes.sparkSession, batch_id, self.placed.touched(latest))
+        self.placed.append(latest.select("pay_id", "order_id", POSITION), batch_id, unique=True)
         if known is None:
             return latest
         old = known.select(F.col("pay_id").alias("_pay"), F.col("order_id").alias("_order"), F.col(POSITION).alias("_pos"))
@@ -112,11 +112,11 @@ class PaymentFact:
     def step(self, batch: DataFrame, batch_id: int, keep: Keep) -> DataFrame:
         """Take in a batch; the signed rows of the fact that it changed."""
         spark = batch.sparkSession
-        changes = keep(self._settled(_rows(batch, "payment"), batch_id))
+        changes = keep(self._settled(_rows(batch, "payment"), batch_id, keep))
         goods = _rows(batch, "order")
         orders = keep(changes.select("order_id").union(goods.select("order_id")).distinct())
         near = self.fact.touched(orders)
-        self.payments.append(changes, batch_id)
+        self.payments.append(changes, batch_id, unique=True)
         self.orders.append(goods, batch_id)
 
         def of_orders(table: UpsertTable, before: int) -> DataFrame | None:
@@ -128,7 +128,7 @@ class PaymentFact:
         deltas = keep(signed(of_orders(self.fact, batch_id), rows, self.fact.keys))
         # A payment that stays is written as it is now, one that goes as deleted.
         last = latest_per_key(deltas, self.fact.keys, [SIGN])
-        self.fact.append(last.withColumn("op", F.when(F.col(SIGN) > 0, "u").otherwise("d")).drop(SIGN), batch_id)
+        self.fact.append(last.withColumn("op", F.when(F.col(SIGN) > 0, "u").otherwise("d")).drop(SIGN), batch_id, unique=True)
         return deltas
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -152,7 +152,7 @@ class CountedSet:
         counted = rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("was").alias("was"), F.bool_or("met").alias("met"))
         changed = keep(counted.filter("met AND n <> was"))
         marked = changed.select(*keys, "n", F.when(F.col("n") > 0, "u").otherwise("d").alias("op"))
-        self.table.append(marked, batch_id)
+        self.table.append(marked, batch_id, unique=True)
         entered = (F.col("n") > 0).cast("int") - (F.col("was") > 0).cast("int")
         return changed.select(*keys, entered.alias("change")).filter("change <> 0")
 
@@ -215,7 +215,7 @@ class PaymentSums:
             again = again.unionByName(found, allowMissingColumns=True).groupBy(*group).agg(
                 *[F.max(c).alias(c) for c in ("n", "amounts", "amount", "shops", "first", "last")])
             plain = plain.unionByName(again)
-        self.sums.append(plain.withColumn("op", F.when(F.col("n") > 0, "u").otherwise("d")), batch_id)
+        self.sums.append(plain.withColumn("op", F.when(F.col("n") > 0, "u").otherwise("d")), batch_id, unique=True)
 
     def read(self, spark: SparkSession) -> DataFrame:
         rows = self.sums.read(spark)
@@ -256,7 +256,7 @@ class Dashboard:
         if totals.written(spark, batch_id):
             parts = parts.unionByName(totals.read(spark, batch_id))
         totals.append(parts.groupBy("shard").agg(
-            *[F.sum(c).alias(c) for c in ("orders", "amounts", "customers")], F.sum("amount").cast(MONEY).alias("amount")), batch_id)
+            *[F.sum(c).alias(c) for c in ("orders", "amounts", "customers")], F.sum("amount").cast(MONEY).alias("amount")), batch_id, unique=True)
 
     def read(self, spark: SparkSession, day: str) -> DataFrame:
         """Metrics of a day as key and text value; without payments there is no amount row."""
