@@ -217,3 +217,20 @@ def test_moved_rows_and_opened_buckets_of_a_fact(spark, tmp_path):
     near = fact.fact.touched(spark.createDataFrame([(1,), (2,)], "order_id long"))
     opened = fact.states["order_info"].read(spark, near=near).inputFiles()
     assert 1 <= len({f.rsplit("_bucket=", 1)[1].split("/")[0] for f in opened}) <= 2
+
+
+def test_topic_files_and_tasks_stay_small(spark, tmp_path, monkeypatch):
+    """A compressed file is read by one task, so no file of a topic grows with what is written; a stream's shuffles and reads are not fewer than a batch's."""
+    from tidemart.session import INITIAL, configure, shuffle_partitions
+    from tidemart.sinks import topics
+
+    monkeypatch.setattr(topics, "FILE_RECORDS", 10)
+    records = spark.range(95).select(F.col("id").cast("string").alias("value")).coalesce(1)
+    topics.write_batch_json(records, TopicSpec("t", folder=f"{tmp_path}/plain"))
+    topics.write_batch_json(records, TopicSpec("t", folder=f"{tmp_path}/parts"), F.col("value").cast("int") % 2)
+    assert len(list((tmp_path / "plain").glob("*.gz"))) == 10
+    assert len(list((tmp_path / "parts" / "part=0").glob("*.gz"))) == 5
+    child = configure(stream_session(spark))
+    assert child.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+    assert int(child.conf.get(INITIAL)) == shuffle_partitions(spark, 0)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "64m"

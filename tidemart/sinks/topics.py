@@ -10,6 +10,10 @@ from tidemart.functions.jsonio import row_json
 from tidemart.sources.topics import TopicSpec
 
 
+#: Records of one file of a topic folder: a compressed file is read by one task, whatever its size.
+FILE_RECORDS = 100_000
+
+
 def as_records(df: DataFrame) -> DataFrame:
     """One JSON ``value`` per row; a frame that is only ``value`` text passes as it is."""
     if df.dtypes == [("value", "string")]:
@@ -31,15 +35,15 @@ def _kafka_options(spec: TopicSpec) -> dict[str, str]:
 def write_batch_json(df: DataFrame, spec: TopicSpec, part: Column | None = None) -> None:
     """Append a batch to a topic.
 
-    Files of a folder are compressed. ``part`` spreads the records over folders ``part=`` of the topic, each
+    Files of a folder are compressed and hold ``FILE_RECORDS`` records at most. ``part`` spreads the records over folders ``part=`` of the topic, each
     to be read as a topic of its own, without a shuffle.
     """
     records = as_records(df)
     if spec.folder and part is not None:
         named = df.select(row_json(df.columns).alias("value"), part.alias("part"))
-        named.write.mode("append").partitionBy("part").text(spec.folder, compression="gzip")
+        named.write.mode("append").option("maxRecordsPerFile", FILE_RECORDS).partitionBy("part").text(spec.folder, compression="gzip")
     elif spec.folder:
-        records.write.mode("append").text(spec.folder, compression="gzip")
+        records.write.mode("append").option("maxRecordsPerFile", FILE_RECORDS).text(spec.folder, compression="gzip")
     else:
         records.write.format("kafka").options(**_kafka_options(spec)).save()
 
