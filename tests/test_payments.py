@@ -124,3 +124,13 @@ def test_frames_are_let_go(spark):
         df = keep(spark.range(3))
         assert df.is_cached
     assert not df.is_cached
+
+
+def test_one_folder_is_read_without_a_merge(spark, tmp_path):
+    table = UpsertTable(f"{tmp_path}/t", ["k"], buckets=2)
+    rows = spark.range(10).select(F.col("id").alias("k"), F.lit("u").alias("op"), F.lit(1).alias("v"))
+    table.append(rows, 0)
+    assert "Window" not in table.read(spark)._jdf.queryExecution().optimizedPlan().toString()
+    table.append(rows.withColumn("v", F.lit(2)), 1)
+    assert "Window" in table.read(spark)._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.v for r in table.read(spark).collect()} == {2}
