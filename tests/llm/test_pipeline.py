@@ -1,6 +1,7 @@
 """The pipeline's stages, each held against a brute-force version on its own input."""
 
 import re
+from pathlib import Path
 
 import corpus_pipeline
 from tests.llm.helpers import SF_DIR, documents
@@ -9,6 +10,7 @@ from tests.llm.test_quality import plain_counts
 from tests.llm.test_secrets import plain_spans
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 from tidemart.llm import packing
+from tidemart.llm.common import released
 
 
 def test_stages_over_documents(spark, tmp_path):
@@ -56,3 +58,22 @@ def test_stages_on_odd_and_empty_tables(spark):
     for docs in (odd, odd.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, docs, SF_DIR).collect()
+
+
+def test_a_task_gives_its_memory_back():
+    """What a task freed below a block still in use goes back to the system when the task ends."""
+    pins = []
+
+    def resident():
+        return int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1]) >> 10
+
+    def run():
+        held = [bytearray(60_000) for _ in range(4000)]
+        pins.append(bytearray(60_000))
+        yield len(held)
+
+    rows = released(run())
+    assert next(rows) == 4000
+    during = resident()
+    assert list(rows) == [] and pins
+    assert resident() < during - 150

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -45,6 +47,18 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.drop(*names)
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches a task makes; at its end the memory it is done with goes back to the system, as Python workers live on."""
+    try:
+        yield from batches
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def append_columns(
     df: DataFrame,
     fields: list[T.StructField],
@@ -65,7 +79,7 @@ def append_columns(
             added = compute(batch)
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, *names])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lambda batches: released(run(batches)), schema)
 
 
 def raw_texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
