@@ -147,6 +147,57 @@ def test_chains_reach_every_shard(spark):
     assert most / total > 0.8
 
 
+@pytest.mark.parametrize("every", [2, 50, 1000])
+def test_packing_odd_rows_by_queries(spark, library, monkeypatch, every):
+    """No query, or several jobs of queries, or tokens beside the dense ones: every id stands in one place."""
+    monkeypatch.setattr(packing, "QUERIES", 4)
+    monkeypatch.setattr(packing, "DENSE", 20)
+    docs = documents(spark, TEXTS if every < 1000 else [t for t in TEXTS if t[0]], extra="start")
+    texts = TEXTS if every < 1000 else [t for t in TEXTS if t[0]]
+    rows = packing.pack(docs, window=512, shard_tokens=3000, every=every).collect()
+    sequences = pieces_hold(rows, texts, library, 512)
+    assert len(sequences) == -(-sum(r.length for r in rows) // 512)
+
+
+def test_queries_are_offered_the_best_of_all_shards(spark, monkeypatch):
+    """Held against brute force: what queries are offered, who gets a rest that several are offered, and where the others go."""
+    monkeypatch.setattr(packing, "DENSE", 300)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").repartition(3)
+    path = tokens.vocabulary_path()
+    size, window, reach = tokens.encoder(path).size, packing.WINDOW, 8000
+    shards = packing.written(packing.shards_in_place(docs, path, window, 20_000), "shards")
+    parts = list(packing._inflated((pa.RecordBatch.from_pylist([r.asDict()]) for r in shards.collect()), "<u2"))
+    assert len(parts) > 6
+    counts, n_docs, n_tokens = packing.frequencies(
+        shards, size, lambda batch: (t for p in packing._inflated([batch], "<u2") for t in p.texts))
+    idf, mean = np.maximum(np.log((n_docs - counts + 0.5) / (counts + 0.5)), 0), n_tokens / n_docs
+    rests = {(p.number << 32) + k: (t, int(p.length[k]), p.doc_id[k]) for p in parts for k, t in enumerate(p.texts) if p.length[k]}
+    key, length = np.array(list(rests)), np.array([n for _, n, _ in rests.values()])
+    asking = np.sort([k for k, (_, _, d) in rests.items() if d % 10 == 0])
+    texts = [np.unique(rests[k][0]) for k in asking.tolist()]
+    whole = packing.InvertedIndex([t for t, _, _ in rests.values()], np.array([len(t) for t, _, _ in rests.values()]), idf, mean)
+    scores = np.array([np.where(key == q, np.inf, whole.scores(t)) for q, t in zip(asking, texts)])
+    offers = packing.asked(shards, asking, texts, idf, mean, "<u2", reach).cache()
+    found: dict[int, set] = {}
+    for r in offers.filter("offered").collect():
+        found.setdefault(r.query, set()).add(r.key)
+    hit = total = 0
+    best: dict[int, tuple] = {}
+    for q, score in zip(asking.tolist(), scores):
+        order = np.lexsort((key, -score))
+        order = order[:np.searchsorted(np.cumsum(length[order]), reach) + 1]
+        hit, total = hit + len(set(key[order].tolist()) & found[q]), total + len(order)
+        for k in order.tolist():
+            best[int(key[k])] = max(best.get(int(key[k]), (-1, 0)), (score[k], -q))
+    assert hit / total > 0.999
+    rows = packing.chosen(offers, reach).collect()
+    assert sorted(r.key for r in rows) == sorted(rests)
+    place = {int(k): at for at, k in enumerate(key)}
+    right = sum(r.query == -best[r.key][1] if r.key in best else np.isclose(
+        scores[:, place[r.key]].max(), scores[np.searchsorted(asking, r.query), place[r.key]], rtol=1e-4) for r in rows)
+    assert right / len(rows) > 0.99 and 0 < len(best) < len(rests)
+
+
 def test_rests_stand_for_whole_documents(spark):
     """A long text is indexed and asks with all its ids, not those of its rest alone."""
     path = tokens.vocabulary_path()

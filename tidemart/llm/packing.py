@@ -14,27 +14,34 @@ together at the end, so only one window needs padding. Scores are exact, every u
 is a candidate, and so the work grows with seeds times documents. The driver holds a length, a mark and the
 places in windows of every rest.
 
+With ``every`` only documents whose id it divides ask, and each asks once (``asked``), in one pass over
+shards of documents as they come: a query is offered its best rests of all shards up to ``REACH`` times its share of
+all ids, a rest offered to several queries goes to the highest score, and one offered to none goes to the query
+it scores highest with. A query's windows hold its own rest, then the others by falling score. No rest
+stays behind, the driver holds the queries alone, and the work is a pass of all documents for each query.
+
 The inverse document frequency is ln((N - n + 0.5) / (n + 0.5)), zero for tokens in half
 of the documents or more; those have no postings. A rest is indexed, and asks, with the
 counts of its whole document.
 
 Defined cases: a null or empty text is the end id alone; repeated documents are packed as
-often as they occur; null ids stay null; ties of score go by shard, id, start and checksum; an
-empty table gives no rows; other columns of the input do not matter.
+often as they occur; null ids stay null; ties of score go by shard, id, start and checksum (with ``every`` by
+shard and place); an empty table gives no rows; other columns of the input do not matter. Without a document that
+may ask, rests stand as they come; a null id does not ask.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import written
+from tidemart.llm.common import released, written
 from tidemart.llm import tokens
 from tidemart.llm.tokens import encoder, vocabulary_path
 
@@ -43,6 +50,12 @@ SHARD_TOKENS = 1 << 20
 #: Windows a chain fills, about; chains at once; seeds in one row of offers.
 CHAIN_WINDOWS, MOST_CHAINS, BLOCK = 8, 20_000, 256
 K1, B = 1.2, 0.75
+#: Documents whose id it divides are the queries of op4 and of the pipeline.
+QUERY_EVERY = 50
+#: With ``every``: documents of a shard, its tokens that get a dense row, queries of one job, what a query is offered.
+SHARD_DOCS, DENSE, QUERIES, REACH = 4096, 2048, 1 << 14, 2
+SHARDS = "shard long, doc_id array<long>, start binary, length binary, doc_tokens binary, sizes binary, ids binary"
+OFFERS = "query long, key long, length int, score float, offered boolean"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _PIECES = [c.split()[0] for c in PIECES.split(", ")]
 
@@ -60,16 +73,16 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
 
 
-def frequencies(ids: DataFrame, size: int) -> tuple[np.ndarray, int, int]:
-    """Documents per token id, documents, tokens; each task gives its own sums."""
+def frequencies(ids: DataFrame, size: int, texts: Callable[[pa.RecordBatch], Iterable[np.ndarray]] | None = None) -> tuple[np.ndarray, int, int]:
+    """Documents per token id, documents, tokens; each task gives its own sums. ``texts`` reads batches other than of one document a row."""
     kind = "<u2" if size <= 1 << 16 else "<u4"
+    read = texts or (lambda batch: (np.frombuffer(coded, kind) for coded in batch.column(0).to_pylist()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, docs, tokens = np.zeros(size, np.int64), 0, 0
         last = np.zeros(size, np.int64)
         for batch in batches:
-            for coded in batch.column(0).to_pylist():
-                found = np.frombuffer(coded, kind)
+            for found in read(batch):
                 docs, tokens = docs + 1, tokens + len(found)
                 place = np.arange(len(found))
                 last[found] = place
@@ -78,7 +91,7 @@ def frequencies(ids: DataFrame, size: int) -> tuple[np.ndarray, int, int]:
         keys, values = np.concatenate([some, [-1, -2]]), np.concatenate([counts[some], [docs, tokens]])
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(values, pa.int64())], names=["key", "n"])
 
-    rows = ids.select("ids").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect()
+    rows = (ids if texts else ids.select("ids")).mapInArrow(lambda batches: released(run(batches)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(size, np.int64)
     totals = {-1: 0, -2: 0}
     for row in rows:
@@ -149,8 +162,7 @@ def dealt(ids: DataFrame, shards: int, size: int, window: int) -> DataFrame:
 
     rests = ids.mapInArrow(
         run, "shard long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
-    return rests.groupBy("shard").applyInArrow(
-        gathered, "shard long, doc_id array<long>, start binary, length binary, doc_tokens binary, sizes binary, ids binary")
+    return rests.groupBy("shard").applyInArrow(gathered, SHARDS)
 
 
 class Shard:
@@ -373,9 +385,247 @@ def chained(shards: DataFrame, lengths: dict[int, np.ndarray], idf: np.ndarray,
     return np.concatenate(out)
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """Pieces of documents with their places in sequences."""
+def shards_in_place(docs: DataFrame, vocabulary: str, window: int, shard_tokens: int) -> DataFrame:
+    """Shards of documents as they come, without a shuffle; documents without a rest are in them, too. The ids are compressed."""
+
+    def shard(number: int, held: list[tuple[int | None, np.ndarray]]) -> pa.RecordBatch:
+        sizes = np.array([len(c) for _, c in held], "<i8")
+        ids = b"".join(c.tobytes() for _, c in held)
+        return pa.RecordBatch.from_arrays([
+            pa.array([number], pa.int64()), pa.array([[d for d, _ in held]], pa.list_(pa.int64())),
+            *(pa.array([n.tobytes()], pa.binary()) for n in (sizes // window * window, sizes % window, sizes, sizes)),
+            pa.array([pa.Codec("zstd").compress(ids, asbytes=True)], pa.binary())], names=[c.split()[0] for c in SHARDS.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = "<u2" if encoder(vocabulary).size <= 1 << 16 else "<u4"
+        number, held, n = TaskContext.get().partitionId() << 16, [], 0
+        for batch, coded in tokens.encoded(batches, vocabulary):
+            for doc, ids in zip(batch.column(0).to_pylist(), coded, strict=True):
+                if held and (n + len(ids) > shard_tokens or len(held) == SHARD_DOCS):
+                    yield shard(number, held)
+                    number, held, n = number + 1, [], 0
+                held.append((doc, np.append(ids, END_ID).astype(kind)))
+                n += len(ids) + 1
+        if held:
+            yield shard(number, held)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda batches: released(run(batches)), SHARDS)
+
+
+def _inflated(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[Shard]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            whole = int(np.frombuffer(row["sizes"], "<i8").sum()) * np.dtype(kind).itemsize
+            yield Shard(row | {"ids": pa.Codec("zstd").decompress(row["ids"], whole, asbytes=True)}, kind)
+
+
+class DenseIndex:
+    """Scores of many queries at once: a product of matrices for the shard's frequent tokens, postings for the others."""
+
+    def __init__(self, index: InvertedIndex):
+        self.index = index
+        frequent = np.argsort(-index.count, kind="stable")[:DENSE]
+        self.row = np.full(len(index.tokens), -1)
+        self.row[frequent] = np.arange(len(frequent))
+        row = np.repeat(self.row, index.count)
+        self.table = np.zeros((len(frequent), index.size), np.float32)
+        self.table[row[row >= 0], index.doc[row >= 0]] = index.weight[row >= 0]
+
+    def scores(self, query: np.ndarray, token: np.ndarray, n: int) -> np.ndarray:
+        """The score of every text for ``n`` queries, given as pairs of a query's number and one of its distinct tokens."""
+        index, size = self.index, self.index.size
+        place = np.searchsorted(index.tokens, token)
+        known = np.flatnonzero(place < len(index.tokens))
+        known = known[index.tokens[place[known]] == token[known]]
+        query, place = query[known], place[known]
+        row = self.row[place]
+        wanted = np.zeros((n, len(self.table)), np.float32)
+        wanted[query[row >= 0], row[row >= 0]] = 1
+        out = wanted @ self.table
+        query, place = query[row < 0], place[row < 0]
+        if len(place):
+            at, count = index.at[place], index.count[place]
+            cell = np.repeat(query * size, count) + tokens.slices(index.doc, at, count)
+            out += np.bincount(cell, weights=tokens.slices(index.weight, at, count), minlength=n * size).reshape(n, size)
+        return out
+
+
+class Best:
+    """Of some queries what they are offered: the best of all rests added, until they hold ``reach`` ids."""
+
+    def __init__(self, queries: int, reach: int):
+        self.reach, self.least = reach, np.full(queries, -np.inf, np.float32)
+        self.kept = [np.empty(0, t) for t in (np.int64, np.int64, np.int32, np.float32)]  # query, key, length, score
+        self.new: list[list[np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, scores: np.ndarray, keys: np.ndarray, length: np.ndarray) -> None:
+        """The scores of each query with some rests."""
+        if np.isneginf(self.least).all():
+            order = np.argsort(-scores, axis=1, kind="stable")
+            n = length[order].astype(np.int64)
+            query, rank = np.nonzero(n.cumsum(axis=1) - n < self.reach)
+            rest = order[query, rank]
+        else:
+            query, rest = np.nonzero(scores >= self.least[:, None])
+        self.new.append([query, keys[rest], length[rest], scores[query, rest]])
+        self.waiting += len(query)
+        if 2 * self.waiting > len(self.kept[0]):
+            self.merge()
+
+    def merge(self) -> None:
+        query, key, length, score = (np.concatenate(c) for c in zip(self.kept, *self.new, strict=True))
+        order = np.lexsort((key, -score, query))
+        query, key, length, score = query[order], key[order], length[order], score[order]
+        before = np.cumsum(length, dtype=np.int64) - length
+        first = np.searchsorted(query, query)
+        before -= before[first]
+        keep = before < self.reach
+        full = keep & (before + length >= self.reach)
+        self.least[query[full]] = score[full]
+        self.kept, self.new, self.waiting = [query[keep], key[keep], length[keep], score[keep]], [], 0
+
+
+def asked(shards: DataFrame, keys: np.ndarray, texts: list[np.ndarray], idf: np.ndarray, mean: float, kind: str, reach: int) -> DataFrame:
+    """``OFFERS``: what each query is offered by the shards of a task, and for each rest the query it scores highest with (not offered).
+
+    A query is offered its own rest before all others. Scores are of single precision.
+    """
+    spark = shards.sparkSession
+    shared = spark.sparkContext.broadcast((keys, texts, idf, mean))
+    names = [c.split()[0] for c in OFFERS.split(", ")]
+
+    def rows(query: np.ndarray, key: np.ndarray, length: np.ndarray, score: np.ndarray, offered: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            pa.array(query, pa.int64()), pa.array(key, pa.int64()), pa.array(length.astype(np.int32)), pa.array(score.astype(np.float32)),
+            pa.array(np.full(len(key), offered))], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asking, texts, idf, mean = shared.value
+        blocks = []
+        for at in range(0, len(asking), BLOCK):
+            some = texts[at:at + BLOCK]
+            blocks.append((np.repeat(np.arange(len(some)), [len(t) for t in some]), np.concatenate(some).astype(np.int64), Best(len(some), reach)))
+        for part in _inflated(batches, kind):
+            held = np.flatnonzero(part.length)
+            if not len(held):
+                continue
+            index = DenseIndex(InvertedIndex([part.texts[k] for k in held.tolist()], part.doc_tokens[held], idf, mean))
+            key, length = (part.number << 32) + held, part.length[held].astype(np.int32)
+            score, query = np.full(len(held), -1, np.float32), np.full(len(held), -1)
+            for number, (of, token, best) in enumerate(blocks):
+                n, at = len(best.least), number * BLOCK
+                found = index.scores(of, token, n)
+                place = np.searchsorted(key, asking[at:at + n])
+                own = np.flatnonzero(key[np.minimum(place, len(key) - 1)] == asking[at:at + n])
+                found[own, place[own]] = np.inf
+                best.add(found, key, length)
+                highest = found.argmax(axis=0)
+                higher = found[highest, np.arange(len(key))] > score
+                score[higher] = found[highest[higher], higher]
+                query[higher] = asking[at + highest[higher]]
+            yield rows(query, key, length, score, False)
+        for number, (_, _, best) in enumerate(blocks):
+            best.merge()
+            query, key, length, score = best.kept
+            yield rows(asking[number * BLOCK + query], key, length, score, True)
+
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    return shards.coalesce(tasks).mapInArrow(lambda batches: released(run(batches)), OFFERS)
+
+
+def chosen(offers: DataFrame, reach: int) -> DataFrame:
+    """(query, key, length, score): each rest once, at the query that gets it."""
+    best = F.max(F.struct("score", (-F.col("query")).alias("negative"), "length"))
+    before = F.sum("length").over(
+        Window.partitionBy("query").orderBy(F.col("score").desc(), "key").rowsBetween(Window.unboundedPreceding, -1))
+    among = offers.filter("offered").withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < reach)
+    wanted = among.groupBy("key").agg(best.alias("wanted"))
+    nearest = offers.filter("not offered").groupBy("key").agg(best.alias("nearest"))
+    found = nearest.join(wanted, "key", "left").select("key", F.coalesce("wanted", "nearest").alias("b"))
+    return found.select((-F.col("b.negative")).alias("query"), "key", "b.length", "b.score")
+
+
+def in_a_row(picked: DataFrame, partitions: int) -> DataFrame:
+    """(key, position): the ids before each rest, all rests in a row by query and falling score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.column(1).to_numpy().astype(np.int64)
+            after = before + np.cumsum(n)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array(n), pa.array(after - n), pa.array(np.full(len(n), part))], names=["key", "length", "before", "part"])
+            before = int(after[-1]) if len(n) else before
+
+    ordered = picked.repartitionByRange(partitions, "query", F.col("score").desc(), "key").sortWithinPartitions(
+        "query", F.col("score").desc(), "key")
+    held = written(ordered.select("key", "length").mapInArrow(run, "key long, length long, before long, part long"), "rows")
+    totals = sorted(held.groupBy("part").agg(F.sum("length").alias("n")).collect(), key=lambda r: r["part"])
+    borders = np.concatenate([[0], np.cumsum([r["n"] for r in totals])]).tolist()
+    starts = picked.sparkSession.createDataFrame([(r["part"], b) for r, b in zip(totals, borders)], "part long, start long")
+    return held.join(starts, "part").select("key", (F.col("start") + F.col("before")).alias("position"))
+
+
+def pack_by_queries(docs: DataFrame, vocabulary: str, window: int, shard_tokens: int, every: int) -> DataFrame:
+    """Pieces in windows of the documents whose id ``every`` divides."""
+    size = encoder(vocabulary).size
+    kind = "<u2" if size <= 1 << 16 else "<u4"
+    spark = docs.sparkSession
+    shards = written(shards_in_place(docs, vocabulary, window, shard_tokens), "shards")
+    counts, n_docs, n_tokens = frequencies(shards, size, lambda batch: (t for part in _inflated([batch], kind) for t in part.texts))
+    if not n_docs:
+        return spark.createDataFrame([], PIECES)
+    idf, mean = np.maximum(np.log((n_docs - counts + 0.5) / (counts + 0.5)), 0.0), n_tokens / n_docs
+
+    def asking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _inflated(batches, kind):
+            places = [k for k, d in enumerate(part.doc_id) if d is not None and d % every == 0 and part.length[k]]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([part.number << 32 | k for k in places], pa.int64()),
+                pa.array([np.unique(part.texts[k]).tobytes() for k in places], pa.binary())], names=["key", "ids"])
+
+    queries = written(shards.mapInArrow(asking, "key long, ids binary"), "queries")
+    keys = np.sort(np.array([r["key"] for r in queries.select("key").collect()], np.int64))
+    reach = REACH * -(-n_tokens // max(len(keys), 1))
+    offers = None
+    for at in range(0, max(len(keys), 1), QUERIES):
+        some = keys[at:at + QUERIES]
+        rows = queries.filter(F.col("key").between(int(some[0]), int(some[-1]))).collect() if len(some) else []
+        texts = [np.frombuffer(r["ids"], kind) for r in sorted(rows, key=lambda r: r["key"])]
+        found = asked(shards, some, texts, idf, mean, kind, reach)
+        found = written(found, "offers")
+        offers = found if offers is None else offers.unionAll(found)
+    picked = written(chosen(offers, reach), "chosen")
+    placed = in_a_row(picked, 2 * spark.sparkContext.defaultParallelism)
+    placed = placed.withColumn("shard", F.shiftright("key", 32))
+
+    def cut(group: pa.Table, row: pa.Table) -> pa.Table:
+        out = []
+        for part in _inflated(row.to_batches(), kind):
+            position = dict(zip((group["key"].to_numpy() & 0xFFFFFFFF).tolist(), group["position"].to_pylist(), strict=True))
+            full = 1 << 62 | part.number << 32
+            for place, text in enumerate(part.texts):
+                for at in range(0, int(part.start[place]), window):
+                    out.append((part.doc_id[place], at, window, checksum(text[at:at + window]), len(text), full, 0))
+                    full += 1
+                first, n = 0, int(part.length[place])
+                while first < n:
+                    sequence, offset = divmod(position[place] + first, window)
+                    here = min(n - first, window - offset)
+                    out.append(part.piece(place, first, here, sequence, offset))
+                    first += here
+        return pa.Table.from_batches([_batch(out)])
+
+    return placed.groupBy("shard").cogroup(shards.groupBy("shard")).applyInArrow(cut, PIECES)
+
+
+def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS,
+         every: int | None = None) -> DataFrame:
+    """Pieces of documents with their places in sequences; with ``every`` only documents whose id it divides ask."""
     vocabulary = vocabulary or vocabulary_path()
+    if every:
+        return pack_by_queries(docs, vocabulary, window, shard_tokens, every)
     size = encoder(vocabulary).size
     kind = "<u2" if size <= 1 << 16 else "<u4"
     ids = written(encoded(docs, vocabulary), "token-ids")
