@@ -52,6 +52,8 @@ CHAIN_WINDOWS, MOST_CHAINS, BLOCK = 8, 20_000, 256
 K1, B = 1.2, 0.75
 #: Documents whose id it divides are the queries of op4 and of the pipeline.
 QUERY_EVERY = 50
+#: Texts encoded at once for them, which bounds what the encoder's arrays take.
+ENCODED_ROWS = 1000
 #: With ``every``: documents of a shard, its tokens that get a dense row, queries of one job, what a query is offered.
 SHARD_DOCS, DENSE, QUERIES, REACH = 4096, 2048, 1 << 14, 2
 SHARDS = "shard long, doc_id array<long>, start binary, length binary, doc_tokens binary, sizes binary, ids binary"
@@ -399,7 +401,8 @@ def shards_in_place(docs: DataFrame, vocabulary: str, window: int, shard_tokens:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = "<u2" if encoder(vocabulary).size <= 1 << 16 else "<u4"
         number, held, n = TaskContext.get().partitionId() << 16, [], 0
-        for batch, coded in tokens.encoded(batches, vocabulary):
+        some = (batch.slice(at, ENCODED_ROWS) for batch in batches for at in range(0, batch.num_rows, ENCODED_ROWS))
+        for batch, coded in tokens.encoded(some, vocabulary):
             for doc, ids in zip(batch.column(0).to_pylist(), coded, strict=True):
                 if held and (n + len(ids) > shard_tokens or len(held) == SHARD_DOCS):
                     yield shard(number, held)
@@ -530,8 +533,7 @@ def asked(shards: DataFrame, keys: np.ndarray, texts: list[np.ndarray], idf: np.
             query, key, length, score = best.kept
             yield rows(asking[number * BLOCK + query], key, length, score, True)
 
-    tasks = 2 * spark.sparkContext.defaultParallelism
-    return shards.coalesce(tasks).mapInArrow(lambda batches: released(run(batches)), OFFERS)
+    return shards.coalesce(spark.sparkContext.defaultParallelism).mapInArrow(lambda batches: released(run(batches)), OFFERS)
 
 
 def chosen(offers: DataFrame, reach: int) -> DataFrame:
