@@ -198,6 +198,22 @@ def test_queries_are_offered_the_best_of_all_shards(spark, monkeypatch):
     assert right / len(rows) > 0.99 and 0 < len(best) < len(rests)
 
 
+def test_product_leaves_out_tokens_that_few_queries_hold():
+    """The cost of the matrix product follows the queries' tokens, and the scores are those of the postings."""
+    random = np.random.default_rng(3)
+    texts = [np.minimum(random.zipf(1.4, 300), 1999).astype(np.uint16) for _ in range(400)]
+    idf, lengths = np.maximum(random.normal(2, 1, 2000), 0), np.full(400, 300)
+    index = packing.InvertedIndex(texts, lengths, idf, 300.0)
+    dense = packing.DenseIndex(index)
+    queries_ = [np.unique(t) for t in texts[:100]]
+    query, token = np.repeat(np.arange(100), [len(t) for t in queries_]), np.concatenate(queries_).astype(np.int64)
+    assert np.allclose(dense.scores(query, token, 100), [index.scores(t) for t in queries_], rtol=1e-4)
+    place = np.searchsorted(index.tokens, token)
+    held = index.tokens[np.minimum(place, len(index.tokens) - 1)] == token
+    rows = dense.rows(dense.row[place[held]], index.count[place[held]], 100)
+    assert 0 < rows < len(dense.table) / 4
+
+
 def test_rests_stand_for_whole_documents(spark):
     """A long text is indexed and asks with all its ids, not those of its rest alone."""
     path = tokens.vocabulary_path()

@@ -56,6 +56,8 @@ QUERY_EVERY = 50
 ENCODED_ROWS = 1000
 #: With ``every``: documents of a shard, its tokens that get a dense row, queries of one job, what a query is offered.
 SHARD_DOCS, DENSE, QUERIES, REACH = 4096, 2048, 1 << 14, 2
+#: What a posting costs, in multiplications of the product of matrices.
+POSTING_COST = 400
 SHARDS = "shard long, doc_id array<long>, start binary, length binary, doc_tokens binary, sizes binary, ids binary"
 OFFERS = "query long, key long, length int, score float, offered boolean"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -189,11 +191,13 @@ class InvertedIndex:
 
     def __init__(self, texts: list[np.ndarray], lengths: np.ndarray, idf: np.ndarray, mean_length: float):
         doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-        tokens = np.concatenate(texts).astype(np.int64)
-        known = idf[tokens] > 0
-        codes, tf = np.unique(tokens[known] * len(texts) + doc[known], return_counts=True)
-        self.size, self.doc = len(texts), codes % len(texts)
-        token = codes // len(texts)
+        tokens = np.concatenate(texts)
+        known = np.flatnonzero(idf[tokens] > 0)
+        known = known[np.argsort(tokens[known], kind="stable")]  # by token, then by text; a radix sort for ids of 16 bits
+        token, doc = tokens[known].astype(np.int64), doc[known]
+        first = np.flatnonzero(np.append(True, (np.diff(token) != 0) | (np.diff(doc) != 0))[:len(token)])
+        tf = np.diff(np.append(first, len(token)))
+        self.size, self.doc, token = len(texts), doc[first], token[first]
         norm = K1 * (1 - B + B * lengths[self.doc] / mean_length)
         self.weight = idf[token] * tf * (K1 + 1) / (tf + norm)
         self.tokens, self.at = np.unique(token, return_index=True)
@@ -423,29 +427,44 @@ def _inflated(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[Shard]:
 
 
 class DenseIndex:
-    """Scores of many queries at once: a product of matrices for the shard's frequent tokens, postings for the others."""
+    """Scores of many queries at once: a product of matrices for the shard's frequent tokens, postings for the others.
+
+    How many tokens count as frequent depends on the queries: for a token that few of them hold its postings
+    are cheaper than a row of the product.
+    """
 
     def __init__(self, index: InvertedIndex):
         self.index = index
         frequent = np.argsort(-index.count, kind="stable")[:DENSE]
-        self.row = np.full(len(index.tokens), -1)
+        self.row = np.full(len(index.tokens), len(frequent))
         self.row[frequent] = np.arange(len(frequent))
         row = np.repeat(self.row, index.count)
+        dense = row < len(frequent)
         self.table = np.zeros((len(frequent), index.size), np.float32)
-        self.table[row[row >= 0], index.doc[row >= 0]] = index.weight[row >= 0]
+        self.table[row[dense], index.doc[dense]] = index.weight[dense]
+        self.place = np.full(int(index.tokens[-1]) + 2 if len(index.tokens) else 1, -1)  # the last stands for all greater tokens
+        self.place[index.tokens] = np.arange(len(index.tokens))
+
+    def rows(self, row: np.ndarray, postings: np.ndarray, n: int) -> int:
+        """For how many of the most frequent tokens the product is worth it; ``row`` and ``postings`` of each pair of a query and a token."""
+        most = len(self.table)
+        by_row = np.bincount(row, weights=postings, minlength=most + 1)
+        beyond = by_row.sum() - np.concatenate([[0], np.cumsum(by_row[:most])])
+        return int(np.argmin(np.arange(most + 1) * (n * self.index.size) + beyond * POSTING_COST))
 
     def scores(self, query: np.ndarray, token: np.ndarray, n: int) -> np.ndarray:
         """The score of every text for ``n`` queries, given as pairs of a query's number and one of its distinct tokens."""
         index, size = self.index, self.index.size
-        place = np.searchsorted(index.tokens, token)
-        known = np.flatnonzero(place < len(index.tokens))
-        known = known[index.tokens[place[known]] == token[known]]
+        place = self.place[np.minimum(token, len(self.place) - 1)]
+        known = np.flatnonzero(place >= 0)
         query, place = query[known], place[known]
         row = self.row[place]
-        wanted = np.zeros((n, len(self.table)), np.float32)
-        wanted[query[row >= 0], row[row >= 0]] = 1
-        out = wanted @ self.table
-        query, place = query[row < 0], place[row < 0]
+        rows = self.rows(row, index.count[place], n)
+        dense = row < rows
+        wanted = np.zeros((n, rows), np.float32)
+        wanted[query[dense], row[dense]] = 1
+        out = wanted @ self.table[:rows]
+        query, place = query[~dense], place[~dense]
         if len(place):
             at, count = index.at[place], index.count[place]
             cell = np.repeat(query * size, count) + tokens.slices(index.doc, at, count)
