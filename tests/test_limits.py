@@ -81,6 +81,21 @@ def test_first_visits_in_a_table(spark, tmp_path):
     assert [r.is_new for r in again] == ["1"]
 
 
+def test_first_visits_are_found_from_the_marks_alone(spark, tmp_path):
+    """A batch that is costly to compute is computed for the result only."""
+    seen = spark.sparkContext.accumulator(0)
+    visits, marks = stateful.FirstVisits(f"{tmp_path}/v"), spark.createDataFrame([(1, "a", "1", DAY), (2, "a", "1", 2 * DAY)], LOG)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    out = visits.repair(marks.mapInArrow(counted, LOG), 0, "n", marks=marks)
+    assert seen.value == 0
+    assert {r.n: r.is_new for r in out.collect()} == {1: "1", 2: "0"} and seen.value == 2
+
+
 class FakeState:
     """The part of a group state that the expiry rule uses, with a clock."""
 

@@ -112,14 +112,19 @@ def log_split_stream(
 ) -> DataStreamWriter:
     """Repaired log records, all outputs of a micro-batch in one partitioned write.
 
-    Records are parsed once and stay in the JVM; records without a device (malformed
+    Records are parsed twice and stay in the JVM: once for the few fields that first visits need,
+    which are kept for the batch, once to be split. Records without a device (malformed
     ones too) have no first visit to meet and pass by.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         keyed = log_keys(with_fields(batch))
-        rows = split_rows(put_is_new(visits.repair(keyed, batch_id, order_by)), (order_by,))
-        rows.write.mode("overwrite").partitionBy("output").parquet(f"{path}/batch={batch_id}")
+        marks = keyed.select(order_by, visits.key, "is_new", "ts").persist()
+        try:
+            rows = split_rows(put_is_new(visits.repair(keyed, batch_id, order_by, marks=marks)), (order_by,))
+            rows.write.mode("overwrite").partitionBy("output").parquet(f"{path}/batch={batch_id}")
+        finally:
+            marks.unpersist()
 
     return batch_job(raw, checkpoint, step)
 

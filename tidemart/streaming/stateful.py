@@ -81,10 +81,14 @@ class FirstVisits:
         self.key, self.ttl_ms = key, ttl_ms
         self.table = UpsertTable(path, [key], buckets=buckets)
 
-    def repair(self, batch: DataFrame, batch_id: int, order_by: str, is_new: str = "is_new", ts: str = "ts") -> DataFrame:
+    def repair(
+        self, batch: DataFrame, batch_id: int, order_by: str, is_new: str = "is_new", ts: str = "ts", marks: DataFrame | None = None
+    ) -> DataFrame:
+        """The batch with its marks repaired. ``marks`` are these columns of its records, kept, if the batch itself is costly to compute."""
+        marks = batch if marks is None else marks
         spark, now = batch.sparkSession, F.unix_millis(F.current_timestamp())
-        fresh = first_visits(batch, order_by, self.key, is_new, ts).withColumns({"written": now, "op": F.lit("u")})
-        near = self.table.touched(batch)
+        fresh = first_visits(marks, order_by, self.key, is_new, ts).withColumns({"written": now, "op": F.lit("u")})
+        near = self.table.touched(marks)
         if self.table.written(spark, batch_id):
             known = self.table.read(spark, batch_id, near)
             if self.ttl_ms:
@@ -92,7 +96,7 @@ class FirstVisits:
             fresh = fresh.join(known.select(self.key), self.key, "left_anti")
         self.table.append(fresh, batch_id)
         current = self.table.read(spark, near=near)
-        here = current.join(batch.select(self.key).distinct(), self.key, "left_semi")
+        here = current.join(marks.select(self.key).distinct(), self.key, "left_semi")
         return repair_visits(batch, here, self.key, is_new, ts)
 
 
