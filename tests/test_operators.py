@@ -5,7 +5,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidemart.operators import aggregates, dedup, joins, projections, quality
+from tidemart.inputs import derive
+from tidemart.operators import aggregates, dedup, joins, projections, quality, routing
 from tidemart.operators.latest import current_rows, latest_n, latest_per_key
 from tidemart.operators.routing import (
     cdc_route, clean_cdc, current_config, log_keys, parse_json, put_is_new, route_dims, split_log, split_rows,
@@ -14,6 +15,8 @@ from tidemart.operators.routing import (
 from tidemart.plans.applog import log_split
 from tidemart.schemas import ODS_COLUMNS
 
+SF_DIR = "/root/testdata/sf0.001"
+
 
 # -- golden fixture --------------------------------------------------------------
 
@@ -311,6 +314,20 @@ def test_route_dims_follows_config(spark):
     assert set(route_dims(cdc, config, project=True).first().info) == {"id", "name"}
 
 
+def test_route_dims_leaves_out_tables_without_config(spark, rows, monkeypatch):
+    """The parts of a feed that no config names are not computed; with very many tables the join decides alone."""
+    feed = derive.cdc_feed(spark, SF_DIR, "sku_info", "order_detail", "order_info")
+    config = current_config(derive.config_changes(spark))
+    few = route_dims(feed, config)
+    read = lambda df: {f.rsplit("/", 1)[-1] for f in df.inputFiles()}
+    assert read(few) == {"part.parquet"}
+    monkeypatch.setattr(routing, "NAMED_TABLES", 1)
+    many = route_dims(feed, config)
+    assert "lineitem.parquet" in read(many)
+    assert rows(few) == rows(many) and few.count() == 2 * spark.read.parquet(f"{SF_DIR}/part.parquet").count()
+    assert route_dims(feed, config.filter("false")).count() == 0
+
+
 def test_log_keys_of_odd_records(spark, rows):
     raw = spark.createDataFrame([('{"ts":"77"}',), ('{"common":5,"ts":1}',), ("{bad",)], "value string")
     assert rows(log_keys(with_fields(raw)).select("mid", "is_new", "ts")) == sorted(

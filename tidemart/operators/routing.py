@@ -157,14 +157,26 @@ def current_config(changes: DataFrame, order_by: tuple[str, ...] = ("ts_ms",)) -
     return current_rows(rows, ["source_table"], list(order_by)).drop("ts_ms")
 
 
+#: Source tables up to which their names, rather than the join alone, tell the records to route.
+NAMED_TABLES = 1000
+
+
+def _configured(rows: DataFrame, config: DataFrame) -> DataFrame:
+    """The rows whose ``source_table`` has a config, which the join with it would keep; all rows if it has very many tables."""
+    names = [r[0] for r in config.select("source_table").distinct().limit(NAMED_TABLES + 1).collect()]
+    return rows if len(names) > NAMED_TABLES else rows.filter(F.col("source_table").isin([n for n in names if n is not None]))
+
+
 def route_dims(cdc: DataFrame, config: DataFrame, project: bool = False) -> DataFrame:
     """Dimension rows of configured tables: sink table, hashed row key, text fields.
 
     ``info`` holds every field of the row image; ``project`` narrows it to the
     configured columns. Deletes are skipped. The config has one row per source
-    table; Spark broadcasts it while its size is below the broadcast limit.
+    table; Spark broadcasts it while its size is below the broadcast limit. Records of
+    tables without config leave before their row images are read or made.
     """
     rows = cdc.filter("op <> 'd'").select(F.col("source")["table"].alias("source_table"), "after", "ts_ms")
+    rows = _configured(rows, config)
     joined = rows.join(config.select("source_table", "sink_table", "sink_row_key", "sink_columns"), "source_table")
     # Parsed after the join: records of tables without config are never parsed.
     joined = joined.withColumn("info", F.from_json("after", "map<string,string>"))
