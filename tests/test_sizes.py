@@ -112,3 +112,75 @@ def test_split_outputs_read_repaired_records(spark):
 
     split = plan(QUERIES["p14_split_log"](spark, SMALL))
     assert "events.parquet" not in split and "split-log" in split
+
+
+def _refunds(spark, tmp_path, buckets=4):
+    dic = spark.createDataFrame([("1005", ("1005", "refunding"))], "dic_code string, info struct<dic_code: string, dic_name: string>")
+    fact = facts.order_refund(f"{tmp_path}/fact", lambda: dic, buckets=buckets)
+
+    def change(table, op, pos, **row):
+        text = json.dumps(row)
+        return (op, text if op == "d" else None, None if op == "d" else text, {"table": table, "pos": str(pos)}, 1)
+
+    def refund(op, pos, key, order, num):
+        return change("order_refund_info", op, pos, id=key, order_id=order, refund_num=num, create_time=1, user_id=1, sku_id=1)
+
+    def step(number, *rows):
+        fact.step(stream_session(spark).createDataFrame(list(rows), CDC_ENVELOPE), number)
+        return sorted((r.id is None, r.id, r.order_id, r.refund_num) for r in fact.fact.read(spark).collect())
+
+    return fact, change, refund, step
+
+
+def test_a_fact_writes_the_rows_that_changed(spark, tmp_path):
+    """Rows of a touched order that stay as they were are not written again; a row without an id is a row like any other."""
+    fact, change, refund, step = _refunds(spark, tmp_path)
+    order = change("order_info", "c", 1, id=1, order_status=1005)
+    assert len(step(0, order, *[refund("c", 1, n, 1, n) for n in (1, 2, 3, None)])) == 4
+    rows = step(1, refund("u", 2, 1, 1, 9), refund("d", 2, 2, 1, 2))
+    assert rows == [(False, 1, 1, 9), (False, 3, 1, 3), (True, None, 1, None)]
+    assert sorted((r.id, r.op) for r in fact.fact.batch(spark, 1).collect()) == [(1, "u"), (2, "d")]
+
+
+def test_a_fact_caches_no_records_and_leaves_nothing_aside(spark, tmp_path, monkeypatch):
+    """Change records are read by one job of a micro-batch and are not cached; what is laid aside goes with the batch."""
+    cached, frame = [], type(spark.range(0))
+    monkeypatch.setattr(frame, "persist", lambda self, *a: cached.append(self) or self)
+    monkeypatch.setattr(frame, "cache", lambda self: cached.append(self) or self)
+    fact, change, refund, step = _refunds(spark, tmp_path)
+    child = stream_session(spark)
+    topic = TopicSpec("changes", folder=f"{tmp_path}/topic")
+    rows = [change("order_info", "c", 1, id=1, order_status=1005), refund("c", 1, 7, 1, 5)]
+    write_batch_json(spark.createDataFrame(rows, CDC_ENVELOPE), topic)
+    jobs.finish(fact.stream(read_cdc(child, topic), f"{tmp_path}/checkpoint"))
+    assert [(r.id, r.refund_num) for r in fact.fact.read(child).collect()] == [(7, 5)]
+    assert not cached and not glob.glob(f"{tmp_path}/fact/laid/*/*")
+
+
+def test_a_fact_is_joined_in_rounds_of_buckets(spark, tmp_path, monkeypatch):
+    """Large states are joined some buckets at a time, with the same rows."""
+    seen = {}
+    for size in (1 << 40, 1):
+        monkeypatch.setattr(facts, "ROUND_BYTES", size)
+        fact, change, refund, step = _refunds(spark, tmp_path / str(size))
+        orders = [change("order_info", "c", 1, id=o, order_status=1005) for o in range(30)]
+        step(0, *orders, *[refund("c", 1, n, n % 30, 1) for n in range(60)])
+        seen[size] = step(1, *[refund("u", 2, n, n % 29, 2) for n in range(0, 60, 3)], refund("d", 2, 1, 1, 1))
+        assert len(fact._rounds(spark, [0, 1, 2, 3])) == (4 if size == 1 else 1)
+    assert seen[1] == seen[1 << 40] and len(seen[1]) == 59
+
+
+def test_a_topic_is_written_without_sorting_by_part(spark, tmp_path, monkeypatch):
+    """Sorting would put all records of a task on its disk; the session's setting comes back."""
+    found, frame = [], type(spark.range(0))
+    write = frame.write
+    monkeypatch.setattr(frame, "write", property(
+        lambda self: found.append(self.sparkSession.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0")) or write.fget(self)))
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0")
+    write_batch_json(spark.range(10).selectExpr("id"), TopicSpec("t", folder=f"{tmp_path}/t"), F.pmod("id", F.lit(3)))
+    assert int(found[0]) >= 3 and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == before
+
+
+def test_streams_let_go_of_what_a_job_shuffled(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert stream_session(spark).conf.get(name) == "true"

@@ -22,7 +22,7 @@ from tidemart.operators.projections import cdc_image, with_event_time
 from tidemart.operators.routing import cdc_route, log_keys, with_fields
 from tidemart.plans.dwd import user_behavior_fact
 from tidemart.schemas import CDC_TABLES
-from tidemart.session import shared_dir, stream_session
+from tidemart.session import remove_folder, shared_dir, stream_session
 from tidemart.sinks.days import DayFiles, write_day_partitioned
 from tidemart.sinks.dims import DimStore
 from tidemart.sinks.topics import write_batch_json
@@ -329,6 +329,7 @@ def _fact_stream(spark: SparkSession, sf: str, name: str, build, *tables: str) -
     for n in range(PARTS):
         topic = TopicSpec("changes", folder=f"{folder}/topic/part={n}")
         jobs.finish(fact.stream(read_cdc(child, topic), f"{folder}/checkpoint/{n}", first=n))
+        remove_folder(child, topic.folder)  # a topic lets go what has been handled
     return fact.fact.read(child)
 
 

@@ -8,6 +8,7 @@ joins go through ``keyed_join`` so adaptive execution can split a hot key.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,13 @@ def keyed_join(
     return left.join(right, condition, how).drop("_lh", "_rh")
 
 
+def plain_join(
+    left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """In place of ``keyed_join``, for sides that lie by the key already and are not to be shuffled again."""
+    return left.join(right, reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in zip(left_on, right_on, strict=True)]), how)
+
+
 def null_safe_semi(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left rows whose key occurs on the right; null is a key like any other."""
     right = right.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)])
@@ -137,11 +145,11 @@ def merge_segments(frames: Sequence[DataFrame], key: str) -> DataFrame:
 
 def order_detail_wide(
     detail: DataFrame, orders: DataFrame, activity: DataFrame, coupon: DataFrame,
-    carry: Sequence[str] = (), keep: Sequence[str] = (),
+    carry: Sequence[str] = (), keep: Sequence[str] = (), join: Callable[..., DataFrame] = keyed_join,
 ) -> DataFrame:
     """Order lines with their order, and activity and coupon if any.
 
-    ``carry`` names more order columns, ``keep`` more line columns to pass on.
+    ``carry`` names more order columns, ``keep`` more line columns to pass on. ``join`` joins lines and orders.
 
     The order comes first: an inner join with few orders leaves few lines for the rest.
     """
@@ -154,7 +162,7 @@ def order_detail_wide(
     cou = coupon.select(F.col("order_detail_id").alias("_cou"), "coupon_id")
     # The two left joins share the line id, so lines are shuffled once for both
     # and once for the order.
-    lines = keyed_join(od, oi, ["order_id"], ["_order"])
+    lines = join(od, oi, ["order_id"], ["_order"])
     wide = lines.join(act, F.col("id") == F.col("_act"), "left").join(cou, F.col("id") == F.col("_cou"), "left")
     return wide.withColumns({
         "date_id": times.date_id(F.col("create_time")), "ts": F.col("create_time"),
@@ -173,11 +181,11 @@ def order_cancel(wide: DataFrame, orders: DataFrame, join: Callable[..., DataFra
 
 
 def cancelled_lines(
-    detail: DataFrame, orders: DataFrame, activity: DataFrame, coupon: DataFrame
+    detail: DataFrame, orders: DataFrame, activity: DataFrame, coupon: DataFrame, join: Callable[..., DataFrame] = keyed_join
 ) -> DataFrame:
     """J1 from the captured tables: cancelled orders are picked first, so that only their lines are widened."""
     cancelled = orders.filter(F.col("order_status") == schemas.ORDER_CANCELLED)
-    wide = order_detail_wide(detail, cancelled, activity, coupon, carry=("operate_time",))
+    wide = order_detail_wide(detail, cancelled, activity, coupon, carry=("operate_time",), join=join)
     return _cancelled_columns(wide.withColumnRenamed("operate_time", "cancel_time"))
 
 

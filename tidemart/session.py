@@ -121,6 +121,8 @@ def stream_session(spark: SparkSession, ends: bool = False) -> SparkSession:
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
+    # What a job shuffled goes as it ends; it would else lie there until the driver collects its garbage.
+    child.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     # Changes alone are checkpointed, and rows of the state are not looked up to be counted.
     child.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     child.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
@@ -163,6 +165,19 @@ def folder_files(spark: SparkSession, path: str) -> list[tuple[int, float]]:
     return [(s.getLen(), s.getModificationTime() / 1000) for s in found]
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(root).getLength() if fs.exists(root) else 0
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nobody reads any more, if it is there."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def complete_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders below a path whose write was committed, in name order."""
     hadoop = spark._jvm.org.apache.hadoop.fs

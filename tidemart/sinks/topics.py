@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -32,6 +35,18 @@ def _kafka_options(spec: TopicSpec) -> dict[str, str]:
     }
 
 
+@contextmanager
+def _open_writers(spark: SparkSession) -> Iterator[None]:
+    """A task keeps a file of some parts open at once: sorting by part would put all records on its disk first."""
+    name, most = "spark.sql.maxConcurrentOutputFileWriters", "16"
+    before = spark.conf.get(name, "0")
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_batch_json(df: DataFrame, spec: TopicSpec, part: Column | None = None) -> None:
     """Append a batch to a topic.
 
@@ -41,7 +56,8 @@ def write_batch_json(df: DataFrame, spec: TopicSpec, part: Column | None = None)
     records = as_records(df)
     if spec.folder and part is not None:
         named = df.select(row_json(df.columns).alias("value"), part.alias("part"))
-        named.write.mode("append").option("maxRecordsPerFile", FILE_RECORDS).partitionBy("part").text(spec.folder, compression="gzip")
+        with _open_writers(df.sparkSession):
+            named.write.mode("append").option("maxRecordsPerFile", FILE_RECORDS).partitionBy("part").text(spec.folder, compression="gzip")
     elif spec.folder:
         records.write.mode("append").option("maxRecordsPerFile", FILE_RECORDS).text(spec.folder, compression="gzip")
     else:

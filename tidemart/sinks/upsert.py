@@ -14,6 +14,7 @@ from tidemart.session import complete_folders, folder_names, remove_folders
 
 BATCH = "_batch"
 BUCKET = "_bucket"
+CODEC = "zstd"
 
 
 class UpsertTable:
@@ -48,10 +49,10 @@ class UpsertTable:
 
     def _write(self, rows: DataFrame, folder: str) -> None:
         if not self.buckets:
-            rows.write.mode("overwrite").parquet(folder)
+            rows.write.mode("overwrite").option("compression", CODEC).parquet(folder)
             return
         placed = rows.withColumn(BUCKET, self.bucket()).hint("rebalance", BUCKET)
-        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+        placed.write.mode("overwrite").option("compression", CODEC).partitionBy(BUCKET).parquet(folder)
 
     def _schema(self, spark: SparkSession) -> T.StructType:
         """Columns of a bucketed table, kept beside it: a batch without rows leaves no file to tell them."""
@@ -79,6 +80,16 @@ class UpsertTable:
         found = [f"{self.path}/base/{upto}"] if upto else []
         return found + [f"{self.path}/changes/{c}" for c in changes]
 
+    def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The rows that a batch has written, deleted ones too; with buckets."""
+        folder = f"{self.path}/changes/{batch_id:020d}"
+        found = [f"{folder}/{name}" for name in folder_names(spark, folder)]
+        return self._of_folders(spark, found)
+
+    def _of_folders(self, spark: SparkSession, found: Sequence[str]) -> DataFrame:
+        schema = self._schema(spark)
+        return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
+
     def written(self, spark: SparkSession, before: int | None = None) -> bool:
         return bool(self._folders(spark, before))
 
@@ -103,8 +114,7 @@ class UpsertTable:
             # The buckets' own folders, so that Spark lists and opens no others.
             wanted = None if near is None else {f"{BUCKET}={n}" for n in near}
             found = [f"{f}/{name}" for f in folders for name in folder_names(spark, f) if wanted is None or name in wanted]
-            schema = self._schema(spark)
-            rows = spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
+            rows = self._of_folders(spark, found)
         if of is not None:
             rows = rows.join(of, self.bucket_by, "left_semi")
         if len(folders) == 1:  # a folder has one row per key
