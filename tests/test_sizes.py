@@ -184,3 +184,12 @@ def test_a_topic_is_written_without_sorting_by_part(spark, tmp_path, monkeypatch
 def test_streams_let_go_of_what_a_job_shuffled(spark):
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     assert stream_session(spark).conf.get(name) == "true"
+
+
+def test_lines_of_a_state_are_shuffled_once_for_the_order(spark):
+    """Their activity and coupon come to them where they lie."""
+    from tidemart.checks.registry import QUERIES
+
+    child = spark.newSession()
+    child.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert plan(QUERIES["dwd_order_detail"](child, SMALL)).count("Exchange hashpartitioning(") <= 10

@@ -30,11 +30,12 @@ def keyed_join(
     Such an input is already partitioned by the key, so Spark would join it
     without a new exchange, and adaptive execution splits a skewed partition only
     between two exchanges. A second key, the hash of the first, gives both sides
-    an exchange; the result is that of the plain join. Right columns that repeat
+    an exchange; the result is that of the plain join. A few bits of the hash do: all of
+    them would be eight bytes of every shuffled row that cannot be compressed. Right columns that repeat
     a left name are dropped by the caller's selection beforehand.
     """
-    left = left.withColumn("_lh", F.xxhash64(*left_on))
-    right = right.withColumn("_rh", F.xxhash64(*right_on))
+    left = left.withColumn("_lh", F.pmod(F.xxhash64(*left_on), F.lit(16)))
+    right = right.withColumn("_rh", F.pmod(F.xxhash64(*right_on), F.lit(16)))
     condition: Column = F.col("_lh") == F.col("_rh")
     for a, b in zip(left_on, right_on, strict=True):
         condition = condition & (F.col(a) == F.col(b))
@@ -146,12 +147,14 @@ def merge_segments(frames: Sequence[DataFrame], key: str) -> DataFrame:
 def order_detail_wide(
     detail: DataFrame, orders: DataFrame, activity: DataFrame, coupon: DataFrame,
     carry: Sequence[str] = (), keep: Sequence[str] = (), join: Callable[..., DataFrame] = keyed_join,
+    by_line: bool = False,
 ) -> DataFrame:
     """Order lines with their order, and activity and coupon if any.
 
     ``carry`` names more order columns, ``keep`` more line columns to pass on. ``join`` joins lines and orders.
 
-    The order comes first: an inner join with few orders leaves few lines for the rest.
+    The order comes first: an inner join with few orders leaves few lines for the rest. With ``by_line`` it comes last:
+    lines of a state lie by their id already, meet activity and coupon where they are and are shuffled once, for the order.
     """
     od = detail.select(
         "id", "order_id", "sku_id", "sku_name", "create_time", "sku_num",
@@ -162,8 +165,10 @@ def order_detail_wide(
     cou = coupon.select(F.col("order_detail_id").alias("_cou"), "coupon_id")
     # The two left joins share the line id, so lines are shuffled once for both
     # and once for the order.
-    lines = join(od, oi, ["order_id"], ["_order"])
+    lines = od if by_line else join(od, oi, ["order_id"], ["_order"])
     wide = lines.join(act, F.col("id") == F.col("_act"), "left").join(cou, F.col("id") == F.col("_cou"), "left")
+    if by_line:
+        wide = join(wide, oi, ["order_id"], ["_order"])
     return wide.withColumns({
         "date_id": times.date_id(F.col("create_time")), "ts": F.col("create_time"),
     }).select(*schemas.WIDE_ORDER_DETAIL, *carry, *keep)

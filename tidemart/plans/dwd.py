@@ -56,7 +56,7 @@ def comment_info(cdc: DataFrame, dic: DataFrame) -> DataFrame:
 def order_detail(cdc: DataFrame) -> DataFrame:
     return joins.order_detail_wide(
         table_state(cdc, "order_detail"), table_state(cdc, "order_info"),
-        table_state(cdc, "order_detail_activity"), table_state(cdc, "order_detail_coupon"),
+        table_state(cdc, "order_detail_activity"), table_state(cdc, "order_detail_coupon"), by_line=True,
     )
 
 
