@@ -193,3 +193,24 @@ def test_lines_of_a_state_are_shuffled_once_for_the_order(spark):
     child = spark.newSession()
     child.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     assert plan(QUERIES["dwd_order_detail"](child, SMALL)).count("Exchange hashpartitioning(") <= 10
+
+
+def _commits(spark, tmp_path, monkeypatch, name):
+    """The micro-batches a registered stream took over the smallest tables."""
+    from tidemart.checks import load_all
+
+    queries = load_all()[0]
+    from tidemart.checks import streams
+
+    monkeypatch.setattr(streams, "shared_dir", lambda spark, name: f"{tmp_path}/{name}")
+    assert queries[name](spark, SMALL).count() > 0
+    return sorted(f.rsplit("/", 1)[1] for f in glob.glob(f"{tmp_path}/*/checkpoint/commits/*"))
+
+
+def test_feeds_of_a_retained_join_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """Several micro-batches without dealing rows out anew, whatever the size; state is kept small on disk."""
+    frame = type(spark.range(0))
+    monkeypatch.setattr(frame, "repartition", lambda self, *a: (_ for _ in ()).throw(AssertionError("shuffled")))
+    assert _commits(spark, tmp_path, monkeypatch, "t5_stream_order_cancel") == ["0", "1", "2"]
+    child = stream_session(spark)
+    assert {child.conf.get(f"spark.sql.streaming.stateStore.{name}") for name in ("rocksdb.compression", "compression.codec")} == {"zstd"}
