@@ -214,3 +214,7 @@ def test_feeds_of_a_retained_join_are_written_without_a_shuffle(spark, tmp_path,
     assert _commits(spark, tmp_path, monkeypatch, "t5_stream_order_cancel") == ["0", "1", "2"]
     child = stream_session(spark)
     assert {child.conf.get(f"spark.sql.streaming.stateStore.{name}") for name in ("rocksdb.compression", "compression.codec")} == {"zstd"}
+
+
+def test_an_inner_join_of_streams_takes_no_batch_without_data(spark, tmp_path, monkeypatch):
+    assert _commits(spark, tmp_path, monkeypatch, "j5_stream_payment_success") == ["0"]
